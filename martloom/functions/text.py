@@ -124,7 +124,7 @@ def identity_key(df: DataFrame) -> Column:
     A rung applies only if all its columns exist and the deciding ones are not blank.
     """
     has = lambda *cols: all(c in df.columns for c in cols)
-    text = lambda c: F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit("na"))))
+    text = lambda c: F.coalesce(F.lower(F.trim(F.col(c).cast("string"))), F.lit("NA"))
     filled = lambda *cols: reduce(lambda a, b: a & b, [~is_blank(c) for c in cols])
     place = ["ship_city", "ship_state", "ship_country"]
     rungs = []

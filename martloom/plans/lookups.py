@@ -157,12 +157,12 @@ def backfilled(spark, sf):
 @query(
     "key_reconciliation",
     "JN11",
-    """SELECT p_partkey AS item_id, 'missing_locally' AS side FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
-      UNION ALL SELECT DISTINCT l_partkey, 'extra_locally' FROM lineitem WHERE l_returnflag = 'R' AND l_partkey NOT IN (SELECT p_partkey FROM part)""",
+    """SELECT p_partkey AS item_id, 'missing_locally' AS side FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48)
+      UNION ALL SELECT DISTINCT l_partkey, 'extra_locally' FROM lineitem WHERE l_quantity > 48 AND l_partkey NOT IN (SELECT p_partkey FROM part)""",
 )
 def reconciliation(spark, sf):
     parts = products(spark, sf).select(F.col("product_id").alias("item_id"))
-    sold = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("item_id"))
+    sold = table(spark, sf, "lineitem").filter("l_quantity > 48").select(F.col("l_partkey").alias("item_id"))
     return lookup.reconcile_keys(parts, sold, ["item_id"])
 
 

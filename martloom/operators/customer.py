@@ -138,19 +138,22 @@ def cai(by_date: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
-def _gauss_series(p: pd.Series, q: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
+def _gauss_series(p: Column, q: Column, c: Column, z: Column) -> Column:
     """Gauss hypergeometric series for 0 <= z < 1, in the transformed form that converges fastest."""
-    u, v = (c - p).to_numpy(), (c - q).to_numpy()
-    below, at = c.to_numpy(), z.to_numpy()
-    term = np.ones(len(at))
-    total = term.copy()
-    for j in range(5000):
-        term = term * (u + j) * (v + j) / (below + j) / (j + 1) * at
-        total += term
-        if not len(at) or np.nanmax(np.abs(term)) < 1e-14:
-            break
-    return pd.Series(total * (1 - at) ** (below - p.to_numpy() - q.to_numpy()))
+
+    def total(p: pd.Series, q: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
+        u, v = (c - p).to_numpy(), (c - q).to_numpy()
+        below, at = c.to_numpy(), z.to_numpy()
+        term = np.ones(len(at))
+        run = term.copy()
+        for j in range(5000):
+            term = term * (u + j) * (v + j) / (below + j) / (j + 1) * at
+            run += term
+            if not len(at) or np.nanmax(np.abs(term)) < 1e-14:
+                break
+        return pd.Series(run * (1 - at) ** (below - p.to_numpy() - q.to_numpy()))
+
+    return F.pandas_udf(total, "double")(p, q, c, z)
 
 
 def p_alive_clv(table: DataFrame, horizon_weeks: float = 52.0, params: dict[str, float] = BGNBD) -> DataFrame:

@@ -139,33 +139,40 @@ FIT_SCHEMA = (
 )
 
 
-def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Newton on the levels of one model (at most MAX_LEVELS rows)."""
-    z = ((pdf.x - pdf.x_mean) / pdf.x_sd).to_numpy()
-    weight = (pdf.n * pdf.exposure).to_numpy(dtype=float)
-    y, yy, n = pdf.sum_y.to_numpy(), pdf.sum_yy.to_numpy(), pdf.n.to_numpy(dtype=float)
-    t0, t1 = y.sum(), (z * y).sum()
-    a, b = math.log(t0 / weight.sum()), 0.0
-    done, rounds = False, 0
-
-    def sums():
-        mu = weight * np.exp(np.clip(a + b * z, -700, 700))
-        return mu, mu.sum(), (mu * z).sum(), (mu * z * z).sum()
-
-    mu, s0, s1, s2 = sums()
-    while rounds < MAX_ROUNDS and not done:
-        det = s0 * s2 - s1 * s1
-        if not det > 0:
-            break
-        da, db = (s2 * (t0 - s0) - s1 * (t1 - s1)) / det, (s0 * (t1 - s1) - s1 * (t0 - s0)) / det
-        scale = min(1.0, 3.0 / max(abs(da), abs(db), 1e-300))
-        a, b, rounds = a + scale * da, b + scale * db, rounds + 1
+def _level_solver():
+    """Newton on the levels of one model (at most MAX_LEVELS rows).
+
+    Built inside a function so that executors need no copy of this package.
+    """
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        z = ((pdf.x - pdf.x_mean) / pdf.x_sd).to_numpy()
+        weight = (pdf.n * pdf.exposure).to_numpy(dtype=float)
+        y, yy, n = pdf.sum_y.to_numpy(), pdf.sum_yy.to_numpy(), pdf.n.to_numpy(dtype=float)
+        t0, t1 = y.sum(), (z * y).sum()
+        a, b = math.log(t0 / weight.sum()), 0.0
+        done, rounds = False, 0
+
+        def sums():
+            mu = weight * np.exp(np.clip(a + b * z, -700, 700))
+            return mu, mu.sum(), (mu * z).sum(), (mu * z * z).sum()
+
         mu, s0, s1, s2 = sums()
-        done = max(abs(da), abs(db)) < TOLERANCE
-    rate = mu / n
-    pearson = (yy / rate).sum() - 2 * t0 + s0
-    row = [pdf.product_line_id.iat[0], pdf.predictor.iat[0], a, b, rounds, bool(done), s0, s1, s2, pearson]
-    return pd.DataFrame([row], columns=[f.split()[0] for f in FIT_SCHEMA.split(", ")])
+        while rounds < MAX_ROUNDS and not done:
+            det = s0 * s2 - s1 * s1
+            if not det > 0:
+                break
+            da, db = (s2 * (t0 - s0) - s1 * (t1 - s1)) / det, (s0 * (t1 - s1) - s1 * (t0 - s0)) / det
+            scale = min(1.0, 3.0 / max(abs(da), abs(db), 1e-300))
+            a, b, rounds = a + scale * da, b + scale * db, rounds + 1
+            mu, s0, s1, s2 = sums()
+            done = max(abs(da), abs(db)) < TOLERANCE
+        rate = mu / n
+        pearson = (yy / rate).sum() - 2 * t0 + s0
+        row = [pdf.product_line_id.iat[0], pdf.predictor.iat[0], a, b, rounds, bool(done), s0, s1, s2, pearson]
+        return pd.DataFrame([row], columns=[f.split()[0] for f in FIT_SCHEMA.split(", ")])
+
+    return solve
 
 
 def _newton_rounds(levels: DataFrame, moments: DataFrame) -> DataFrame:
@@ -216,9 +223,13 @@ def _model_sums(levels: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
-def two_sided_p(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if pd.notna(v) else None)
+def two_sided_p(z: Column) -> Column:
+    """Two-sided normal tail; Spark has no error function."""
+
+    def tail(v: pd.Series) -> pd.Series:
+        return v.map(lambda t: math.erfc(abs(t) / math.sqrt(2)) if pd.notna(t) else None)
+
+    return F.pandas_udf(tail, "double")(z)
 
 
 def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, min_rows: int = 3) -> DataFrame:
@@ -232,7 +243,7 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     moments = _moments(usable)
     sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"))
     small = usable.join(sizes.filter(F.col("_k") <= max_levels).select(*MODEL), MODEL)
-    fitted = small.join(moments.select(*MODEL, "x_mean", "x_sd"), MODEL).groupBy(*MODEL).applyInPandas(_solve, FIT_SCHEMA)
+    fitted = small.join(moments.select(*MODEL, "x_mean", "x_sd"), MODEL).groupBy(*MODEL).applyInPandas(_level_solver(), FIT_SCHEMA)
     large = sizes.filter(F.col("_k") > max_levels).select(*MODEL)
     if not large.isEmpty():
         fitted = fitted.unionByName(_newton_rounds(usable.join(large, MODEL), moments.join(large, MODEL)))
@@ -246,7 +257,7 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
         .withColumn("intercept", F.col("a") - F.col("b") * F.col("x_mean") / F.col("x_sd"))
         .withColumn("std_error", F.sqrt(F.col("s0") / det) / F.col("x_sd") * scale)
         .withColumn("z_value", F.col("coefficient") / F.col("std_error"))
-        .withColumn("p_value", two_sided_p("z_value"))
+        .withColumn("p_value", two_sided_p(F.col("z_value")))
         .withColumn("deviance", 2 * (F.col("t_ylogy") - eta_y - F.col("t0") + F.col("s0")))
         .withColumn("aic", -2 * (eta_y - F.col("s0") - F.col("t_logfact")) + 4)
         .withColumn("dispersion", dispersion)

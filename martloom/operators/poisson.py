@@ -175,6 +175,30 @@ def _level_solver():
     return solve
 
 
+def _few_levels(levels: DataFrame, moments: DataFrame) -> DataFrame:
+    return levels.join(moments.select(*MODEL, "x_mean", "x_sd"), MODEL).groupBy(*MODEL).applyInPandas(_level_solver(), FIT_SCHEMA)
+
+
+def _two_valued(levels: DataFrame, moments: DataFrame) -> DataFrame:
+    """Closed form for predictors with two values: each side's rate is its sum over its exposure."""
+    x, e = F.col("x"), F.col("n") * F.col("exposure")
+    sums = levels.groupBy(*MODEL).agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum(x * F.col("sum_y")).alias("_xy"), F.sum(e).alias("_e"), F.sum(x * e).alias("_xe")
+    )
+    width = F.col("hi") - F.col("lo")
+    y_hi, e_hi = (F.col("_xy") - F.col("lo") * F.col("t0")) / width, (F.col("_xe") - F.col("lo") * F.col("_e")) / width
+    slope = F.log((y_hi / e_hi) / ((F.col("t0") - y_hi) / (F.col("_e") - e_hi))) / width
+    level = F.log((F.col("t0") - y_hi) / (F.col("_e") - e_hi))
+    params = (
+        sums.join(moments, MODEL)
+        .withColumn("_slope", slope)
+        .select(*MODEL, "x_mean", "x_sd", (level + F.col("_slope") * (F.col("x_mean") - F.col("lo"))).alias("a"), (F.col("_slope") * F.col("x_sd")).alias("b"))
+    )
+    return params.join(_model_sums(levels, params), MODEL).select(
+        *MODEL, "a", "b", F.lit(0).alias("rounds"), F.col("b").isNotNull().alias("converged"), "s0", "s1", "s2", "pearson"
+    )
+
+
 def _newton_rounds(levels: DataFrame, moments: DataFrame) -> DataFrame:
     """The same Newton steps as distributed sums; one tiny parameter table travels per round."""
     params = materialise(
@@ -223,13 +247,33 @@ def _model_sums(levels: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-def two_sided_p(z: Column) -> Column:
-    """Two-sided normal tail; Spark has no error function."""
+def _tail_coefficients(degree: int = 40) -> list[float]:
+    """Chebyshev coefficients of ln(erfc(x) exp(x^2) (2 + x) / 2) in t = 2 / (2 + x)."""
+    low = 2 / (2 + _TAIL_END)
+
+    def scaled(u: np.ndarray) -> np.ndarray:
+        t = low + (u + 1) / 2 * (1 - low)
+        x = 2 / t - 2
+        return np.array([math.log(math.erfc(v)) + v * v - math.log(w) for v, w in zip(x, t)])
+
+    return [float(c) for c in np.polynomial.chebyshev.chebinterpolate(scaled, degree)]
 
-    def tail(v: pd.Series) -> pd.Series:
-        return v.map(lambda t: math.erfc(abs(t) / math.sqrt(2)) if pd.notna(t) else None)
 
-    return F.pandas_udf(tail, "double")(z)
+_TAIL_END = 26.0  # erfc leaves the range of a double shortly after
+
+
+def two_sided_p(z: Column) -> Column:
+    """Two-sided normal tail as a column expression; Spark has no error function."""
+    x = F.abs(z) / math.sqrt(2)
+    low = 2 / (2 + _TAIL_END)
+    t = 2 / (2 + x)
+    u = (t - low) / (1 - low) * 2 - 1
+    coefficients = _tail_coefficients()
+    start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("dd"))
+    down = F.array(*[F.lit(c) for c in reversed(coefficients[1:])])
+    walk = F.aggregate(down, start, lambda s, c: F.struct((2 * u * s["d"] - s["dd"] + c).alias("d"), s["d"].alias("dd")))
+    tail = t * F.exp(u * walk["d"] - walk["dd"] + coefficients[0] - x * x)
+    return F.when(x >= _TAIL_END, 0.0).otherwise(F.least(tail, F.lit(1.0)))
 
 
 def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, min_rows: int = 3) -> DataFrame:
@@ -240,13 +284,17 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     levels = materialise(levels, "levels")
     gate = estimability(levels, min_rows)
     usable = levels.filter("x is not null and n > 0").join(gate.filter("estimation_status = 'estimated'").select(*MODEL), MODEL, "left_semi")
-    moments = _moments(usable)
-    sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"))
-    small = usable.join(sizes.filter(F.col("_k") <= max_levels).select(*MODEL), MODEL)
-    fitted = small.join(moments.select(*MODEL, "x_mean", "x_sd"), MODEL).groupBy(*MODEL).applyInPandas(_level_solver(), FIT_SCHEMA)
-    large = sizes.filter(F.col("_k") > max_levels).select(*MODEL)
-    if not large.isEmpty():
-        fitted = fitted.unionByName(_newton_rounds(usable.join(large, MODEL), moments.join(large, MODEL)))
+    usable = materialise(usable, "levels")
+    moments = materialise(_moments(usable), "moments")
+    sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"), F.count_distinct("x").alias("_x"))
+    kind = F.when(F.col("_x") == 2, "two").when(F.col("_k") <= max_levels, "few").otherwise("many")
+    kinds = materialise(sizes.select(*MODEL, kind.alias("_kind")), "kinds")
+    solvers = {"two": _two_valued, "few": _few_levels, "many": _newton_rounds}
+    present = sorted(r[0] for r in kinds.select("_kind").distinct().collect())
+    fitted = usable.sparkSession.createDataFrame([], FIT_SCHEMA)
+    for name in present:
+        models = kinds.filter(F.col("_kind") == name).select(*MODEL)
+        fitted = fitted.unionByName(solvers[name](usable.join(models, MODEL), moments.join(models, MODEL)))
     det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
     dispersion = F.when(F.col("n_obs") > 2, F.col("pearson") / (F.col("n_obs") - 2))
     scale = F.sqrt(dispersion) if quasi else F.lit(1.0)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.clean import drop_sentinels
 from martloom.operators.sets import union_all
 from martloom.operators.window import first_n_per_key
+from martloom.session import materialise
 
 
 def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int = 500) -> DataFrame:
@@ -17,19 +18,24 @@ def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int
 
     Cluster numbers are reordered by size, then by mean sales, so they do not depend on the seed's labels.
     """
-    lines = [r[0] for r in position.select("product_line_id").distinct().orderBy("product_line_id").collect()]
+    whole = position.dropna(subset=topics).select("product_line_id", "product_id", "sales", *topics)
+    moments = whole.groupBy("product_line_id").agg(
+        *[F.avg(t).alias(f"_m_{t}") for t in topics], *[F.coalesce(F.stddev(t), F.lit(0.0)).alias(f"_s_{t}") for t in topics]
+    )
+    scaled = whole.join(moments, "product_line_id").select(
+        "product_line_id", "product_id", "sales",
+        *[F.when(F.col(f"_s_{t}") > 0, (F.col(t) - F.col(f"_m_{t}")) / F.col(f"_s_{t}")).otherwise(0.0).alias(t) for t in topics],
+    )
+    # written once: every fit reads its own line from here instead of repeating the joins
+    scaled = materialise(scaled, "segments")
+    lines = scaled.groupBy("product_line_id").agg(F.count(F.lit(1)).alias("n")).orderBy("product_line_id").collect()
     fitted = []
-    for line in lines:
-        items = position.filter(F.col("product_line_id") == line).dropna(subset=topics)
-        n = items.count()
-        if n == 0:
-            continue
-        vectors = VectorAssembler(inputCols=topics, outputCol="raw").transform(items)
-        scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(vectors).transform(vectors)
+    for line, n in lines:
+        items = VectorAssembler(inputCols=topics, outputCol="features").transform(scaled.filter(F.col("product_line_id") == line))
         if n <= 1 or k <= 1:
-            assigned = scaled.withColumn("prediction", F.lit(0))
+            assigned = items.withColumn("prediction", F.lit(0))
         else:
-            assigned = KMeans(k=min(k, n), seed=seed).fit(scaled).transform(scaled)
+            assigned = KMeans(k=min(k, n), seed=seed).fit(items).transform(items)
         fitted.append(assigned.select("product_line_id", "product_id", "sales", F.col("prediction").alias("_raw")))
     if not fitted:
         return position.select("product_line_id", "product_id", F.lit(None).cast("int").alias("cluster")).limit(0)

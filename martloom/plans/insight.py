@@ -8,6 +8,7 @@ from martloom.functions.text import fingerprint
 from martloom.operators import customer, lookup, market, poisson, position, products as prod, recommend, reshape, reviews as rev, segments
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, REVIEWS_SQL, SALES_SQL, TOPICS, as_of, order_lines, products, ratings_long, reviews, rmean, sales, table
 from martloom.plans.registry import query
+from martloom.session import materialise
 
 S = "WITH " + SALES_SQL
 R = "WITH " + REVIEWS_SQL
@@ -381,7 +382,7 @@ def first(spark, sf):
 
 
 def _segments(spark, sf):
-    ratings = rev.impute(rev.ratings_by_item(ratings_long(spark, sf)))
+    ratings = materialise(rev.impute(rev.ratings_by_item(ratings_long(spark, sf))), "ratings")
     own, comp = _totals(spark, sf)
     pos = position.position(ratings, TOPICS, own, comp, products(spark, sf))
     return ratings, segments.segment_market(pos, TOPICS)

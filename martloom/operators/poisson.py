@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.sets import union_all
 from martloom.session import materialise
 
 MODEL = ["product_line_id", "predictor"]
@@ -284,17 +285,14 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     levels = materialise(levels, "levels")
     gate = estimability(levels, min_rows)
     usable = levels.filter("x is not null and n > 0").join(gate.filter("estimation_status = 'estimated'").select(*MODEL), MODEL, "left_semi")
-    usable = materialise(usable, "levels")
-    moments = materialise(_moments(usable), "moments")
     sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"), F.count_distinct("x").alias("_x"))
     kind = F.when(F.col("_x") == 2, "two").when(F.col("_k") <= max_levels, "few").otherwise("many")
-    kinds = materialise(sizes.select(*MODEL, kind.alias("_kind")), "kinds")
+    moments = materialise(_moments(usable).join(sizes.select(*MODEL, kind.alias("_kind")), MODEL), "moments")
     solvers = {"two": _two_valued, "few": _few_levels, "many": _newton_rounds}
-    present = sorted(r[0] for r in kinds.select("_kind").distinct().collect())
-    fitted = usable.sparkSession.createDataFrame([], FIT_SCHEMA)
-    for name in present:
-        models = kinds.filter(F.col("_kind") == name).select(*MODEL)
-        fitted = fitted.unionByName(solvers[name](usable.join(models, MODEL), moments.join(models, MODEL)))
+    # three kinds at most; a kind without models plans no job
+    present = [r[0] for r in moments.select("_kind").distinct().orderBy("_kind").collect()]
+    parts = [solvers[k](usable.join(moments.filter(F.col("_kind") == k).select(*MODEL), MODEL), moments.filter(F.col("_kind") == k).drop("_kind")) for k in present]
+    fitted = union_all(*parts) if parts else usable.sparkSession.createDataFrame([], FIT_SCHEMA)
     det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
     dispersion = F.when(F.col("n_obs") > 2, F.col("pearson") / (F.col("n_obs") - 2))
     scale = F.sqrt(dispersion) if quasi else F.lit(1.0)

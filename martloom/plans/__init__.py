@@ -6,7 +6,7 @@ import importlib
 
 from martloom.plans.registry import REGISTRY, Registered
 
-MODULES = ["customers", "cleaning", "lookups", "shaping", "series", "insight"]
+MODULES = ["customers", "cleaning", "lookups", "shaping", "series", "insight", "assurance"]
 
 
 def all_queries() -> dict[str, Registered]:

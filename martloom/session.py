@@ -14,6 +14,8 @@ RUNTIME = {
     # a join whose hot key was split keeps its extra shuffle instead of one giant task
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # plan building only: no Python stack capture for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martloom.money import MONEY, exact_mean, exact_sum
 from martloom.operators.aggregate import with_rollup_all
 from martloom.ordering import quantiles, running_total, with_tiles
+from martloom.session import materialise
 
 SCOPE = ["platform_id", "product_line_id_filter"]
 CUSTOMER = [*SCOPE, "customer_id"]
@@ -84,12 +85,22 @@ def rfm(customers: DataFrame, asof: Column) -> DataFrame:
     )
 
 
+SCORE_TILES = {"_recency": ("r_value", 5), "dna_f_score": ("f_value", 5), "dna_m_score": ("m_value", 5)}
+TIER_TILES = {"_tier": ("total_spent", 3)}
+
+
+def _name_tiles(tiled: DataFrame) -> DataFrame:
+    """Turn raw tiles into a recency score (recent is high) and a tier label."""
+    if "_recency" in tiled.columns:
+        tiled = tiled.withColumn("dna_r_score", F.lit(6) - F.col("_recency")).drop("_recency")
+    if "_tier" in tiled.columns:
+        tiled = tiled.withColumn("value_tier", F.element_at(F.array(F.lit("Low"), F.lit("Medium"), F.lit("High")), F.col("_tier"))).drop("_tier")
+    return tiled
+
+
 def rfm_scores(table: DataFrame) -> DataFrame:
     """Quintiles in each scope; a recent purchase scores high."""
-    tiles = {"r_value": "_r", "f_value": "dna_f_score", "m_value": "dna_m_score"}
-    return (
-        with_tiles(table, SCOPE, tiles, "customer_id", 5).withColumn("dna_r_score", F.lit(6) - F.col("_r")).drop("_r")
-    )
+    return _name_tiles(with_tiles(table, SCOPE, SCORE_TILES, "customer_id"))
 
 
 def purchase_cycle(table: DataFrame, scope: list[str] = SCOPE) -> DataFrame:
@@ -97,19 +108,30 @@ def purchase_cycle(table: DataFrame, scope: list[str] = SCOPE) -> DataFrame:
     return table.groupBy(*scope).agg(exact_mean("ipt").alias("mean_cycle"))
 
 
-def nes_status(table: DataFrame, bounds: dict[str, float] = CYCLE_BOUNDS, scope: list[str] = SCOPE) -> DataFrame:
-    """N new, E0 active, S1 drowsy, S2 half asleep, S3 asleep; null cycle means nobody repeated."""
+def with_status(table: DataFrame, bounds: dict[str, float] = CYCLE_BOUNDS) -> DataFrame:
+    """N new, E0 active, S1 drowsy, S2 half asleep, S3 asleep, from recency in mean cycles."""
     r, mu = F.col("r_value"), F.col("mean_cycle")
     within = r <= bounds["E0"] * mu
+    single = F.col("f_value") == 1
     status = (
-        F.when(within & (F.col("f_value") == 1), "N")
+        F.when(within & single, "N")
         .when(within, "E0")
         .when(r <= bounds["S1"] * mu, "S1")
         .when(r <= bounds["S2"] * mu, "S2")
-        .when(mu.isNull() & (F.col("f_value") == 1), "N")
+        .when(mu.isNull() & single, "N")
         .otherwise("S3")
     )
-    return table.join(purchase_cycle(table, scope), scope).withColumn("nes_status", status)
+    return table.withColumn("nes_status", status)
+
+
+def nes_status(table: DataFrame, bounds: dict[str, float] = CYCLE_BOUNDS, scope: list[str] = SCOPE) -> DataFrame:
+    """Status of every customer against the mean purchase cycle of the scope.
+
+    The input is written once because it is read twice, for the cycle and for the rows; one row
+    per customer is far smaller than the facts behind it.
+    """
+    table = materialise(table, "customers")
+    return with_status(table.join(purchase_cycle(table, scope), scope), bounds)
 
 
 def intervals(by_date: DataFrame, keys: list[str] = CUSTOMER) -> DataFrame:
@@ -173,20 +195,26 @@ def p_alive_clv(table: DataFrame, horizon_weeks: float = 52.0, params: dict[str,
     )
 
 
-def value_tier(table: DataFrame, spend: str = "total_spent") -> DataFrame:
-    tiled = with_tiles(table, SCOPE, {spend: "_tier"}, "customer_id", 3)
-    return tiled.withColumn("value_tier", F.element_at(F.array(F.lit("Low"), F.lit("Medium"), F.lit("High")), F.col("_tier"))).drop("_tier")
+def value_tier(table: DataFrame) -> DataFrame:
+    return _name_tiles(with_tiles(table, SCOPE, TIER_TILES, "customer_id"))
+
+
+def with_segment(table: DataFrame) -> DataFrame:
+    return table.withColumn("dna_segment", F.concat_ws("_", "nes_status", "value_tier"))
 
 
 def segments(table: DataFrame) -> DataFrame:
     """`dna_segment` = activity status and spend tercile."""
-    return value_tier(table).withColumn("dna_segment", F.concat_ws("_", "nes_status", "value_tier"))
+    return with_segment(value_tier(table))
 
 
 def customer_dna(by_date: DataFrame, asof: Column) -> DataFrame:
-    """One row per customer and scope with every customer measure."""
-    base = rfm(by_customer(by_date), asof)
-    scored = segments(nes_status(rfm_scores(base)))
+    """One row per customer and scope with every customer measure; all tiles share one ordered pass."""
+    by_date = materialise(by_date, "by_date")
+    base = materialise(rfm(by_customer(by_date), asof), "rfm")
+    tiled = with_tiles(base, SCOPE, {**SCORE_TILES, **TIER_TILES}, "customer_id")
+    cycle = purchase_cycle(base)
+    scored = with_segment(with_status(_name_tiles(tiled).join(cycle, SCOPE)))
     return p_alive_clv(scored).join(cai(by_date).drop("n_gaps"), CUSTOMER, "left")
 
 
@@ -286,7 +314,8 @@ def rsv(table: DataFrame) -> DataFrame:
         .withColumn("unstable_value", F.coalesce("gap_variation", F.lit(1e9)))
         .withColumn("worth_value", F.col("m_value") * F.col("f_value"))
     )
-    tiled = with_tiles(base, SCOPE, {"risk_value": "_r", "unstable_value": "_s", "worth_value": "_v"}, "customer_id", 3)
+    tiles = {"_r": ("risk_value", 3), "_s": ("unstable_value", 3), "_v": ("worth_value", 3)}
+    tiled = with_tiles(base, SCOPE, tiles, "customer_id")
     label = lambda c, names: F.element_at(F.array(*[F.lit(n) for n in names]), F.col(c))
     return (
         tiled.withColumn("risk", label("_r", ["LowRisk", "MidRisk", "HighRisk"]))

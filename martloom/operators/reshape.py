@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_index
@@ -55,22 +55,23 @@ def one_hot(df: DataFrame, ids: list[str], cols: list[str], exclude: tuple[str,
 def complete_series(df: DataFrame, date: str, group: list[str], values: list[str]) -> DataFrame:
     """Dense daily grid per group over the global first..last day; gaps are 0 and marked FILLED.
 
-    Grid days are added as zero rows and summed with the real ones: one hash aggregate with a
-    partial step instead of a sort-merge join of grid and facts.
+    Each real day generates itself and the empty days up to the next one (the first also those
+    before it), so only real rows are shuffled and the grid is produced in place. After the daily
+    sum a group has one row per calendar day at most, which bounds the window.
     """
-    first, last = df.agg(F.min(date), F.max(date)).first()
-    if first is None:
-        return df.select(*group, date, *[F.col(v).cast("double").alias(v) for v in values], F.lit("REAL").alias("data_source"))
-    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 day"))
-    grid = df.select(*group).distinct().withColumn(date, F.explode(days))
-    zeros = grid.select(*group, date, *[F.lit(0.0).alias(v) for v in values], F.lit(0).alias("_real"))
-    real = df.select(*group, F.to_date(date).alias(date), *[F.col(v).cast("double").alias(v) for v in values], F.lit(1).alias("_real"))
-    return (
-        real.unionByName(zeros)
-        .groupBy(*group, date)
-        .agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(v) for v in values], F.max("_real").alias("_real"))
-        .withColumn("data_source", F.when(F.col("_real") == 1, "REAL").otherwise("FILLED"))
-        .drop("_real")
+    first, last = df.agg(F.min(date).cast("date"), F.max(date).cast("date")).first()
+    daily = df.groupBy(*group, F.to_date(date).alias(date)).agg(*[F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
+    w = Window.partitionBy(*group).orderBy(date)
+    begin = F.when(F.lag(date).over(w).isNull(), F.lit(first)).otherwise(F.col(date))
+    end = F.coalesce(F.date_sub(F.lead(date).over(w), 1), F.lit(last))
+    spans = daily.filter(F.col(date).isNotNull()).withColumn("_days", F.sequence(begin, end, F.expr("interval 1 day")))
+    grid = spans.withColumn("_day", F.explode("_days"))
+    real = F.col("_day") == F.col(date)
+    return grid.select(
+        *group,
+        F.col("_day").alias(date),
+        *[F.when(real, F.col(v)).otherwise(0.0).alias(v) for v in values],
+        F.when(real, "REAL").otherwise("FILLED").alias("data_source"),
     )
 
 

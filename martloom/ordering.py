@@ -116,29 +116,19 @@ def with_next(df: DataFrame, group: list[str], order: list, cols: list[str], pre
     )
 
 
-def ntile_of(rank: Column, size: Column, k: int) -> Column:
-    """SQL `ntile(k)` from an exact row number and group size."""
-    base = F.floor(size / k)
-    extra = size % k
-    in_large = rank <= extra * (base + 1)
-    large = F.ceil(rank / (base + 1))
-    small = extra + F.ceil((rank - extra * (base + 1)) / F.greatest(base, F.lit(1)))
-    return F.when(in_large, large).otherwise(small).cast("int")
-
-
-def tile_cuts(df: DataFrame, group: list[str], metrics: list[str], ident: str, k: int) -> DataFrame:
-    """Per (group, metric): the sorted array `cuts` of the k-1 last rows (v, id) of each tile."""
-    long = df.select(
-        *group,
-        ident,
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])).alias("_m"),
-    ).select(*group, F.col("_m.metric").alias("metric"), F.col("_m.v").alias("v"), ident)
-    placed = ranked(long.filter(F.col("v").isNotNull()), [*group, "metric"], ["v", ident], "rn", "size")
-    base, extra = F.floor(F.col("size") / k), F.col("size") % k
-    ends = F.array(*[F.lit(j) * base + F.least(F.lit(j), extra) for j in range(1, k)])
+Tiles = dict[str, tuple[str, int]]  # output column -> (metric column, number of tiles)
+
+
+def tile_cuts(df: DataFrame, group: list[str], tiles: Tiles, ident: str) -> DataFrame:
+    """Per (group, tile column): the sorted array `cuts` of the last rows (v, id) of all tiles but one."""
+    entries = [F.struct(F.lit(out).alias("tile"), F.lit(k).alias("k"), F.col(m).cast("double").alias("v")) for out, (m, k) in tiles.items()]
+    long = df.select(*group, ident, F.explode(F.array(*entries)).alias("_m")).select(*group, "_m.tile", "_m.k", "_m.v", ident)
+    placed = ranked(long.filter(F.col("v").isNotNull()), [*group, "tile"], ["v", ident], "rn", "size")
+    base, extra = F.floor(F.col("size") / F.col("k")), F.col("size") % F.col("k")
+    ends = F.transform(F.sequence(F.lit(1), F.col("k") - 1), lambda j: j * base + F.least(j, extra))
     return (
         placed.filter(F.array_contains(ends, F.col("rn")))
-        .groupBy(*group, "metric")
+        .groupBy(*group, "tile")
         # k-1 rows per group at most
         .agg(F.array_sort(F.collect_list(F.struct(F.col("v"), F.col(ident).alias("id")))).alias("cuts"))
     )
@@ -148,22 +138,24 @@ def _below(row: Column):
     return lambda cut: cut < row
 
 
-def with_tiles(df: DataFrame, group: list[str], metrics: dict[str, str], ident: str, k: int) -> DataFrame:
-    """Add `ntile(k)` columns: {metric: output name}, ordered by (metric, ident) in each group.
+def with_tiles(df: DataFrame, group: list[str], tiles: Tiles, ident: str) -> DataFrame:
+    """Add `ntile(k)` columns, each ordered by (metric, ident) in its group; null metrics get null.
 
-    Only the cut rows travel back, so the frame itself is never shuffled for the scores.
+    The input is written once because it is read twice: for the cut rows and for the result. Only
+    the cut rows travel back, so the frame itself is not shuffled for the scores.
     """
-    cuts = tile_cuts(df, group, list(metrics), ident, k)
+    df = materialise(df, "tiles")
+    cuts = tile_cuts(df, group, tiles, ident)
     wide = cuts.groupBy(*group).agg(
-        *[F.first(F.when(F.col("metric") == m, F.col("cuts")), ignorenulls=True).alias(f"_cut_{m}") for m in metrics]
+        *[F.first(F.when(F.col("tile") == out, F.col("cuts")), ignorenulls=True).alias(f"_cut_{out}") for out in tiles]
     )
-    out = _join_on(df, wide, group, "left")
-    for m, name in metrics.items():
+    scored = _join_on(df, wide, group, "left")
+    for out, (m, _) in tiles.items():
         here = F.struct(F.col(m).cast("double").alias("v"), F.col(ident).alias("id"))
-        passed = F.size(F.filter(F.col(f"_cut_{m}"), _below(here)))
-        score = F.lit(1) + F.when(F.col(f"_cut_{m}").isNull(), F.lit(0)).otherwise(passed)
-        out = out.withColumn(name, F.when(F.col(m).isNotNull(), score).cast("int"))
-    return out.drop(*[f"_cut_{m}" for m in metrics])
+        passed = F.coalesce(F.size(F.filter(F.col(f"_cut_{out}"), _below(here))), F.lit(0))
+        passed = F.when(F.col(f"_cut_{out}").isNull(), F.lit(0)).otherwise(passed)
+        scored = scored.withColumn(out, F.when(F.col(m).isNotNull(), F.lit(1) + passed).cast("int"))
+    return scored.drop(*[f"_cut_{out}" for out in tiles])
 
 
 def quantiles(df: DataFrame, group: list[str], value: str, probs: dict[str, float]) -> DataFrame:

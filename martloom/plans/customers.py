@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martloom.operators import customer as cus
 from martloom.plans.commerce import SALES_SQL, as_of, msum, rmean, sales, table
 from martloom.plans.registry import query
+from martloom.session import materialise
 
 BY_DATE_SQL = (
     SALES_SQL
@@ -273,7 +274,7 @@ def summary(spark, sf):
       SELECT {KEYS_SQL}, ['LowRisk','MidRisk','HighRisk'][r] || '-' || ['Stable','MidStable','Unstable'][s] || '-' || ['LowValue','MidValue','HighValue'][v] AS customer_type FROM t""",
 )
 def rsv_types(spark, sf):
-    days = _by_date(spark, sf)
+    days = materialise(_by_date(spark, sf), "by_date")
     base = cus.nes_status(cus.rfm(cus.by_customer(days), as_of(spark, sf))).join(cus.cai(days), cus.CUSTOMER)
     return cus.rsv(base).select(*cus.CUSTOMER, "customer_type")
 

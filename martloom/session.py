@@ -14,8 +14,6 @@ RUNTIME = {
     # a join whose hot key was split keeps its extra shuffle instead of one giant task
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # plan building only: no Python stack capture for every column expression
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -34,6 +32,8 @@ def build_session(app: str = "martloom", cores: int | str = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        # plan building only: no Python stack capture for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -63,8 +63,15 @@ def stage_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Cut lineage with a written table: survives lost executors and is computed once."""
+    """Cut lineage with a written table: survives lost executors and is computed once.
+
+    A frame that already reads a stage is returned as it is.
+    """
+    if getattr(df, "_martloom_stage", False):
+        return df
     spark = df.sparkSession
     path = stage_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._martloom_stage = True
+    return staged

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,14 +78,10 @@ def first_rec(features: DataFrame, kept_products: int = 50, trees: int = 20, see
     assemble = VectorAssembler(inputCols=["r_value", "f_value", "m_value", "last_index"], outputCol="features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=5, maxBins=max(64, kept_products + 2), seed=seed)
     model = Pipeline(stages=[last, label, assemble, forest]).fit(train)
-    names = label.labels
-    scored = Pipeline(stages=[model.stages[0], model.stages[2], model.stages[3]])
-    from pyspark.ml.functions import vector_to_array
-
     out = grouped
-    for stage in scored.getStages():
+    for stage in (model.stages[0], model.stages[2], model.stages[3]):
         out = stage.transform(out)
-    weights = vector_to_array("probability")
-    ranked = F.transform(F.array(*[F.lit(n) for n in names]), lambda name, i: F.struct(weights[i].alias("p"), name.alias("name")))
-    allowed = F.filter(ranked, lambda s: s["name"] != "other")
-    return out.select("customer_id", F.array_max(allowed)["name"].cast("long").alias("recommended_product"))
+    out = out.withColumn("_w", vector_to_array("probability"))
+    # at most kept_products entries; no lambda, because a model function cannot travel inside one
+    choices = F.array(*[F.struct(F.col("_w")[i].alias("p"), F.lit(int(name)).cast("long").alias("item")) for i, name in enumerate(label.labels) if name != "other"])
+    return out.select("customer_id", F.array_max(choices)["item"].alias("recommended_product"))

@@ -85,7 +85,8 @@ def apply_aliases(df: DataFrame, aliases: dict[str, str], required: list[str]) -
         if old in df.columns and new not in taken:
             renames[old] = new
             taken.add(new)
-    out = df.withColumnsRenamed(renames)
+    # by position: two headers may differ in case only
+    out = df.toDF(*[renames.get(c, c) for c in df.columns])
     return out.select(*[F.col(f"`{c}`") if c in out.columns else F.lit(None).cast("string").alias(c) for c in required])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.money import exact_mean, exact_sum
+from martloom.session import attach_row, sized
 
 
 def with_rollup_all(df: DataFrame, dim: str, out: str | None = None, label: str = "all") -> DataFrame:
@@ -92,11 +93,9 @@ def conflict_groups(df: DataFrame, item: str, line: str) -> DataFrame:
 def with_pct(counts: DataFrame, n: str = "n", by: list[str] | None = None) -> DataFrame:
     """Share of the total; the total is an aggregate joined back, not a window over all rows."""
     if by:
-        return counts.join(counts.groupBy(*by).agg(F.sum(n).alias("_total")), by).withColumn("pct", F.col(n) / F.col("_total") * 100).drop("_total")
-    total = counts.agg(F.sum(n).alias("_total")).withColumn("_one", F.lit(1))
-    return (
-        counts.withColumn("_one", F.lit(1)).join(total, "_one").withColumn("pct", F.col(n) / F.col("_total") * 100).drop("_one", "_total")
-    )
+        return counts.join(sized(counts.groupBy(*by).agg(F.sum(n).alias("_total"))), by).withColumn("pct", F.col(n) / F.col("_total") * 100).drop("_total")
+    total = counts.agg(F.sum(n).alias("_total"))
+    return attach_row(counts, total).withColumn("pct", F.col(n) / F.col("_total") * 100).drop("_total")
 
 
 def summary_by_hierarchy(coefficients: DataFrame) -> DataFrame:

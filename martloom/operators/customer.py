@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.money import MONEY, exact_mean, exact_sum
 from martloom.operators.aggregate import with_rollup_all
 from martloom.ordering import quantiles, running_total, with_tiles
-from martloom.session import materialise
+from martloom.session import materialise, sized
 
 SCOPE = ["platform_id", "product_line_id_filter"]
 CUSTOMER = [*SCOPE, "customer_id"]
@@ -131,7 +131,7 @@ def nes_status(table: DataFrame, bounds: dict[str, float] = CYCLE_BOUNDS, scope:
     per customer is far smaller than the facts behind it.
     """
     table = materialise(table, "customers")
-    return with_status(table.join(purchase_cycle(table, scope), scope), bounds)
+    return with_status(table.join(sized(purchase_cycle(table, scope)), scope), bounds)
 
 
 def intervals(by_date: DataFrame, keys: list[str] = CUSTOMER) -> DataFrame:
@@ -213,7 +213,7 @@ def customer_dna(by_date: DataFrame, asof: Column) -> DataFrame:
     by_date = materialise(by_date, "by_date")
     base = materialise(rfm(by_customer(by_date), asof), "rfm")
     tiled = with_tiles(base, SCOPE, {**SCORE_TILES, **TIER_TILES}, "customer_id")
-    cycle = purchase_cycle(base)
+    cycle = sized(purchase_cycle(base))
     scored = with_segment(with_status(_name_tiles(tiled).join(cycle, SCOPE)))
     return p_alive_clv(scored).join(cai(by_date).drop("n_gaps"), CUSTOMER, "left")
 
@@ -270,11 +270,11 @@ def distribution(table: DataFrame, metrics: list[str], bins: int = 500) -> DataF
 def histogram(table: DataFrame, metrics: list[str], bins: int = 30) -> DataFrame:
     long = _metrics_long(table, metrics)
     keys = [*SCOPE, "metric"]
-    counted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialise(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")), "counted")
     span = counted.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     at = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
     return (
-        counted.join(span, keys)
+        counted.join(sized(span), keys)
         .withColumn("bin", F.when(F.col("hi") > F.col("lo"), at).otherwise(0).cast("int"))
         .groupBy(*keys, "bin")
         .agg(F.sum("n").alias("n"))
@@ -292,7 +292,7 @@ def category_counts(table: DataFrame, columns: list[str]) -> DataFrame:
 
 def summary_stats(table: DataFrame, metrics: list[str]) -> DataFrame:
     keys = [*SCOPE, "metric"]
-    long = _metrics_long(table, metrics)
+    long = materialise(_metrics_long(table, metrics), "metrics")
     moments = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         exact_mean("value").alias("mean"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martloom.operators.clean import is_blank
 from martloom.operators.window import first_n_per_key
 from martloom.ordering import ranked
+from martloom.session import attach_row
 
 
 def join_order_details(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -49,12 +50,14 @@ def fill_from_maps(df: DataFrame, maps: list[tuple[str, DataFrame, str, str]], t
     out = df.withColumn("_cur", F.when(~is_blank(target), F.trim(target))).withColumn(
         "filled_by", F.when(F.col("_cur").isNotNull(), "present")
     )
+    # rows without a key must not meet in one task of a shuffled join
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string")
     for name, mapping, row_key, map_key in maps:
         known = unique_map(mapping, map_key, target)
         out = (
-            out.withColumn("_rk", F.when(F.col("_cur").isNull(), F.trim(F.col(row_key).cast("string"))))
+            out.withColumn("_rk", F.coalesce(F.trim(F.col(row_key).cast("string")), F.concat(F.lit("\u0000"), spread)))
             .join(known, F.col("_rk") == F.col("_key"), "left")
-            .withColumn("filled_by", F.coalesce("filled_by", F.when(F.col("_value").isNotNull(), name)))
+            .withColumn("filled_by", F.coalesce("filled_by", F.when(F.col("_value").isNotNull(), F.lit(name))))
             .withColumn("_cur", F.coalesce("_cur", "_value"))
             .drop("_rk", "_key", "_value")
         )
@@ -152,13 +155,8 @@ def fill_sales(df: DataFrame, own: DataFrame, competitor: DataFrame, item: str)
 def assign_ids(df: DataFrame, key: list[str], registry: DataFrame, out: str = "customer_id") -> tuple[DataFrame, DataFrame]:
     """(rows with ids, extended registry). Known keys keep their id; new keys follow the largest one in key order."""
     fresh = df.dropna(subset=key).select(*key).distinct().join(registry, key, "left_anti")
-    top = registry.agg(F.coalesce(F.max(out), F.lit(0)).alias("_top")).withColumn("_one", F.lit(1))
-    numbered = (
-        ranked(fresh, [], key, "_n")
-        .withColumn("_one", F.lit(1))
-        .join(top, "_one")
-        .select(*key, (F.col("_top") + F.col("_n")).cast("long").alias(out))
-    )
+    top = registry.agg(F.coalesce(F.max(out), F.lit(0)).alias("_top"))
+    numbered = attach_row(ranked(fresh, [], key, "_n"), top).select(*key, (F.col("_top") + F.col("_n")).cast("long").alias(out))
     grown = registry.select(*key, F.col(out).cast("long").alias(out)).unionByName(numbered)
     return df.join(grown, key, "left"), grown
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.poisson import MODEL, compress, fit
+from martloom.session import sized
 
 NO_MARKET = "__no_market_data__"
 
@@ -22,7 +23,7 @@ def ownership(items: DataFrame, item: str, flags: DataFrame, own_series: DataFra
 def dense_indicators(items: DataFrame, hot: DataFrame, item: str) -> DataFrame:
     """0/1 rows for every (item, level used in its line); the level list is small and keyed by line."""
     keyed = hot.join(items.select(item, "product_line_id"), item)
-    levels = keyed.select("product_line_id", "predictor").distinct()
+    levels = sized(keyed.select("product_line_id", "predictor").distinct())
     return (
         items.select(item, "product_line_id")
         .join(levels, "product_line_id")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.sets import union_all
-from martloom.session import materialise
+from martloom.session import materialise, sized
 
 MODEL = ["product_line_id", "predictor"]
 MAX_LEVELS = 20_000
@@ -283,7 +283,7 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     `quasi` scales standard errors by the Pearson dispersion.
     """
     levels = materialise(levels, "levels")
-    gate = estimability(levels, min_rows)
+    gate = sized(estimability(levels, min_rows))
     usable = levels.filter("x is not null and n > 0").join(gate.filter("estimation_status = 'estimated'").select(*MODEL), MODEL, "left_semi")
     sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"), F.count_distinct("x").alias("_x"))
     kind = F.when(F.col("_x") == 2, "two").when(F.col("_k") <= max_levels, "few").otherwise("many")

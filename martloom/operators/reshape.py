@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import month_index
 from martloom.operators.clean import blank_to_null
+from martloom.session import attach_row, materialise, sized
 
 
 def explode_items(orders: DataFrame, items: str = "line_items") -> DataFrame:
@@ -49,7 +50,7 @@ def one_hot(df: DataFrame, ids: list[str], cols: list[str], exclude: tuple[str,
         .filter(F.col("level").isNotNull())
     )
     sizes = long.groupBy("parent").agg(F.count_distinct("level").alias("k")).filter(F.col("k").between(2, max_levels))
-    return long.join(sizes.select("parent"), "parent").select(*ids, F.concat_ws("::", "parent", "level").alias("predictor"), F.lit(1.0).alias("x"))
+    return long.join(sized(sizes.select("parent")), "parent").select(*ids, F.concat_ws("::", "parent", "level").alias("predictor"), F.lit(1.0).alias("x"))
 
 
 def complete_series(df: DataFrame, date: str, group: list[str], values: list[str]) -> DataFrame:
@@ -59,12 +60,13 @@ def complete_series(df: DataFrame, date: str, group: list[str], values: list[str
     before it), so only real rows are shuffled and the grid is produced in place. After the daily
     sum a group has one row per calendar day at most, which bounds the window.
     """
-    first, last = df.agg(F.min(date).cast("date"), F.max(date).cast("date")).first()
-    daily = df.groupBy(*group, F.to_date(date).alias(date)).agg(*[F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
+    sums = [F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias(v) for v in values]
+    daily = materialise(df.filter(F.col(date).isNotNull()).groupBy(*group, F.to_date(date).alias(date)).agg(*sums), "daily")
+    first, last = daily.agg(F.min(date), F.max(date)).first()
     w = Window.partitionBy(*group).orderBy(date)
     begin = F.when(F.lag(date).over(w).isNull(), F.lit(first)).otherwise(F.col(date))
     end = F.coalesce(F.date_sub(F.lead(date).over(w), 1), F.lit(last))
-    spans = daily.filter(F.col(date).isNotNull()).withColumn("_days", F.sequence(begin, end, F.expr("interval 1 day")))
+    spans = daily.withColumn("_days", F.sequence(begin, end, F.expr("interval 1 day")))
     grid = spans.withColumn("_day", F.explode("_days"))
     real = F.col("_day") == F.col(date)
     return grid.select(
@@ -83,9 +85,9 @@ def months_listed(df: DataFrame, item: str, date: str, how: str, sales: str = "s
         return dated.groupBy(item).agg(F.count_distinct(month).alias("months_listed"))
     if how != "first_to_end":
         raise ValueError(how)
-    end = dated.agg(F.max(month)).first()[0]
-    first = F.min(F.when(F.col(sales) > 0, month))
-    return dated.groupBy(item).agg((F.lit(end) - first + 1).alias("months_listed"))
+    per_item = materialise(dated.groupBy(item).agg(F.min(F.when(F.col(sales) > 0, month)).alias("_first"), F.max(month).alias("_last")), "months")
+    end = per_item.agg(F.max("_last").alias("_end"))
+    return attach_row(per_item, end).select(item, (F.col("_end") - F.col("_first") + 1).alias("months_listed"))
 
 
 def resolve_exposure(items: DataFrame, item: str, own: DataFrame, competitor: DataFrame, full_period: int) -> DataFrame:

@@ -13,6 +13,7 @@ from martloom.operators.lookup import flag_membership, with_definitions
 from martloom.operators.reshape import reviews_to_long
 from martloom.operators.window import tail_per_group
 from martloom.ordering import with_next
+from martloom.session import attach_row, materialise, sized
 
 RESULT_KEY = ["review_id", "topic", "model"]
 FIELDS = ["platform_id", "product_line_id", "product_id", "review_date", "rating", "review_text"]
@@ -21,7 +22,7 @@ FIELDS = ["platform_id", "product_line_id", "product_id", "review_date", "rating
 def stage_reviews(raw: DataFrame) -> DataFrame:
     """Typed, valid and distinct reviews with date parts, text length and overall fill rate.
 
-    The fill rate is one aggregate row joined back by a constant.
+    The fill rate is one aggregate row.
     """
     typed = raw.withColumn("review_date", dates.review_date(F.col("date"))).withColumn("rating", F.col("rating").try_cast("int"))
     valid = keep_matching(typed.withColumn("variation", F.trim("variation")), "variation", ASIN).distinct()
@@ -29,8 +30,8 @@ def stage_reviews(raw: DataFrame) -> DataFrame:
         {"review_year": F.year("review_date"), "review_month": F.month("review_date"), "body_length": F.length("body")}
     )
     filled = (~is_blank("body") & F.col("rating").isNotNull() & F.col("review_date").isNotNull()).cast("int")
-    rate = parts.agg((F.sum(filled) * 100 / F.count(F.lit(1))).alias("quality_pct")).withColumn("_one", F.lit(1))
-    return parts.withColumn("_one", F.lit(1)).join(rate, "_one").drop("_one")
+    rate = parts.agg((F.sum(filled) * 100 / F.count(F.lit(1))).alias("quality_pct"))
+    return attach_row(parts, rate)
 
 
 def transform_reviews(staged: DataFrame, lines: list[str], competitors: DataFrame) -> DataFrame:
@@ -78,11 +79,12 @@ def ratings_by_item(ratings: DataFrame) -> DataFrame:
 
 def impute(items: DataFrame) -> DataFrame:
     """Fill missing item ratings with the line's topic mean, then the topic mean; the flag stays."""
+    items = materialise(items, "items")
     by_line = items.groupBy("product_line_id", "topic").agg(F.avg("rating").alias("_line"))
     overall = items.groupBy("topic").agg(F.avg("rating").alias("_topic"))
     return (
-        items.join(by_line, ["product_line_id", "topic"])
-        .join(overall, "topic")
+        items.join(sized(by_line), ["product_line_id", "topic"])
+        .join(sized(overall), "topic")
         .withColumn("imputed", F.col("rating").isNull())
         .withColumn("rating", F.coalesce("rating", "_line", "_topic"))
         .drop("_line", "_topic")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.operators.clean import drop_sentinels
 from martloom.operators.sets import union_all
 from martloom.operators.window import first_n_per_key
-from martloom.session import materialise
+from martloom.session import materialise, sized
 
 
 def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int = 500) -> DataFrame:
@@ -18,11 +18,11 @@ def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int
 
     Cluster numbers are reordered by size, then by mean sales, so they do not depend on the seed's labels.
     """
-    whole = position.dropna(subset=topics).select("product_line_id", "product_id", "sales", *topics)
+    whole = materialise(position.dropna(subset=topics).select("product_line_id", "product_id", "sales", *topics), "positions")
     moments = whole.groupBy("product_line_id").agg(
         *[F.avg(t).alias(f"_m_{t}") for t in topics], *[F.coalesce(F.stddev(t), F.lit(0.0)).alias(f"_s_{t}") for t in topics]
     )
-    scaled = whole.join(moments, "product_line_id").select(
+    scaled = whole.join(sized(moments), "product_line_id").select(
         "product_line_id", "product_id", "sales",
         *[F.when(F.col(f"_s_{t}") > 0, (F.col(t) - F.col(f"_m_{t}")) / F.col(f"_s_{t}")).otherwise(0.0).alias(t) for t in topics],
     )
@@ -43,7 +43,7 @@ def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int
     sizes = every.groupBy("product_line_id", "_raw").agg(F.count(F.lit(1)).alias("_n"), F.avg("sales").alias("_s"))
     # at most k rows per line
     order = sizes.groupBy("product_line_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("n"), (-F.col("_s")).alias("s"), F.col("_raw").alias("raw")))).alias("_o"))
-    return every.join(order, "product_line_id").select(
+    return every.join(sized(order), "product_line_id").select(
         "product_line_id", "product_id", F.array_position(F.transform("_o", lambda s: s["raw"]), F.col("_raw")).cast("int").alias("cluster")
     )
 

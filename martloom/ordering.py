@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.session import materialise
+from martloom.session import materialise, sized
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
@@ -60,13 +60,14 @@ def _carry(laid: DataFrame, group: list[str], measure: Column) -> DataFrame:
     per = laid.groupBy("_part", *group).agg(F.min("_pos").alias("_first"), measure.alias("_own"))
     w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     earlier = w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(
+    placed = per.select(
         "_part",
         *group,
         "_first",
         F.sum("_own").over(earlier).alias("_before"),
         F.sum("_own").over(w).alias("_total"),
     )
+    return sized(placed)
 
 
 def ranked(df: DataFrame, group: list[str], order: list, out: str = "rn", size: str | None = None) -> DataFrame:
@@ -109,7 +110,7 @@ def with_next(df: DataFrame, group: list[str], order: list, cols: list[str], pre
         .withColumn("_succ", F.lead("_head").over(Window.partitionBy(F.lit(0)).orderBy("_part")))
         .select("_part", "_succ")
     )
-    joined = _join_on(tagged, heads, ["_part"], "left").withColumn("_nx", F.coalesce("_lead", "_succ"))
+    joined = _join_on(tagged, sized(heads), ["_part"], "left").withColumn("_nx", F.coalesce("_lead", "_succ"))
     inside = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col("_nx")[g]) for g in group], F.col("_nx").isNotNull())
     return joined.select(
         *df.columns, *[F.when(inside, F.col("_nx")[c]).alias(f"{prefix}{c}") for c in cols]
@@ -149,7 +150,7 @@ def with_tiles(df: DataFrame, group: list[str], tiles: Tiles, ident: str) -> Dat
     wide = cuts.groupBy(*group).agg(
         *[F.first(F.when(F.col("tile") == out, F.col("cuts")), ignorenulls=True).alias(f"_cut_{out}") for out in tiles]
     )
-    scored = _join_on(df, wide, group, "left")
+    scored = _join_on(df, sized(wide), group, "left")
     for out, (m, _) in tiles.items():
         here = F.struct(F.col(m).cast("double").alias("v"), F.col(ident).alias("id"))
         passed = F.coalesce(F.size(F.filter(F.col(f"_cut_{out}"), _below(here))), F.lit(0))

@@ -315,7 +315,7 @@ def snapshots(spark, sf):
     m AS (SELECT a.platform_id, a.product_line_id_filter, from_period, to_period, a.nes_status AS from_status, b.nes_status AS to_status, COUNT(*) AS customers
       FROM steps JOIN snap a ON a.period = from_period JOIN snap b ON b.period = to_period AND a.platform_id = b.platform_id
         AND a.product_line_id_filter = b.product_line_id_filter AND a.customer_id = b.customer_id GROUP BY ALL)
-    SELECT *, ROUND(CAST(SUM(customers) FILTER (from_status IN ('S1','S2','S3') AND to_status = 'E0') OVER w AS DOUBLE)
+    SELECT *, ROUND(CAST(COALESCE(SUM(customers) FILTER (from_status IN ('S1','S2','S3') AND to_status = 'E0') OVER w, 0) AS DOUBLE)
        / NULLIF(SUM(customers) FILTER (from_status IN ('S1','S2','S3')) OVER w, 0), 6) AS awakening_rate FROM m
     WINDOW w AS (PARTITION BY platform_id, product_line_id_filter, from_period, to_period)""",
 )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 # Runtime settings every job relies on; none of them fixes a partition count.
 RUNTIME = {
@@ -62,6 +63,20 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a global aggregate, which is exactly one row, to every row."""
+    return df.join(broadcast(row))
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Write a summary first, so that its true size decides how it is joined.
+
+    Joined by a scope key that most rows share, a big table would otherwise be shuffled into a few
+    tasks before Spark learns at run time that the other side is small.
+    """
+    return materialise(df, "summary")
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage with a written table: survives lost executors and is computed once.
 

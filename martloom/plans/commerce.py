@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import fill_cores
+
 OWN_BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5"]
 
 
@@ -22,7 +24,7 @@ def status_of(flag: Column) -> Column:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order; no product attributes."""
-    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    li, o = fill_cores(table(spark, sf_dir, "lineitem"), "l_orderkey"), table(spark, sf_dir, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),

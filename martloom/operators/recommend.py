@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.window import first_n_per_key
 from martloom.ordering import with_next
+from martloom.session import stage_path
 
 EVENT_ORDER = ["payment_time", "order_id", "line_number", "product_id"]
 
@@ -79,7 +80,10 @@ def first_rec(features: DataFrame, kept_products: int = 50, trees: int = 20, see
     forest = RandomForestClassifier(numTrees=trees, maxDepth=5, maxBins=max(64, kept_products + 2), seed=seed)
     model = Pipeline(stages=[last, label, assemble, forest]).fit(train)
     out = grouped
-    for stage in (model.stages[0], model.stages[2], model.stages[3]):
+    # a reloaded forest carries no training summary, whose session cannot travel to the tasks
+    saved = stage_path(features.sparkSession, "forest")
+    model.stages[3].write().save(saved)
+    for stage in (model.stages[0], model.stages[2], RandomForestClassificationModel.load(saved)):
         out = stage.transform(out)
     out = out.withColumn("_w", vector_to_array("probability"))
     # at most kept_products entries; no lambda, because a model function cannot travel inside one

@@ -14,7 +14,10 @@ OLE2_MAGIC = "D0CF11E0A1B11AE1"
 
 
 def detect_format(spark: SparkSession, folder: str) -> DataFrame:
-    """xlsx, xls or csv by the leading bytes, whatever the file is called."""
+    """xlsx, xls or csv by the leading bytes, whatever the file is called.
+
+    Loads each file's bytes into one row, as Spark's binary reader does: for drop-folder files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     magic = F.hex(F.substring("content", 1, 8))
     kind = F.when(magic.startswith(ZIP_MAGIC), "xlsx").when(magic == OLE2_MAGIC, "xls").otherwise("csv")
@@ -50,7 +53,9 @@ def _headers(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str
     paths = csv_files(spark, folder)
     if not paths:
         raise FileNotFoundError(folder)
-    first = spark.read.text(paths, wholetext=False).withColumn("path", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+    # a large file has many splits: its header is the first line of the split that starts at byte 0
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    first = text.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
     lines = first.groupBy("path").agg(F.min(F.struct("at", "value"))["value"].alias("header")).collect()
     layouts: dict[tuple[str, ...], list[str]] = {}
     for row in lines:

@@ -37,6 +37,18 @@ def test_drop_folder_unions_by_name(spark, folder):
     assert got.count() == 3
 
 
+def test_header_of_a_file_with_many_splits(spark, folder):
+    body = "".join(f"{i},{'x' * 20}\n" for i in range(4000))
+    (folder / "long.csv").write_text("id,filler\n" + body)
+    (folder / "short.csv").write_text("id,filler\n-1,y\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8KB")
+    try:
+        assert list(files._headers(spark, str(folder))) == [("id", "filler")]
+        assert files.read_drop(spark, str(folder)).count() == 4001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_modal_schema(spark):
     f = lambda cols, vals: spark.createDataFrame([vals], cols)
     frames = {"jan": f(["a", "b"], [1, 2]), "feb": f(["a", "b"], [3, 4]), "bad_head": f(["a", "b??"], [5, 6]), "wide": f(["a", "b", "c"], [7, 8, 9]), "swapped": f(["b", "a"], [10, 11])}

@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.session import materialise, sized
+from martloom.session import attach_row, materialise, sized
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
@@ -70,17 +71,98 @@ def _carry(laid: DataFrame, group: list[str], measure: Column) -> DataFrame:
     return sized(placed)
 
 
+def _local_runs(group: list[str], weight: str | None):
+    """Arrow step over one sorted task: rows (and weight) of the current group so far, the row included."""
+
+    def step(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last, rows, total = None, 0, 0  # key of the row before this batch, its running values
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            starts = np.zeros(n, dtype=bool)
+            for c in group:
+                col = batch.column(batch.schema.get_field_index(c))
+                if n > 1:
+                    one, two = col.slice(0, n - 1), col.slice(1)
+                    differ = pc.fill_null(pc.not_equal(one, two), False)
+                    differ = pc.or_(differ, pc.xor(pc.is_null(one), pc.is_null(two)))
+                    starts[1:] |= differ.to_numpy(zero_copy_only=False)
+            key = [batch.column(batch.schema.get_field_index(c))[0].as_py() for c in group]
+            starts[0] = key != last
+            last = [batch.column(batch.schema.get_field_index(c))[n - 1].as_py() for c in group]
+            where = np.arange(n)
+            begun = np.maximum.accumulate(np.where(starts, where, -1))
+            local = where - np.maximum(begun, 0) + 1 + np.where(begun < 0, rows, 0)
+            out = [pa.array(local, pa.int64())]
+            rows = int(local[-1])
+            if weight:
+                w = batch.column(batch.schema.get_field_index(weight)).to_numpy(zero_copy_only=False).astype(np.int64)
+                upto = np.cumsum(w)
+                run = upto - np.where(begun < 0, 0, (upto - w)[np.maximum(begun, 0)]) + np.where(begun < 0, total, 0)
+                out.append(pa.array(run, pa.int64()))
+                total = int(run[-1])
+            names = ["_rank", "_run"][: len(out)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
+
+    return step
+
+
+def _task_of(df: DataFrame) -> DataFrame:
+    mid = F.monotonically_increasing_id()
+    return df.withColumn("_part", F.shiftright(mid, _POS_BITS)).withColumn("_pos", mid.bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+
+
+def positions(df: DataFrame, group: list[str], order: list, rank: str = "rn", weight: str | None = None, run: str = "upto") -> DataFrame:
+    """Add the row number inside each group and, with `weight` (a long without nulls), its running sum.
+
+    One range shuffle, written once. Each task counts its own runs while it writes; only the group
+    cut by a task border needs an offset, so the carry table has one row per task.
+    """
+    keys = _as_columns(group) + _as_columns(order)
+    laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    laid = _task_of(laid)
+    if group or weight:
+        added = "_rank long" + (", _run long" if weight else "")
+        schema = T.StructType([*laid.schema.fields, *T._parse_datatype_string(added).fields])
+        laid = laid.mapInArrow(_local_runs(group, weight), schema)
+    else:
+        laid = laid.withColumn("_rank", F.col("_pos") + F.lit(1))
+    laid = materialise(laid, "ordered")
+    key = F.struct(F.lit(0).alias("_k"), *group)
+    sums = ["_rank"] + (["_run"] if weight else [])
+    ends = laid.groupBy("_part").agg(
+        F.min_by(key, "_pos").alias("_first"), F.max_by(key, "_pos").alias("_last"), *[F.max_by(c, "_pos").alias(c) for c in sums]
+    )
+    ends = materialise(ends, "task-ends")  # one row per task
+    before = ends.select(F.col("_part").alias("_q"), F.col("_last").alias("_g"), *[F.col(c).alias(f"_q{c}") for c in sums])
+    offsets = (
+        ends.join(before, (F.col("_first").eqNullSafe(F.col("_g"))) & (F.col("_q") < F.col("_part")))
+        .groupBy("_part", "_first")
+        .agg(*[F.sum(f"_q{c}").alias(f"_b{c}") for c in sums])
+    )
+    offsets = offsets.select(F.col("_part").alias("_p"), F.col("_first").alias("_g"), *[f"_b{c}" for c in sums])
+    offsets = sized(offsets)
+    joined = laid.withColumn("_key", key).join(offsets, (F.col("_part") == F.col("_p")) & F.col("_key").eqNullSafe(F.col("_g")), "left")
+    outs = [(F.col("_rank") + F.coalesce("_b_rank", F.lit(0))).alias(rank)]
+    if weight:
+        outs.append((F.col("_run") + F.coalesce("_b_run", F.lit(0))).alias(run))
+    return joined.select(*df.columns, *outs)
+
+
 def ranked(df: DataFrame, group: list[str], order: list, out: str = "rn", size: str | None = None) -> DataFrame:
     """`row_number() over (partition by group order by order)`, exact; `size` adds the group count."""
-    laid = lay_out(df, group, order)
-    carry = _carry(laid, group, F.count(F.lit(1)))
-    numbered = _join_on(laid, carry, ["_part", *group])
-    numbered = numbered.withColumn(
-        out, F.col("_pos") - F.col("_first") + F.coalesce("_before", F.lit(0)) + F.lit(1)
-    )
-    if size:
-        numbered = numbered.withColumnRenamed("_total", size)
-    return numbered.drop("_part", "_pos", "_first", "_before", "_total")
+    numbered = positions(df, group, order, out)
+    if size is None:
+        return numbered
+    if not group:
+        return attach_row(numbered, df.agg(F.count(F.lit(1)).alias(size)))
+    counts = sized(df.groupBy(*group).agg(F.count(F.lit(1)).alias(size)))
+    return _join_on(numbered, counts, group)
 
 
 def running_total(df: DataFrame, group: list[str], order: list, value: str, out: str, total: str) -> DataFrame:

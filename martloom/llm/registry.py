@@ -13,6 +13,8 @@ SQL: dict[str, str] = {}
 MODULES = [
     "op02_secrets",
     "op06_shards",
+    "op09_chat",
+    "op10_simhash",
 ]
 
 

@@ -12,7 +12,9 @@ SQL: dict[str, str] = {}
 
 MODULES = [
     "op02_secrets",
+    "op03_pieces",
     "op06_shards",
+    "op08_benchmark",
     "op09_chat",
     "op10_simhash",
 ]

@@ -14,6 +14,7 @@ MODULES = [
     "op02_secrets",
     "op03_pieces",
     "op06_shards",
+    "op07_toxicity",
     "op08_benchmark",
     "op09_chat",
     "op10_simhash",

@@ -204,7 +204,7 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
     what then still is large has nearly all bits in common and is searched as it is.
     """
     cols = ["id", "fp"] + (["check"] if check_radius is not None else [])
-    todo = distinct.select(*cols).withColumn("path", F.array().cast("array<long>")).withColumn("used", F.lit(0).cast("long"))
+    todo = distinct.select(*cols).withColumn("path", F.lit("")).withColumn("used", F.lit(0).cast("long"))
     found = None
     for depth in range(rounds):
         # patterns depend on the bits already used; the same choice at each level keeps their number small
@@ -213,16 +213,16 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
         spread = todo.withColumn("mask", F.explode(steps[F.col("used")]))
         keyed = spread.select(
             *cols,
-            F.concat("path", F.array(F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")))).alias("path"),
+            F.concat_ws(",", "path", F.col("mask").cast("string"), F.col("fp").bitwiseAND(F.col("mask")).cast("string")).alias("path"),
             F.col("used").bitwiseOR(F.col("mask")).alias("used"),
         )
         counts = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         last = depth == rounds - 1
         counts = materialise(counts, "group-sizes")
         small = counts if last else counts.filter(F.col("n") <= GROUP_ROWS)
-        grouped = keyed.join(small.select("path"), "path")
-        links = grouped.groupBy("path").applyInPandas(_search(radius, check_radius), "a long, b long")
-        links = materialise(links, "links")
+        # whole groups lie together in a task, and small ones are searched many at a time
+        grouped = keyed.join(small.select("path"), "path").repartition("path").sortWithinPartitions("path")
+        links = materialise(grouped.select("path", *cols).mapInArrow(_search(radius, check_radius), "a long, b long"), "links")
         found = links if found is None else found.unionByName(links)
         if last:
             break
@@ -234,18 +234,61 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
     return found
 
 
+SMALL = 64  # groups up to this size are compared directly, many at once
+
+
 def _search(radius: int, check_radius: int | None):
-    def step(group):
-        import pandas as pd
-
-        fps = group["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-        check = None
-        if check_radius is not None:
-            check = np.array(group["check"].tolist(), dtype=np.int64).view(np.uint64)
-        links = group_links(fps, radius, check, check_radius or 0)
-        ids = group["id"].to_numpy(dtype=np.int64)
+    """Links within the groups of a sorted task; rows of one group may span batches."""
+
+    def searched(path, ids, fps, check):
+        import pyarrow as pa
+
+        first = np.concatenate(([0], np.nonzero(path[1:] != path[:-1])[0] + 1))
+        last = np.append(first[1:], len(path))
+        links: list[tuple[int, int]] = []
+        small = last - first <= SMALL
+        groups = _Level(first[small], last[small], None, None)
+        rows = np.cumsum((last[small] - first[small]) ** 2)
+        at = 0
+        while at < len(rows):
+            stop = max(at + 1, int(np.searchsorted(rows, (rows[at - 1] if at else 0) + (1 << 20), side="right")))
+            here = np.arange(at, stop)
+            _, x, y = _children(groups, here, here)
+            near = (x != y) & (np.bitwise_count(fps[x] ^ fps[y]) <= radius)
+            x, y = x[near], y[near]
+            if check is not None and len(x):
+                alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
+                x, y = x[alike], y[alike]
+            links.extend(zip(x.tolist(), y.tolist()))
+            at = stop
+        for a, b in zip(first[~small].tolist(), last[~small].tolist()):
+            found = group_links(fps[a:b], radius, None if check is None else check[a:b], check_radius or 0)
+            links.extend((a + i, a + j) for i, j in found)
         pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
+        columns = [pa.array(ids[pairs[:, 0]], pa.int64()), pa.array(ids[pairs[:, 1]], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    def step(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path = np.array(batch.column(0).to_pylist(), dtype=object)
+            ids = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            fps = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            check = None
+            if check_radius is not None:
+                check = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).reshape(len(ids), -1)
+            now = [path, ids, fps, check]
+            if held is not None:
+                now = [None if one is None else np.concatenate([one, two]) for one, two in zip(held, now)]
+            # the last group may go on in the next batch
+            border = int(np.argmax(now[0] == now[0][-1]))
+            if border:
+                yield searched(*[None if c is None else c[:border] for c in now])
+            held = [None if c is None else c[border:] for c in now]
+        if held is not None:
+            yield searched(*held)
 
     return step
 

@@ -13,6 +13,7 @@ SQL: dict[str, str] = {}
 MODULES = [
     "op02_secrets",
     "op03_pieces",
+    "op04_urls",
     "op06_shards",
     "op07_toxicity",
     "op08_benchmark",

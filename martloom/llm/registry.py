@@ -11,6 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 MODULES = [
+    "op01_pages",
     "op02_secrets",
     "op03_pieces",
     "op04_urls",

@@ -15,6 +15,7 @@ MODULES = [
     "op02_secrets",
     "op03_pieces",
     "op04_urls",
+    "op05_nearest",
     "op06_shards",
     "op07_toxicity",
     "op08_benchmark",

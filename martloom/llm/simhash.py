@@ -11,7 +11,7 @@ by further patterns over the bits left, so it is never searched whole. Inside a
 fingerprints are sorted by Gray rank (neighbours differ in few bits), consecutive ones are gathered
 into nodes, and each node stores the bits all its members share. A pair of nodes whose shared bits
 already differ in more than r places is pruned as a whole; differences on the way down add up until
-single fingerprints are compared. A group yields a spanning forest of its links, never all pairs.
+the fingerprints of two leaves are compared. A group yields a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -21,14 +21,15 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.llm.components import components
 from martloom.session import materialise, sized
 
 CHUNK = 1 << 18  # shingles hashed at once, so that one very long text needs bounded memory
 PAIRS = 1 << 12  # node pairs opened at once
-LEAF = 16  # fingerprints in a leaf node
-FANOUT = 16  # nodes below an upper node
+LEAF = 128  # fingerprints in a leaf node
+FANOUT = 8  # nodes below an upper node
 GROUP_ROWS = 4096  # fingerprints of a group searched by one task before it is divided further
 
 
@@ -77,26 +78,30 @@ def fingerprint(text: str | None, shingle: int, lanes: int = 1, seed: int = 42,
     return np.packbits(2 * counts > total, bitorder="little").view(np.uint64)
 
 
-def fingerprints(docs: DataFrame, ident: str, text: str, shingle: int, check_shingle: int = 0, check_lanes: int = 4) -> DataFrame:
-    """(`ident`, fp long[, check array<long>]) for every row; `check` is a wider sketch over other shingles."""
-    schema = f"`{ident}` {dict(docs.dtypes)[ident]}, fp long" + (", check array<long>" if check_shingle else "")
+def fingerprints(docs: DataFrame, text: str, keep: list[str], shingle: int, check_shingle: int = 0, check_lanes: int = 8) -> DataFrame:
+    """`keep` columns, fp (long) and, with `check_shingle`, check (binary): a wider sketch over other shingles."""
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("fp", T.LongType())])
+    if check_shingle:
+        schema = schema.add(T.StructField("check", T.BinaryType()))
 
     def step(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            fps, checks = [], []
-            for t in batch.column(1):
-                words = (t.as_py() or "").encode().lower().split()
-                fps.append(fingerprint(None, shingle, words=words))
+        for big in batches:
+            for at in range(0, big.num_rows, 512):
+                batch = big.slice(at, 512)
+                fps, checks = [], []
+                for t in batch.column(len(keep)):
+                    words = (t.as_py() or "").encode().lower().split()
+                    fps.append(fingerprint(None, shingle, words=words))
+                    if check_shingle:
+                        checks.append(fingerprint(None, check_shingle, check_lanes, words=words).tobytes())
+                columns = [*batch.columns[: len(keep)], pa.array(np.concatenate(fps).view(np.int64) if fps else [], pa.int64())]
                 if check_shingle:
-                    checks.append(fingerprint(None, check_shingle, check_lanes, words=words).view(np.int64))
-            columns = [batch.column(0), pa.array(np.concatenate(fps).view(np.int64) if fps else [], pa.int64())]
-            if check_shingle:
-                columns.append(pa.array(checks, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[ident, "fp", "check"][: len(columns)])
+                    columns.append(pa.array(checks, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(ident, text).mapInArrow(step, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(step, schema)
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -142,30 +147,31 @@ def group_links(fps: np.ndarray, radius: int, check: np.ndarray | None = None, c
     a = b = np.zeros(1, dtype=np.int64)
     # of each pair of nodes: bits compared so far and the differences found in them
     seen, differ = np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.uint8)
-    for nodes, below in zip(levels[::-1], [*levels[-2::-1], None]):
+    for nodes, below in zip(levels[:0:-1], levels[-2::-1]):
         kept = []
         for at in range(0, len(a), PAIRS):
             here = slice(at, at + PAIRS)
             pair, x, y = _children(nodes, a[here], b[here])
-            past, more = seen[here][pair], differ[here][pair]
-            if below is not None:
-                shared = below.mask[x] & below.mask[y]
-                more = more + np.bitwise_count((below.value[x] ^ below.value[y]) & shared & ~past)
-                near = more <= radius
-                kept.append((x[near], y[near], (past | shared)[near], more[near]))
-                continue
-            near = (x != y) & (more + np.bitwise_count((sorted_fps[x] ^ sorted_fps[y]) & ~past) <= radius)
-            x, y = order[x[near]], order[y[near]]
-            if check is not None and len(x):
-                alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
-                x, y = x[alike], y[alike]
-            for i, j in zip(x.tolist(), y.tolist()):
-                ri, rj = root(i), root(j)
-                if ri != rj:
-                    parent[max(ri, rj)] = min(ri, rj)
-                    links.append((i, j))
-        if below is not None:
-            a, b, seen, differ = (np.concatenate(c) for c in zip(*kept))
+            past, shared = seen[here][pair], below.mask[x] & below.mask[y]
+            more = differ[here][pair] + np.bitwise_count((below.value[x] ^ below.value[y]) & shared & ~past)
+            near = more <= radius
+            kept.append((x[near], y[near], (past | shared)[near], more[near]))
+        a, b, seen, differ = (np.concatenate(c) for c in zip(*kept))
+    leaves = levels[0]
+    for one, two in zip(a.tolist(), b.tolist()):
+        left, right = leaves.first[one], leaves.first[two]
+        apart = np.bitwise_count(sorted_fps[left : leaves.last[one], None] ^ sorted_fps[None, right : leaves.last[two]])
+        x, y = np.nonzero(apart <= radius)
+        x, y = x + left, y + right
+        x, y = order[x[x < y]], order[y[x < y]]
+        if check is not None and len(x):
+            alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
+            x, y = x[alike], y[alike]
+        for i, j in zip(x.tolist(), y.tolist()):
+            ri, rj = root(i), root(j)
+            if ri != rj:
+                parent[max(ri, rj)] = min(ri, rj)
+                links.append((i, j))
     return links
 
 
@@ -204,7 +210,7 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
     what then still is large has nearly all bits in common and is searched as it is.
     """
     cols = ["id", "fp"] + (["check"] if check_radius is not None else [])
-    todo = distinct.select(*cols).withColumn("path", F.lit("")).withColumn("used", F.lit(0).cast("long"))
+    todo = distinct.select(*cols).withColumn("path", F.lit(0).cast("long")).withColumn("used", F.lit(0).cast("long"))
     found = None
     for depth in range(rounds):
         # patterns depend on the bits already used; the same choice at each level keeps their number small
@@ -213,7 +219,8 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
         spread = todo.withColumn("mask", F.explode(steps[F.col("used")]))
         keyed = spread.select(
             *cols,
-            F.concat_ws(",", "path", F.col("mask").cast("string"), F.col("fp").bitwiseAND(F.col("mask")).cast("string")).alias("path"),
+            # groups that share a hash by chance are searched together, which loses nothing
+            F.xxhash64("path", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("path"),
             F.col("used").bitwiseOR(F.col("mask")).alias("used"),
         )
         counts = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -273,12 +280,12 @@ def _search(radius: int, check_radius: int | None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            path = np.array(batch.column(0).to_pylist(), dtype=object)
+            path = batch.column(0).to_numpy(zero_copy_only=False)
             ids = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             fps = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             check = None
             if check_radius is not None:
-                check = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).reshape(len(ids), -1)
+                check = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
             now = [path, ids, fps, check]
             if held is not None:
                 now = [None if one is None else np.concatenate([one, two]) for one, two in zip(held, now)]
@@ -299,7 +306,7 @@ def near_copies(docs: DataFrame, ident: str, text: str, shingle: int = 3, radius
     Equal fingerprints are folded first, so copies cost one entry; nulls in `ident` are never a
     component's name unless the whole component has none.
     """
-    printed = materialise(fingerprints(docs, ident, text, shingle), "fingerprints")
+    printed = materialise(fingerprints(docs, text, [ident], shingle), "fingerprints")
     distinct = printed.groupBy("fp").agg(F.min(ident).alias("least"))
     distinct = materialise(distinct, "distinct-fingerprints").withColumn("id", F.col("fp"))
     links = fingerprint_links(distinct, radius, blocks)
@@ -308,3 +315,27 @@ def near_copies(docs: DataFrame, ident: str, text: str, shingle: int = 3, radius
     least = rooted.filter("root != fp or least is not null").groupBy(F.col("root").alias("_r")).agg(F.min("least").alias("component_id"))
     labels = rooted.join(least, F.col("root") == F.col("_r"), "left").select(F.col("fp").alias("_fp"), "component_id")
     return printed.join(materialise(labels, "labels"), F.col("fp") == F.col("_fp"), "left").drop("_fp")
+
+
+def one_of_each(
+    docs: DataFrame, ident: str, text: str, shingle: int = 2, radius: int = 8, blocks: int = 9, check_shingle: int = 5, check_radius: int = 84
+) -> DataFrame:
+    """The rows of `docs` without near copies: the row with the smallest `ident` of each group stays.
+
+    Links need at most `radius` differing bits over shingles of `shingle` words, and at most
+    `check_radius` of 512 over shingles of `check_shingle` words, which estimates their similarity (0.8 of
+    all their shingles in common differs in about 78 bits). Repeated rows are copies of each other.
+    """
+    names = docs.columns
+    hidden = {c: f"_c{i}" for i, c in enumerate(names)}  # no clash with the columns added here
+    plain = docs.select([F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
+    printed = fingerprints(plain, hidden[text], list(hidden.values()), shingle, check_shingle)
+    printed = materialise(printed.withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
+    distinct = printed.groupBy("fp", "check").agg(F.min(F.struct(F.col(hidden[ident]).alias("i"), "_row")).alias("least"))
+    distinct = materialise(distinct.withColumn("id", F.col("least._row")), "distinct-fingerprints")
+    links = fingerprint_links(distinct, radius, blocks, check_radius)
+    named = components(links, "id")
+    rooted = distinct.select("id", "least").join(sized(named), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least._row").alias("_kept"))
+    stays = printed.join(materialise(kept, "kept-rows"), F.col("_row") == F.col("_kept"), "left_semi")
+    return stays.select([F.col(h).alias(c) for c, h in hidden.items()])

@@ -20,14 +20,14 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SPACE = "▁"
-KEPT = 1_000_000  # segmented units a worker remembers; the memory changes speed only
+KEPT = 1_000_000  # segmented units a task remembers; the memory changes speed only
 LONGEST_KEPT = 64  # longer units are not remembered, and are worked off with a heap
 CHUNK = 1 << 20  # characters segmented together
 WORD = (1 << 64) - 1
@@ -350,19 +350,13 @@ class Encoder:
             ids.extend(chain.from_iterable(plan))
         for unit, stream in fresh:
             if len(unit) > LONGEST_KEPT:
-                del known[stream][unit]
-
-
-@lru_cache(maxsize=4)
-def encoder(path: str, dropout: float, seed: int, streams: int) -> Encoder:
-    """One per worker process."""
-    return Encoder(Pieces(path), dropout, seed, streams)
+                known[stream].pop(unit, None)
 
 
 ROWS = 256  # texts handed back at once
 
 
-def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float = 0.1, seed: int = 7, streams: int = 4) -> DataFrame:
+def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float = 0.1, seed: int = 7, streams: int = 2) -> DataFrame:
     """Add `ids` (array<int>) and `lossless` (whether decoding gives the text again; null for a null text).
 
     `model` is a path every executor can read. Columns of these names are replaced.
@@ -371,9 +365,12 @@ def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float =
     docs = docs.select(*kept)
 
     def step(batches):
+        import gc
+
         import pyarrow as pa
 
-        enc = encoder(model, dropout, seed, streams)
+        gc.disable()  # millions of small tuples and no cycles; scanning them for cycles takes a tenth of the time
+        enc = Encoder(Pieces(model), dropout, seed, streams)
         for big in batches:
             for at in range(0, big.num_rows, ROWS):
                 batch = big.slice(at, ROWS)
@@ -383,8 +380,7 @@ def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float =
                 same = [None if t is None else enc.pieces.decode(i) == t for t, i in zip(texts, ids)]
                 arrays = [*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "ids", "lossless"])
-
-    from pyspark.sql import types as T
+        gc.enable()
 
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())])
     return docs.mapInArrow(step, schema)
@@ -398,12 +394,10 @@ def decoded(table: DataFrame, ids: str, model: str, out: str = "text") -> DataFr
     def step(batches):
         import pyarrow as pa
 
-        pieces = encoder(model, 0.0, 0, 1).pieces
+        pieces = Pieces(model)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
             texts = [None if x is None else pieces.decode(x) for x in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
-    from pyspark.sql import types as T
-
     return table.mapInArrow(step, T.StructType([*table.schema.fields, T.StructField(out, T.StringType())]))

@@ -10,7 +10,7 @@ from martloom.llm.registry import query
 from martloom.llm.tables import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, STREAMS = 0.1, 7, 4
+DROPOUT, SEED, STREAMS = 0.1, 7, 2
 
 
 @query("op3_dropout_pieces")

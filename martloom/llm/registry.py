@@ -37,3 +37,8 @@ def query(name: str, sql: str | None = None):
 def load() -> None:
     for name in MODULES:
         importlib.import_module(f"martloom.llm.queries.{name}")
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

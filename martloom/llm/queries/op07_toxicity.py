@@ -11,7 +11,7 @@ from martloom.llm.toxicity import fit_chain, scored
 
 # the label table has two judgements; low quality comes first in the chain
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
-SAMPLE, TERMS, THRESHOLD = 20_000, 16_384, 0.3
+SAMPLE, TERMS, THRESHOLD = 20_000, 4096, 0.2
 
 
 def judged(spark: SparkSession, docs: DataFrame, sf_dir: str, training: DataFrame | None = None) -> DataFrame:

@@ -3,8 +3,8 @@
 Categories are predicted in order; each later model sees, beside the text's terms, the probabilities of
 all earlier categories. While it is trained these come from out-of-fold models, so that they are as
 uncertain as they will be on new texts; for scoring, a model of each category is fitted to the whole
-sample. Terms are the distinct lower-cased words of the whole text and their beginnings of four and
-five characters, so that inflected or compounded forms share evidence.
+sample. Terms are the distinct lower-cased words of the whole text and their beginnings of three
+to six characters, so that inflected or compounded forms share evidence.
 
 The models are fitted on at most `sample` labelled rows (chosen by hash of the id) and use at most
 `terms` terms, those whose presence differs most between classes. Everything else runs over all rows.
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from martloom.session import materialise
 
 FOLDS = 3
-PREFIXES = (4, 5)
+PREFIXES = (3, 4, 5, 6)
 MIN_ROWS = 5  # labelled rows a term must occur in
 
 words_of = re.compile(r"\w+").findall
@@ -108,7 +108,7 @@ def chosen_terms(rows: DataFrame, names: list[str], terms: int) -> list[str]:
     return sorted(r["term"] for r in kept.select("term").collect())  # bounded by `terms`
 
 
-def fit_chain(docs: DataFrame, text: str, labels: DataFrame, ident: str, categories: dict[str, str], sample: int = 20_000, terms: int = 16_384) -> Chain:
+def fit_chain(docs: DataFrame, text: str, labels: DataFrame, ident: str, categories: dict[str, str], sample: int = 20_000, terms: int = 4096) -> Chain:
     """`categories` maps each name, in chain order, to an SQL condition over `labels`."""
     names = list(categories)
     rows = labelled_sample(docs, text, labels, ident, categories, sample)
@@ -134,7 +134,7 @@ def fit_chain(docs: DataFrame, text: str, labels: DataFrame, ident: str, categor
             continue
         inputs = ["_vec", *[f"_p_{c}" for c in names[:i]]]
         ready = VectorAssembler(inputCols=inputs, outputCol="_x").transform(rows)
-        learner = LogisticRegression(featuresCol="_x", labelCol=name, regParam=0.003, maxIter=60, probabilityCol="_prob", predictionCol="_pred", rawPredictionCol="_raw")
+        learner = LogisticRegression(featuresCol="_x", labelCol=name, regParam=0.03, maxIter=60, probabilityCol="_prob", predictionCol="_pred", rawPredictionCol="_raw")
         model = learner.fit(ready)
         values = model.coefficients.toArray().tolist()
         for t, w in zip(vocabulary, values):

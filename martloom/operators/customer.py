@@ -168,11 +168,15 @@ def _gauss_series(p: Column, q: Column, c: Column, z: Column) -> Column:
         below, at = c.to_numpy(), z.to_numpy()
         term = np.ones(len(at))
         run = term.copy()
-        for j in range(5000):
-            term = term * (u + j) * (v + j) / (below + j) / (j + 1) * at
-            run += term
-            if not len(at) or np.nanmax(np.abs(term)) < 1e-14:
-                break
+        # every element runs until its terms no longer count; below 1 the terms always fade
+        live = np.isfinite(u) & np.isfinite(v) & np.isfinite(below) & (at < 1)
+        run[~live] = np.nan
+        j = 0
+        while live.any():
+            term[live] = (term * (u + j) * (v + j) / (below + j) / (j + 1) * at)[live]
+            run[live] += term[live]
+            live &= np.abs(term) > 1e-15 * np.abs(run)
+            j += 1
         return pd.Series(run * (1 - at) ** (below - p.to_numpy() - q.to_numpy()))
 
     return F.pandas_udf(total, "double")(p, q, c, z)

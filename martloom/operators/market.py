@@ -59,11 +59,11 @@ def market_model(frame: DataFrame, min_obs: int = 3) -> DataFrame:
 def label_attributes(results: DataFrame, scales: DataFrame) -> DataFrame:
     """Scale and kind of each attribute, and the rate ratio over its whole observed range."""
     known = scales.groupBy(*MODEL).agg(F.min("scale").alias("scale"))
-    topic = F.col("scale").isNotNull()
+    kind = F.when(F.col("scale") == "2尺度", "mention_proportion").when(F.col("scale").isNotNull(), "rating").otherwise("product_feature")
     return (
         results.join(known, MODEL, "left")
-        .withColumn("attr_kind", F.when(F.col("scale") == "2尺度", "mention").when(topic, "rating").otherwise("product_attribute"))
-        .withColumn("predictor_type", F.when(topic, "comment_attribute").otherwise("product_attribute"))
+        .withColumn("attr_kind", kind)
+        .withColumn("predictor_type", F.when(kind == "mention_proportion", "comment_attribute").otherwise("product_attribute"))
         .withColumn("irr_display", F.exp(F.col("coefficient") * F.col("predictor_range")))
     )
 

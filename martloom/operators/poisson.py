@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +19,8 @@ from martloom.operators.sets import union_all
 from martloom.session import materialise, sized
 
 MODEL = ["product_line_id", "predictor"]
-MAX_LEVELS = 20_000
-MAX_ROUNDS = 50
-TOLERANCE = 1e-10
+TOLERANCE = 1e-10  # of a Newton step
+SETTLED = 1e-13  # relative change of the log-likelihood after which a fit that still moves has none
 
 # Columns that are never predictors. Fixed values.
 NOT_PREDICTORS = [
@@ -140,46 +138,6 @@ FIT_SCHEMA = (
 )
 
 
-def _level_solver():
-    """Newton on the levels of one model (at most MAX_LEVELS rows).
-
-    Built inside a function so that executors need no copy of this package.
-    """
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        z = ((pdf.x - pdf.x_mean) / pdf.x_sd).to_numpy()
-        weight = (pdf.n * pdf.exposure).to_numpy(dtype=float)
-        y, yy, n = pdf.sum_y.to_numpy(), pdf.sum_yy.to_numpy(), pdf.n.to_numpy(dtype=float)
-        t0, t1 = y.sum(), (z * y).sum()
-        a, b = math.log(t0 / weight.sum()), 0.0
-        done, rounds = False, 0
-
-        def sums():
-            mu = weight * np.exp(np.clip(a + b * z, -700, 700))
-            return mu, mu.sum(), (mu * z).sum(), (mu * z * z).sum()
-
-        mu, s0, s1, s2 = sums()
-        while rounds < MAX_ROUNDS and not done:
-            det = s0 * s2 - s1 * s1
-            if not det > 0:
-                break
-            da, db = (s2 * (t0 - s0) - s1 * (t1 - s1)) / det, (s0 * (t1 - s1) - s1 * (t0 - s0)) / det
-            scale = min(1.0, 3.0 / max(abs(da), abs(db), 1e-300))
-            a, b, rounds = a + scale * da, b + scale * db, rounds + 1
-            mu, s0, s1, s2 = sums()
-            done = max(abs(da), abs(db)) < TOLERANCE
-        rate = mu / n
-        pearson = (yy / rate).sum() - 2 * t0 + s0
-        row = [pdf.product_line_id.iat[0], pdf.predictor.iat[0], a, b, rounds, bool(done), s0, s1, s2, pearson]
-        return pd.DataFrame([row], columns=[f.split()[0] for f in FIT_SCHEMA.split(", ")])
-
-    return solve
-
-
-def _few_levels(levels: DataFrame, moments: DataFrame) -> DataFrame:
-    return levels.join(moments.select(*MODEL, "x_mean", "x_sd"), MODEL).groupBy(*MODEL).applyInPandas(_level_solver(), FIT_SCHEMA)
-
-
 def _two_valued(levels: DataFrame, moments: DataFrame) -> DataFrame:
     """Closed form for predictors with two values: each side's rate is its sum over its exposure."""
     x, e = F.col("x"), F.col("n") * F.col("exposure")
@@ -201,34 +159,43 @@ def _two_valued(levels: DataFrame, moments: DataFrame) -> DataFrame:
 
 
 def _newton_rounds(levels: DataFrame, moments: DataFrame) -> DataFrame:
-    """The same Newton steps as distributed sums; one tiny parameter table travels per round."""
+    """Newton steps as distributed sums; one tiny parameter table travels per round.
+
+    A model is done when its step is small, when it has no step (singular), or when its likelihood
+    no longer grows although its step is not small: then it has no finite maximum. The likelihood is
+    concave and its steps are bounded, so every model gets done.
+    """
     params = materialise(
         moments.select(
             *MODEL, "x_mean", "x_sd", "t0", "t1", F.log(F.col("t0") / F.col("sum_e")).alias("a"), F.lit(0.0).alias("b"),
-            F.lit(0).alias("rounds"), F.lit(False).alias("converged"),
+            F.lit(0).alias("rounds"), F.lit(False).alias("converged"), F.lit(False).alias("done"), F.lit(None).cast("double").alias("likelihood"),
         ),
         "newton",
     )
-    for _ in range(MAX_ROUNDS):
+    while not params.filter(~F.col("done")).isEmpty():
         sums = _model_sums(levels, params)
         det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
+        stuck = ~F.coalesce((det > 0) & (det < float("inf")), F.lit(False))
         r0, r1 = F.col("t0") - F.col("s0"), F.col("t1") - F.col("s1")
         da, db = (F.col("s2") * r0 - F.col("s1") * r1) / det, (F.col("s0") * r1 - F.col("s1") * r0) / det
         largest = F.greatest(F.abs("_da"), F.abs("_db"))
         scale = F.least(F.lit(1.0), 3.0 / F.greatest(largest, F.lit(1e-300)))
+        now = F.col("a") * F.col("t0") + F.col("b") * F.col("t1") - F.col("s0")
+        flat = F.coalesce(F.abs(now - F.col("likelihood")) <= SETTLED * (F.abs(now) + 1), F.lit(False)) & (largest > 1e-3)
         stepped = (
             params.join(sums, MODEL)
-            .withColumn("_da", F.when(F.col("converged") | (det <= 0), 0.0).otherwise(da))
-            .withColumn("_db", F.when(F.col("converged") | (det <= 0), 0.0).otherwise(db))
+            .withColumn("_stuck", stuck)
+            .withColumn("_da", F.when(F.col("done") | F.col("_stuck"), 0.0).otherwise(da))
+            .withColumn("_db", F.when(F.col("done") | F.col("_stuck"), 0.0).otherwise(db))
             .select(
                 *MODEL, "x_mean", "x_sd", "t0", "t1", (F.col("a") + scale * F.col("_da")).alias("a"), (F.col("b") + scale * F.col("_db")).alias("b"),
-                (F.col("rounds") + F.when(F.col("converged"), 0).otherwise(1)).alias("rounds"),
-                (F.col("converged") | ((det > 0) & (largest < TOLERANCE))).alias("converged"),
+                (F.col("rounds") + F.when(F.col("done"), 0).otherwise(1)).alias("rounds"),
+                (F.col("converged") | (~F.col("done") & ~F.col("_stuck") & (largest < TOLERANCE))).alias("converged"),
+                (F.col("done") | F.col("_stuck") | (largest < TOLERANCE) | flat).alias("done"),
+                F.when(F.col("done"), F.col("likelihood")).otherwise(now).alias("likelihood"),
             )
         )
         params = materialise(stepped, "newton")
-        if params.filter(~F.col("converged")).isEmpty():
-            break
     return params.join(_model_sums(levels, params), MODEL).select(*MODEL, "a", "b", "rounds", "converged", "s0", "s1", "s2", "pearson")
 
 
@@ -277,7 +244,7 @@ def two_sided_p(z: Column) -> Column:
     return F.when(x >= _TAIL_END, 0.0).otherwise(F.least(tail, F.lit(1.0)))
 
 
-def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, min_rows: int = 3) -> DataFrame:
+def fit(levels: DataFrame, quasi: bool = False, min_rows: int = 3) -> DataFrame:
     """Coefficient table for all models of a compressed frame.
 
     `quasi` scales standard errors by the Pearson dispersion.
@@ -285,11 +252,11 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     levels = materialise(levels, "levels")
     gate = sized(estimability(levels, min_rows))
     usable = levels.filter("x is not null and n > 0").join(gate.filter("estimation_status = 'estimated'").select(*MODEL), MODEL, "left_semi")
-    sizes = usable.groupBy(*MODEL).agg(F.count(F.lit(1)).alias("_k"), F.count_distinct("x").alias("_x"))
-    kind = F.when(F.col("_x") == 2, "two").when(F.col("_k") <= max_levels, "few").otherwise("many")
+    sizes = usable.groupBy(*MODEL).agg(F.count_distinct("x").alias("_x"))
+    kind = F.when(F.col("_x") == 2, "two").otherwise("many")
     moments = materialise(_moments(usable).join(sizes.select(*MODEL, kind.alias("_kind")), MODEL), "moments")
-    solvers = {"two": _two_valued, "few": _few_levels, "many": _newton_rounds}
-    # three kinds at most; a kind without models plans no job
+    solvers = {"two": _two_valued, "many": _newton_rounds}
+    # two kinds at most; a kind without models plans no job
     present = [r[0] for r in moments.select("_kind").distinct().orderBy("_kind").collect()]
     parts = [solvers[k](usable.join(moments.filter(F.col("_kind") == k).select(*MODEL), MODEL), moments.filter(F.col("_kind") == k).drop("_kind")) for k in present]
     fitted = union_all(*parts) if parts else usable.sparkSession.createDataFrame([], FIT_SCHEMA)
@@ -307,7 +274,7 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
         .withColumn("deviance", 2 * (F.col("t_ylogy") - eta_y - F.col("t0") + F.col("s0")))
         .withColumn("aic", -2 * (eta_y - F.col("s0") - F.col("t_logfact")) + 4)
         .withColumn("dispersion", dispersion)
-        .select(*MODEL, "intercept", "coefficient", "std_error", "z_value", "p_value", "deviance", "aic", "dispersion", "converged")
+        .select(*MODEL, "intercept", "coefficient", "std_error", "z_value", "p_value", "deviance", "aic", "dispersion", "converged", "rounds")
     )
     good = F.col("converged")
     half = 1.959963984540054 * F.col("std_error")
@@ -323,10 +290,10 @@ def fit(levels: DataFrame, max_levels: int = MAX_LEVELS, quasi: bool = False, mi
     numbers = ["intercept", "coefficient", "std_error", "z_value", "p_value", "deviance", "aic", "dispersion", *values]
     return (
         out.withColumns({c: F.when(good, F.col(c)) for c in numbers})
-        .withColumn("drop_reason", F.when(failed, "glm_error").otherwise(F.col("drop_reason")))
+        .withColumn("drop_reason", F.when(failed & (F.col("rounds") > 0), "not_converged").when(failed, "glm_error").otherwise(F.col("drop_reason")))
         .withColumn("estimation_status", F.when(failed, "not_estimable").otherwise(F.col("estimation_status")))
         .withColumn("convergence", F.when(good, "converged").otherwise("not_converged"))
-        .drop("converged", "n_levels")
+        .drop("converged", "rounds", "n_levels")
         .join(predictor_ranges(levels), MODEL, "left")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.text import composite_key
 from martloom.operators.clean import is_blank, require_nonblank, trim_all
-from martloom.operators.sets import union_all, union_tagged
+from martloom.operators.sets import union_all
 from martloom.operators.window import dedup, dedup_by_priority, surrogate
 from martloom.sources.headers import apply_aliases
 
@@ -23,9 +23,9 @@ PROPERTY_ALIASES = {
 PROPERTY_COLUMNS = ["product_line_id", "property_id", "property_name", "property_name_english", "definition", "type", "scale"]
 
 
-def line_dictionary(profiles: dict[str, DataFrame], item: str = "product_id") -> DataFrame:
-    """Distinct (item, line) pairs of all per-line profile tables."""
-    return union_tagged({line: df.select(item) for line, df in profiles.items()}).distinct()
+def line_dictionary(profiles: DataFrame, item: str = "product_id", line: str = "product_line_id") -> DataFrame:
+    """Distinct (item, line) pairs of the profiles of all lines, in one scan."""
+    return profiles.select(item, F.col(line).alias("product_line_id")).distinct()
 
 
 def product_mapping(sources: list[DataFrame]) -> DataFrame:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.window import first_n_per_key
-from martloom.ordering import with_next
-from martloom.session import stage_path
+from martloom.ordering import positions, with_next
+from martloom.session import materialise, sized, stage_path
 
 EVENT_ORDER = ["payment_time", "order_id", "line_number", "product_id"]
 
@@ -57,35 +56,81 @@ def rec_chain(starts: DataFrame, trans: DataFrame, k: int = 5) -> DataFrame:
     return chains.select("product_id", "chain", F.size("chain").alias("length"))
 
 
-def first_rec(features: DataFrame, kept_products: int = 50, trees: int = 20, seed: int = 500) -> DataFrame:
-    """Random-forest first choice from recency, frequency, value and last product.
+STATE = ["purchases", "spent", "span_days", "last_product"]
+FEATURES = ["purchases", "mean_spent", "span_days", "chance", "popularity"]
 
-    `features`: customer_id, r_value, f_value, m_value, last_product, next_product (null = to score).
-    Products beyond the most sold ones share the class `other`, which is never recommended.
+
+def purchase_states(sales: DataFrame, amount: str) -> DataFrame:
+    """One row for each purchase: the customer's history up to and including it, and the product bought next.
+
+    `sales` has customer_id, the event order and `amount`. Histories are running sums over the ordered
+    purchases, so a customer with very many of them spans tasks.
     """
-    top = features.groupBy("last_product").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "last_product").limit(kept_products)
-    known = top.select(F.col("last_product").alias("_p"))
-    grouped = (
-        features.join(known, F.col("last_product") == F.col("_p"), "left")
-        .withColumn("last_group", F.when(F.col("_p").isNotNull(), F.col("last_product").cast("string")).otherwise("other"))
-        .drop("_p")
-        .join(known, F.col("next_product") == F.col("_p"), "left")
-        .withColumn("next_group", F.when(F.col("_p").isNotNull(), F.col("next_product").cast("string")).when(F.col("next_product").isNotNull(), "other"))
-        .drop("_p")
-    )
-    train = grouped.filter("next_group is not null")
-    last = StringIndexer(inputCol="last_group", outputCol="last_index", handleInvalid="keep", stringOrderType="alphabetAsc")
-    label = StringIndexer(inputCol="next_group", outputCol="label", stringOrderType="alphabetAsc").fit(train)
-    assemble = VectorAssembler(inputCols=["r_value", "f_value", "m_value", "last_index"], outputCol="features")
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=5, maxBins=max(64, kept_products + 2), seed=seed)
-    model = Pipeline(stages=[last, label, assemble, forest]).fit(train)
-    out = grouped
-    # a reloaded forest carries no training summary, whose session cannot travel to the tasks
-    saved = stage_path(features.sparkSession, "forest")
-    model.stages[3].write().save(saved)
-    for stage in (model.stages[0], model.stages[2], RandomForestClassificationModel.load(saved)):
-        out = stage.transform(out)
-    out = out.withColumn("_w", vector_to_array("probability"))
-    # at most kept_products entries; no lambda, because a model function cannot travel inside one
-    choices = F.array(*[F.struct(F.col("_w")[i].alias("p"), F.lit(int(name)).cast("long").alias("item")) for i, name in enumerate(label.labels) if name != "other"])
-    return out.select("customer_id", F.array_max(choices)["item"].alias("recommended_product"))
+    cents = F.round(F.coalesce(F.col(amount), F.lit(0.0)) * 100).cast("long")
+    ordered = positions(
+        with_next(sales.select("customer_id", *EVENT_ORDER, cents.alias("_cents")), ["customer_id"], EVENT_ORDER, ["product_id"]).withColumn("_c", F.col("_cents")),
+        ["customer_id"], EVENT_ORDER, "purchases", "_cents", "_spent",
+    )
+    begun = ordered.groupBy("customer_id").agg(F.min("payment_time").alias("_begun"))
+    return ordered.join(begun, "customer_id").select(
+        "customer_id", *EVENT_ORDER, "purchases", (F.col("_spent") / 100.0).alias("spent"),
+        F.datediff("payment_time", "_begun").alias("span_days"), F.col("product_id").alias("last_product"), F.col("next_product_id").alias("next_product"),
+    )
+
+
+def candidates(states: DataFrame, trans: DataFrame, known: bool) -> DataFrame:
+    """Every state with all products that ever followed its last one.
+
+    With `known`, the state's own step is taken out of the counts it is judged by.
+    """
+    totals = trans.groupBy("from_product").agg(F.sum("n").alias("_all"))
+    into = trans.groupBy(F.col("to_product").alias("_to")).agg(F.sum("n").alias("_popular"))
+    edges = sized(trans.join(totals, "from_product").join(into, F.col("to_product") == F.col("_to")).select("from_product", "to_product", "n", "_all", "_popular"))
+    pairs = states.join(edges, F.col("last_product") == F.col("from_product"))
+    own = (F.col("to_product") == F.col("next_product")).cast("int") if known else F.lit(0)
+    seen = F.lit(1 if known else 0)
+    return pairs.select(
+        "customer_id", F.col("to_product").alias("item"), own.cast("double").alias("label"), F.col("purchases").cast("double").alias("purchases"),
+        (F.col("spent") / F.col("purchases")).alias("mean_spent"), F.col("span_days").cast("double").alias("span_days"),
+        F.when(F.col("_all") > seen, (F.col("n") - own) / (F.col("_all") - seen)).otherwise(0.0).alias("chance"),
+        F.log1p((F.col("_popular") - own).cast("double")).alias("popularity"),
+    )
+
+
+def first_rec(states: DataFrame, trans: DataFrame, trees: int = 20, seed: int = 500) -> DataFrame:
+    """(customer_id, recommended_product): the likeliest next product of every customer, by a forest.
+
+    The forest judges pairs of a customer and a product that has followed the customer's last one. It
+    learns from each customer's state before the final purchase, whether the candidate was that
+    purchase, and scores the state after it; no product is out of reach. A customer whose last product
+    has never been followed by another gets null.
+    """
+    final = states.filter("next_product is null")
+    # the step before the final purchase; repeats of the same product are no transitions
+    order = F.struct(*[F.col(c) for c in EVENT_ORDER])
+    before = states.filter("next_product is not null").groupBy("customer_id").agg(F.max_by(F.struct(*STATE, "next_product"), order).alias("s"))
+    past = before.select("customer_id", "s.*").filter("next_product <> last_product")
+    learn = materialise(candidates(past, trans, True), "known-choices")
+    score = materialise(candidates(final, trans, False), "open-choices")
+    everyone = final.select("customer_id").distinct()
+    classes = {r[0] for r in learn.select("label").distinct().collect()}
+    if len(classes) == 2:
+        assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+        model = RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed, probabilityCol="_votes", rawPredictionCol="_raw", predictionCol="_class").fit(assemble.transform(learn))
+        # a reloaded forest carries no training summary, whose session cannot travel to the tasks
+        saved = stage_path(states.sparkSession, "forest")
+        model.write().save(saved)
+        scored = RandomForestClassificationModel.load(saved).transform(assemble.transform(score)).withColumn("_w", vector_to_array("_votes")[1])
+    else:
+        scored = score.withColumn("_w", F.lit(0.0))
+    best = F.struct(F.col("_w"), F.col("chance"), (-F.col("item")).alias("_i"))
+    chosen = scored.groupBy("customer_id").agg(F.max_by("item", best).alias("recommended_product"))
+    return everyone.join(chosen, "customer_id", "left")
+
+
+def product_recommendations(states: DataFrame, trans: DataFrame, k: int = 5) -> DataFrame:
+    """customer_id, product_1 .. product_k: the first choice, then the likeliest chain from it."""
+    first = materialise(first_rec(states, trans), "first-choices")
+    chains = rec_chain(first.filter("recommended_product is not null").select(F.col("recommended_product").alias("product_id")), trans, k)
+    joined = first.join(chains.select(F.col("product_id").alias("_p"), "chain"), F.col("recommended_product") == F.col("_p"), "left")
+    return joined.select("customer_id", *[F.try_element_at("chain", F.lit(i + 1)).alias(f"product_{i + 1}") for i in range(k)])

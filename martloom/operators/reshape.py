@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.dates import month_index
+from martloom.functions.dates import month_index, months_span
 from martloom.operators.clean import blank_to_null
 from martloom.session import attach_row, materialise, sized
 
@@ -39,18 +39,36 @@ def binarise(ratings: DataFrame, topics: list[str]) -> DataFrame:
     return ratings.withColumn("rating", F.when(F.col("topic").isin(topics), flag).otherwise(F.col("rating")))
 
 
-def one_hot(df: DataFrame, ids: list[str], cols: list[str], exclude: tuple[str, ...] = (), max_levels: int = 50) -> DataFrame:
-    """Long indicator rows `(ids, parent::level, 1.0)` for columns with 2..max_levels values."""
-    used = [c for c in cols if c not in exclude]
+def one_hot(df: DataFrame, ids: list[str], cols: list[str], exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Long indicator rows `(ids, parent::level, 1.0)` for all columns with more than one value.
+
+    Constant and blank columns say nothing and are left out; `skipped_parents` lists them.
+    """
+    long = _levels_long(df, ids, [c for c in cols if c not in exclude])
+    sizes = _level_counts(long).filter(F.col("k") >= 2)
+    return long.join(sized(sizes.select("parent")), "parent").select(*ids, F.concat_ws("::", "parent", "level").alias("predictor"), F.lit(1.0).alias("x"))
+
+
+def skipped_parents(df: DataFrame, ids: list[str], cols: list[str], exclude: tuple[str, ...] = ()) -> DataFrame:
+    """(parent, reason) of the columns that `one_hot` leaves out."""
+    named = df.sparkSession.createDataFrame([(c, c in exclude) for c in cols], "parent string, excluded boolean")
+    counts = _level_counts(_levels_long(df, ids, cols))
+    reason = F.when(F.col("excluded"), "excluded").when(F.col("k").isNull(), "all_blank").when(F.col("k") == 1, "constant")
+    return named.join(counts, "parent", "left").withColumn("reason", reason).filter("reason is not null").select("parent", "reason")
+
+
+def _level_counts(long: DataFrame) -> DataFrame:
+    return long.groupBy("parent").agg(F.count_distinct("level").alias("k"))
+
+
+def _levels_long(df: DataFrame, ids: list[str], used: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("parent"), F.col(c).cast("string").alias("level")) for c in used])
-    long = (
+    return (
         blank_to_null(df.select(*ids, *used), [c for c, t in df.dtypes if c in used and t == "string"])
         .select(*ids, F.explode(pairs).alias("p"))
         .select(*ids, "p.parent", "p.level")
         .filter(F.col("level").isNotNull())
     )
-    sizes = long.groupBy("parent").agg(F.count_distinct("level").alias("k")).filter(F.col("k").between(2, max_levels))
-    return long.join(sized(sizes.select("parent")), "parent").select(*ids, F.concat_ws("::", "parent", "level").alias("predictor"), F.lit(1.0).alias("x"))
 
 
 def complete_series(df: DataFrame, date: str, group: list[str], values: list[str]) -> DataFrame:
@@ -90,15 +108,19 @@ def months_listed(df: DataFrame, item: str, date: str, how: str, sales: str = "s
     return attach_row(per_item, end).select(item, (F.col("_end") - F.col("_first") + 1).alias("months_listed"))
 
 
-def resolve_exposure(items: DataFrame, item: str, own: DataFrame, competitor: DataFrame, full_period: int) -> DataFrame:
-    """Own exposure, else competitor exposure, else the whole period; the source is kept."""
+def full_period(dates: DataFrame, date: str) -> DataFrame:
+    """One row: months from the first to the last date of own and competitor sales."""
+    return dates.agg(months_span(F.min(date), F.max(date)).alias("_full"))
+
+
+def resolve_exposure(items: DataFrame, item: str, own: DataFrame, competitor: DataFrame, period: DataFrame) -> DataFrame:
+    """Own exposure, else competitor exposure, else the whole period (`full_period`); the source is kept."""
     o, c = own.select(item, F.col("months_listed").alias("_o")), competitor.select(item, F.col("months_listed").alias("_c"))
     return (
-        items.join(o, item, "left")
-        .join(c, item, "left")
-        .withColumn("months_listed", F.coalesce("_o", "_c", F.lit(full_period)))
+        attach_row(items.join(o, item, "left").join(c, item, "left"), period)
+        .withColumn("months_listed", F.coalesce("_o", "_c", "_full"))
         .withColumn("exposure_source", F.when(F.col("_o").isNotNull(), "own").when(F.col("_c").isNotNull(), "competitor").otherwise("full_period"))
-        .drop("_o", "_c")
+        .drop("_o", "_c", "_full")
     )
 
 

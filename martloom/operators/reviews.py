@@ -45,8 +45,8 @@ def transform_reviews(staged: DataFrame, lines: list[str], competitors: DataFram
 
 
 def rating_frame(reviews: DataFrame, topics: DataFrame, definitions: DataFrame, n: int = 30) -> DataFrame:
-    """Newest n reviews of each competing product (all of own ones) x topics of their line."""
-    chosen = tail_per_group(reviews, ["product_id"], "review_date", ["review_id"], n, F.col("included_competitor"))
+    """Newest n reviews of each competing product x topics of their line; own products are not rated."""
+    chosen = tail_per_group(reviews.filter(F.col("included_competitor")), ["product_id"], "review_date", ["review_id"], n)
     return with_definitions(reviews_to_long(chosen, topics), definitions)
 
 

@@ -10,7 +10,7 @@ from martloom.operators import quality as dq
 from martloom.operators.customer import by_customer, customer_by_date
 from martloom.plans.commerce import REVIEWS_SQL, SALES_SQL, TOPICS, msum, order_lines, platform_of, products, reviews, sales, table
 from martloom.plans.registry import query
-from martloom.session import stage_path
+from martloom.session import materialise, stage_path
 from martloom.sources import files, headers, layers
 from martloom.sources.layers import TableRef
 
@@ -124,10 +124,21 @@ def conservation(spark, sf):
     return dq.conservation(s, after, "lineproduct_price")
 
 
-@query("filters_with_drop_counts", "DQ14", "SELECT l_returnflag, COUNT(*) AS n FROM lineitem WHERE l_quantity > 5 AND l_discount > 0 GROUP BY 1")
+@query(
+    "filters_with_drop_counts",
+    "DQ14",
+    """SELECT 'quantity' AS filter, COUNT(*) AS rows_before, COUNT(*) FILTER (NOT COALESCE(l_quantity > 5, false)) AS dropped FROM lineitem
+      UNION ALL SELECT 'discount', COUNT(*), COUNT(*) FILTER (NOT COALESCE(l_discount > 0, false)) FROM lineitem WHERE l_quantity > 5""",
+)
 def drop_counts(spark, sf):
-    kept, _ = dq.with_drop_counts(table(spark, sf, "lineitem"), {"quantity": F.col("l_quantity") > 5, "discount": F.col("l_discount") > 0})
-    return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    """Rows that each filter took, counted while the kept rows are written."""
+    filters = {"quantity": F.col("l_quantity") > 5, "discount": F.col("l_discount") > 0}
+    kept, seen = dq.with_drop_counts(table(spark, sf, "lineitem"), filters)
+    materialise(kept, "filtered-lines")
+    counts = seen.get
+    left = [counts["rows_in"], *[counts[f"after_{name}"] for name in filters]]
+    rows = [(name, before, before - after) for name, before, after in zip(filters, left, left[1:])]
+    return spark.createDataFrame(rows, "filter string, rows_before long, dropped long")
 
 
 @query(

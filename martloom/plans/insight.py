@@ -78,7 +78,7 @@ def _frame(spark, sf, n=3):
 
 
 FRAME_SQL = f"""{REVIEWS_SQL}, rr AS (SELECT review_id, review_date, product_id % 20 AS product_id, p_type AS product_line_id, p_brand NOT IN {OWN_SQL} AS included_competitor FROM reviews JOIN part ON p_partkey = product_id),
-kept AS (SELECT * FROM rr WHERE included_competitor QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY review_date DESC, review_id) <= 3 UNION ALL SELECT * FROM rr WHERE NOT included_competitor),
+kept AS (SELECT * FROM rr WHERE included_competitor QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY review_date DESC, review_id) <= 3),
 frame AS (SELECT kept.*, topic, CASE WHEN topic <> 'fit' THEN 'How is ' || topic END AS definition FROM kept CROSS JOIN (SELECT UNNEST(['comfort','durability','fit','price_value','safety']) AS topic))"""
 
 
@@ -167,10 +167,10 @@ def positions(spark, sf):
 @query(
     "series_with_topic_ratings",
     "JN9",
-    RT + ", " + SALES_SQL + ", w AS (SELECT product_id, AVG(rating) FILTER (topic = 'comfort') AS comfort_rating, AVG(rating) FILTER (topic = 'safety') AS safety_rating FROM ratings GROUP BY 1), t AS (SELECT product_id, SUM(quantity) AS sales FROM sales GROUP BY 1) SELECT t.*, comfort_rating, safety_rating FROM t LEFT JOIN w USING (product_id)",
+    RT + ", " + SALES_SQL + ", w AS (SELECT product_id, " + ", ".join(f"AVG(rating) FILTER (topic = '{t}') AS {t}_rating" for t in TOPICS) + " FROM ratings GROUP BY 1), t AS (SELECT product_id, SUM(quantity) AS sales FROM sales GROUP BY 1) SELECT * FROM t LEFT JOIN w USING (product_id)",
 )
 def series_ratings(spark, sf):
-    wide = reshape.ratings_wide(ratings_long(spark, sf), ["product_id"], ["comfort", "safety"])
+    wide = reshape.ratings_wide(ratings_long(spark, sf), ["product_id"], TOPICS)
     total = order_lines(spark, sf).groupBy("product_id").agg(F.sum("quantity").alias("sales"))
     return lookup.join_ratings(total, wide, "product_id")
 
@@ -220,7 +220,7 @@ def _topic_frame(spark, sf, rivals_only=False):
     items = lookup.fill_sales(p.select("product_id", "product_line_id", "is_own", "brand", "size"), own, comp, "product_id")
     o_months = reshape.months_listed(sales(spark, sf).filter("is_own"), "product_id", "order_date", "first_to_end", "quantity")
     c_months = reshape.months_listed(sales(spark, sf).filter("not is_own"), "product_id", "order_date", "distinct_months")
-    items = reshape.resolve_exposure(items, "product_id", o_months, c_months, 80)
+    items = reshape.resolve_exposure(items, "product_id", o_months, c_months, reshape.full_period(sales(spark, sf), "order_date"))
     means = reshape.binarise(rev.ratings_by_item(ratings_long(spark, sf)), BINARY_TOPICS)
     topics = means.select("product_id", "product_line_id", F.col("topic").alias("predictor"), F.col("rating").alias("x"))
     hot = reshape.one_hot(items.select("product_id", "brand"), ["product_id"], ["brand"])
@@ -366,16 +366,19 @@ def chains(spark, sf):
     return c.withColumn("chain", F.array_join(F.transform("chain", lambda x: x.cast("string")), ">"))
 
 
+def _choices(spark, sf):
+    lines = order_lines(spark, sf)
+    return materialise(recommend.purchase_states(lines, "lineproduct_price"), "states"), materialise(recommend.transitions(lines), "transitions")
+
+
 @query("first_recommendations", "REC2")
 def first(spark, sf):
-    steps = recommend.purchase_steps(order_lines(spark, sf))
-    last = steps.groupBy("customer_id").agg(
-        F.max_by("product_id", F.struct("payment_time", "order_id", "line_number", "product_id")).alias("last_product"),
-        F.max_by("next_product_id", F.when(F.col("next_product_id").isNotNull(), F.struct("payment_time", "order_id", "line_number", "product_id"))).alias("next_product"),
-    )
-    days = customer.customer_by_date(sales(spark, sf).withColumn("platform_id", F.lit("all"))).filter("product_line_id_filter = 'all'")
-    measures = customer.rfm(customer.by_customer(days), as_of(spark, sf)).select("customer_id", "r_value", "f_value", "m_value")
-    return recommend.first_rec(measures.join(last, "customer_id"))
+    return recommend.first_rec(*_choices(spark, sf))
+
+
+@query("product_recommendations", "REC1 REC2 REC3")
+def recommended(spark, sf):
+    return recommend.product_recommendations(*_choices(spark, sf))
 
 
 # ---- segments --------------------------------------------------------------------------------
@@ -441,8 +444,7 @@ def changed(spark, sf):
 
 @query("line_dictionary", "PRD1 SRC10", f"SELECT p_partkey AS product_id, p_type AS product_line_id FROM part")
 def line_dictionary(spark, sf):
-    p = products(spark, sf)
-    return prod.line_dictionary({line: p.filter(F.col("product_line_id") == line) for line in LINES})
+    return prod.line_dictionary(products(spark, sf))
 
 
 MAPPING_SQL = """src AS (SELECT 'S' || p_partkey % 700 AS sku, CAST(p_partkey % 90 AS VARCHAR) AS item_id, p_type AS product_line_id, 1 AS source_rank FROM part WHERE p_size < 10

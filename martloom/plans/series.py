@@ -142,13 +142,13 @@ def rival_months(spark, sf):
 @query(
     "resolved_exposure",
     "RSH9",
-    S + f""", {EXPOSURE_SQL} SELECT p_partkey AS product_id, COALESCE(own.months, comp.months, 80) AS months_listed,
+    S + f""", {EXPOSURE_SQL} SELECT p_partkey AS product_id, COALESCE(own.months, comp.months, (SELECT (YEAR(MAX(order_date)) - YEAR(MIN(order_date))) * 12 + MONTH(MAX(order_date)) - MONTH(MIN(order_date)) + 1 FROM sales)) AS months_listed,
       CASE WHEN own.months IS NOT NULL THEN 'own' WHEN comp.months IS NOT NULL THEN 'competitor' ELSE 'full_period' END AS exposure_source
       FROM part LEFT JOIN own ON own.product_id = p_partkey LEFT JOIN comp ON comp.product_id = p_partkey""",
 )
 def exposure(spark, sf):
     own, rival = _exposure(spark, sf)
-    return reshape.resolve_exposure(products(spark, sf).select("product_id"), "product_id", own, rival, 80).withColumn("months_listed", F.col("months_listed").cast("long"))
+    return reshape.resolve_exposure(products(spark, sf).select("product_id"), "product_id", own, rival, reshape.full_period(sales(spark, sf), "order_date")).withColumn("months_listed", F.col("months_listed").cast("long"))
 
 
 @query(
@@ -378,6 +378,10 @@ def driver_significance(spark, sf):
     return poisson.significance(_calendar_fit(spark, sf))
 
 
+def _latest_year(spark, sf) -> int:
+    return table(spark, sf, "orders").agg(F.year(F.max("o_orderdate"))).first()[0]
+
+
 @query(
     "coefficient_time_labels",
     "POI10 FN9 FN18 SRT3",
@@ -393,7 +397,7 @@ def driver_significance(spark, sf):
       CAST(CASE WHEN predictor = 'year' THEN 1000 WHEN m IS NOT NULL THEN 3000 + m WHEN predictor = 'day' THEN 5000 WHEN wd > 0 THEN 4000 + wd ELSE 9999 END AS INTEGER) AS display_order FROM p""",
 )
 def time_labels(spark, sf):
-    year = table(spark, sf, "orders").agg(F.year(F.max("o_orderdate"))).first()[0]
+    year = _latest_year(spark, sf)
     names = F.explode(F.array(*[F.lit(c) for c in ["year", "day", "size", *CALENDAR]]))
     lines = sales(spark, sf).select("product_line_id").distinct().withColumn("predictor", names)
     return labels.label_coefficients(lines, year)
@@ -405,7 +409,7 @@ def time_labels(spark, sf):
     f"""WITH {CLOSED_SQL} SELECT CASE WHEN predictor LIKE 'month%' THEN 'month' ELSE 'weekday' END AS time_hierarchy, COUNT(*) AS n, COUNT(*) AS n_labelled, ROUND(AVG(EXP(b)), 6) AS mean_irr FROM e GROUP BY 1""",
 )
 def by_hierarchy(spark, sf):
-    return summary_by_hierarchy(labels.label_coefficients(_calendar_fit(spark, sf), 2001)).withColumn("mean_irr", F.round("mean_irr", 6))
+    return summary_by_hierarchy(labels.label_coefficients(_calendar_fit(spark, sf), _latest_year(spark, sf))).withColumn("mean_irr", F.round("mean_irr", 6))
 
 
 @query("top_calendar_drivers", "SRT4", f"WITH {CLOSED_SQL} SELECT product_line_id, predictor, ROUND(b, 6) AS coefficient FROM e ORDER BY ABS(b / se) DESC LIMIT 8")

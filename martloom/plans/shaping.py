@@ -171,13 +171,13 @@ def surrogate(spark, sf):
 @query(
     "last_reviews_per_competitor",
     "WIN5",
-    R + """, j AS (SELECT review_id, p_type, review_date, p_brand NOT IN ('Brand#1','Brand#2','Brand#3','Brand#4','Brand#5') AS rival FROM reviews JOIN part ON p_partkey = product_id)
-      SELECT * FROM j WHERE rival QUALIFY ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY review_date DESC, review_id) <= 30 UNION ALL SELECT * FROM j WHERE NOT rival""",
+    R + """, j AS (SELECT review_id, product_id, review_date, p_brand NOT IN ('Brand#1','Brand#2','Brand#3','Brand#4','Brand#5') AS rival FROM reviews JOIN part ON p_partkey = product_id)
+      SELECT * FROM j WHERE rival QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY review_date DESC, review_id) <= 30""",
 )
 def last_n(spark, sf):
-    p = products(spark, sf).select("product_id", F.col("product_line_id").alias("p_type"), (~F.col("is_own")).alias("rival"))
-    r = reviews(spark, sf).select("review_id", "review_date", "product_id").join(p, "product_id").select("review_id", "p_type", "review_date", "rival")
-    return window.tail_per_group(r, ["p_type"], "review_date", ["review_id"], 30, F.col("rival"))
+    p = products(spark, sf).select("product_id", (~F.col("is_own")).alias("rival"))
+    r = reviews(spark, sf).select("review_id", "review_date", "product_id").join(p, "product_id").filter("rival")
+    return window.tail_per_group(r, ["product_id"], "review_date", ["review_id"], 30)
 
 
 @query("first_items_per_line", "WIN6", "SELECT p_type, p_partkey FROM part QUALIFY ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY p_partkey) <= 3")
@@ -190,9 +190,12 @@ def winners(spark, sf):
     return window.winner_flag(table(spark, sf, "part").select("p_brand", "p_size", "p_partkey"), "p_brand", ["p_size", "p_partkey"])
 
 
-@query("exact_duplicate_lines", "WIN8", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+@query("exact_duplicate_lines", "WIN8", "SELECT DISTINCT * FROM lineitem")
 def exact_dups(spark, sf):
-    return window.drop_exact_dups(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    """Whole rows: true copies, made here by repeating every seventh row, go; lines that share a key stay."""
+    lines = table(spark, sf, "lineitem")
+    copies = lines.filter(F.pmod(F.xxhash64(*lines.columns), F.lit(7)) == 0)
+    return window.drop_exact_dups(lines.unionByName(copies))
 
 
 @query("first_row_per_key", "WIN9", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1")
@@ -248,11 +251,13 @@ def dropped(spark, sf):
     return sets.except_keys(table(spark, sf, "customer").select("c_custkey"), o.select(F.col("o_custkey").alias("c_custkey")))
 
 
-@query("product_master", "SET5", "SELECT p_partkey, CASE WHEN p_type IN ('PROMO','SMALL') THEN p_brand END AS brand, CASE WHEN p_type IN ('LARGE') THEN p_size END AS size, p_type AS product_line_id FROM part WHERE p_type IN ('PROMO','SMALL','LARGE')")
+@query("product_master", "SET5", "SELECT p_partkey, CASE WHEN p_type < 'M' THEN p_size END AS size, CASE WHEN p_type >= 'M' THEN p_brand END AS brand, p_type AS product_line_id FROM part")
 def master(spark, sf):
     p = table(spark, sf, "part")
-    pick = lambda line, col, name: p.filter(F.col("p_type") == line).select("p_partkey", F.col(col).alias(name))
-    return sets.product_master({"PROMO": pick("PROMO", "p_brand", "brand"), "SMALL": pick("SMALL", "p_brand", "brand"), "LARGE": pick("LARGE", "p_size", "size")})
+    lines = [r[0] for r in p.select("p_type").distinct().orderBy("p_type").collect()]  # one entry for each product line
+    # lines have different profile columns
+    pick = lambda line: p.filter(F.col("p_type") == line).select("p_partkey", *([F.col("p_size").alias("size")] if line < "M" else [F.col("p_brand").alias("brand")]))
+    return sets.product_master({line: pick(line) for line in lines})
 
 
 # Two snapshots of item prices: mean line price before and from 1999 on.

@@ -63,15 +63,6 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def fill_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores, such as one small file.
-
-    A large input has more splits than cores and is returned untouched, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Add the columns of a global aggregate, which is exactly one row, to every row."""
     return df.join(broadcast(row))

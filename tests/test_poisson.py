@@ -49,13 +49,12 @@ def test_agrees_with_mllib(frame, column):
     assert got["p_value"] == pytest.approx(math.erfc(abs(got["z_value"]) / math.sqrt(2)), rel=1e-9)
 
 
-def test_rounds_of_distributed_sums_agree_with_the_level_solver(frame):
-    levels = poisson.compress(poisson.to_long(frame, ["x", "gaps"], exposure="months"))
-    few = by_predictor(poisson.fit(levels, quasi=True))
-    many = by_predictor(poisson.fit(levels, max_levels=1, quasi=True))
-    for name in ("x", "gaps"):
-        for field in ("coefficient", "intercept", "std_error", "deviance", "aic", "dispersion"):
-            assert many[name][field] == pytest.approx(few[name][field], rel=1e-8), (name, field)
+def test_a_model_without_finite_maximum_is_named_so(spark):
+    rows = [("L", float(3 * (i == 9)), float(i)) for i in range(10)] + [("M", float(i % 4), float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "product_line_id string, sales double, x double")
+    got = {r["product_line_id"]: r for r in poisson.poisson_univariate(df, ["x"]).collect()}
+    assert (got["L"]["estimation_status"], got["L"]["drop_reason"], got["L"]["coefficient"]) == ("not_estimable", "not_converged", None)
+    assert got["M"]["estimation_status"] == "estimated" and got["M"]["coefficient"] is not None
 
 
 def test_two_valued_exposure_rate(frame):

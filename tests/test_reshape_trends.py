@@ -34,15 +34,23 @@ def test_exposure_sources(spark):
     items = spark.createDataFrame([("sold",), ("never",), ("ghost",)], "item string")
     o = reshape.months_listed(df, "item", "d", "first_to_end")
     c = reshape.months_listed(df.filter("item = 'never'"), "item", "d", "distinct_months")
-    got = {r["item"]: (r["months_listed"], r["exposure_source"]) for r in reshape.resolve_exposure(items, "item", o, c, 12).collect()}
+    got = {r["item"]: (r["months_listed"], r["exposure_source"]) for r in reshape.resolve_exposure(items, "item", o, c, spark.sql("select 12 as _full")).collect()}
     assert got == {"sold": (3, "own"), "never": (1, "competitor"), "ghost": (12, "full_period")}
 
 
-def test_one_hot_skips_constant_wide_and_excluded_columns(spark):
+def test_one_hot_skips_constant_and_excluded_columns(spark):
     df = spark.createDataFrame([(i, "same", "ab"[i % 2] if i else " ", f"u{i}", "x") for i in range(6)], "id int, fixed string, kind string, wide string, skip string")
-    got = reshape.one_hot(df, ["id"], ["fixed", "kind", "wide", "skip"], exclude=("skip",), max_levels=3)
-    assert sorted({r["predictor"] for r in got.collect()}) == ["kind::a", "kind::b"]
-    assert got.count() == 5
+    got = reshape.one_hot(df, ["id"], ["fixed", "kind", "wide", "skip"], exclude=("skip",))
+    wide = [f"wide::u{i}" for i in range(6)]
+    assert sorted({r["predictor"] for r in got.collect()}) == ["kind::a", "kind::b", *wide]
+    assert got.count() == 11
+    skipped = reshape.skipped_parents(df.withColumn("none", F.lit(" ")), ["id"], ["fixed", "kind", "skip", "none"], exclude=("skip",))
+    assert {r["parent"]: r["reason"] for r in skipped.collect()} == {"fixed": "constant", "skip": "excluded", "none": "all_blank"}
+
+
+def test_an_attribute_with_sixty_levels_is_kept(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(60)], "id int, wide string")
+    assert reshape.one_hot(df, ["id"], ["wide"]).select("predictor").distinct().count() == 60
 
 
 def test_binarise_and_pivot(spark):

@@ -133,13 +133,6 @@ def test_transitions_and_chains(spark):
     assert chains == {1: [1, 2, 3], 2: [2, 1, 3], 3: [3]}
 
 
-def test_first_recommendation_never_names_other(spark):
-    rows = [(i, float(i % 7), float(i % 5), float(i % 11), i % 6, (i * 3) % 6 if i % 4 else None) for i in range(300)]
-    df = spark.createDataFrame(rows, "customer_id int, r_value double, f_value double, m_value double, last_product long, next_product long")
-    got = recommend.first_rec(df, kept_products=3, trees=5).collect()
-    assert len(got) == 300 and {r["recommended_product"] for r in got} <= {0, 1, 2}
-
-
 def test_segments_are_ordered_by_size(spark):
     rows = [("L", i, 5.0 + i, 0.0 + i % 3 * 0.01, 0.0) for i in range(20)] + [("L", 100 + i, 1.0, 9.0 + i % 2 * 0.01, 5.0) for i in range(5)] + [("M", 1, 1.0, 1.0, 1.0)]
     df = spark.createDataFrame(rows, "product_line_id string, product_id int, sales double, a double, b double")

@@ -30,7 +30,7 @@ CHUNK = 1 << 18  # shingles hashed at once, so that one very long text needs bou
 PAIRS = 1 << 12  # node pairs opened at once
 LEAF = 128  # fingerprints in a leaf node
 FANOUT = 8  # nodes below an upper node
-GROUP_ROWS = 4096  # fingerprints of a group searched by one task before it is divided further
+GROUP_ROWS = 1 << 15  # fingerprints of a group searched by one task before it is divided further
 
 
 def _bit_counts(words: np.ndarray) -> np.ndarray:
@@ -127,52 +127,103 @@ class _Level:
         return cls(first, np.append(first[1:], len(value)), shared, every & shared)
 
 
+class _Forest:
+    """Union-find over the members of a group that keeps the links which joined two sets."""
+
+    def __init__(self, n: int):
+        self.parent, self.links = list(range(n)), []
+        self.label = np.arange(n)  # of each member; members with equal labels are joined for sure
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: np.ndarray, y: np.ndarray) -> None:
+        for i, j in zip(x.tolist(), y.tolist()):
+            a, b = self.root(i), self.root(j)
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                self.links.append((i, j))
+
+    def refresh(self) -> None:
+        label = np.array(self.parent)
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+        self.label = label
+
+
+def _uniform(label: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The common label of each run of members, -1 if they differ or one has none."""
+    low, high = np.minimum.reduceat(label, first), np.maximum.reduceat(label, first)
+    return np.where(low == high, low, -1)
+
+
 def group_links(fps: np.ndarray, radius: int, check: np.ndarray | None = None, check_radius: int = 0) -> list[tuple[int, int]]:
-    """Spanning forest (index pairs) of the links between distinct fingerprints of one group."""
+    """Spanning forest (index pairs) of the links between distinct fingerprints of one group.
+
+    Leaves and their neighbours in Gray order are compared first; nodes that then are wholly in one
+    component aren't compared with each other, so a dense group of copies costs little more than
+    its size.
+    """
     order = np.argsort(gray_rank(fps), kind="stable")
     sorted_fps = fps[order]
+    sorted_check = None if check is None else check[order]
     full = np.full(len(fps), ~np.uint64(0))
     levels = [_Level.over(full, sorted_fps, LEAF)]
     while len(levels[-1].value) > 1:
         levels.append(_Level.over(levels[-1].mask, levels[-1].value, FANOUT))
-    parent = list(range(len(fps)))
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    leaves, forest = levels[0], _Forest(len(fps))
 
-    links = []
+    def compare(one: int, two: int) -> None:
+        left, right = leaves.first[one], leaves.first[two]
+        apart = np.bitwise_count(sorted_fps[left : leaves.last[one], None] ^ sorted_fps[None, right : leaves.last[two]])
+        x, y = np.nonzero(apart <= radius)
+        x, y = x + left, y + right
+        new = (x < y) & (forest.label[x] != forest.label[y])
+        x, y = x[new], y[new]
+        if check is not None and len(x):
+            alike = np.bitwise_count(sorted_check[x] ^ sorted_check[y]).sum(1) <= check_radius
+            x, y = x[alike], y[alike]
+        forest.join(x, y)
+
+    for leaf in range(len(leaves.first)):
+        compare(leaf, leaf)
+        if leaf:
+            forest.refresh()
+            compare(leaf - 1, leaf)
+    forest.refresh()
+    wholes = [_uniform(forest.label, leaves.first)]
+    for level in levels[1:]:
+        wholes.append(_uniform(wholes[-1], level.first))
     a = b = np.zeros(1, dtype=np.int64)
     # of each pair of nodes: bits compared so far and the differences found in them
     seen, differ = np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.uint8)
-    for nodes, below in zip(levels[:0:-1], levels[-2::-1]):
+    for nodes, below, whole in zip(levels[:0:-1], levels[-2::-1], wholes[-2::-1]):
+        if not len(a):
+            break
         kept = []
         for at in range(0, len(a), PAIRS):
             here = slice(at, at + PAIRS)
             pair, x, y = _children(nodes, a[here], b[here])
             past, shared = seen[here][pair], below.mask[x] & below.mask[y]
             more = differ[here][pair] + np.bitwise_count((below.value[x] ^ below.value[y]) & shared & ~past)
-            near = more <= radius
+            near = (more <= radius) & ((whole[x] != whole[y]) | (whole[x] < 0))
             kept.append((x[near], y[near], (past | shared)[near], more[near]))
         a, b, seen, differ = (np.concatenate(c) for c in zip(*kept))
-    leaves = levels[0]
-    for one, two in zip(a.tolist(), b.tolist()):
-        left, right = leaves.first[one], leaves.first[two]
-        apart = np.bitwise_count(sorted_fps[left : leaves.last[one], None] ^ sorted_fps[None, right : leaves.last[two]])
-        x, y = np.nonzero(apart <= radius)
-        x, y = x + left, y + right
-        x, y = order[x[x < y]], order[y[x < y]]
-        if check is not None and len(x):
-            alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
-            x, y = x[alike], y[alike]
-        for i, j in zip(x.tolist(), y.tolist()):
-            ri, rj = root(i), root(j)
-            if ri != rj:
-                parent[max(ri, rj)] = min(ri, rj)
-                links.append((i, j))
-    return links
+    far = b > a + 1
+    for n, (one, two) in enumerate(zip(a[far].tolist(), b[far].tolist())):
+        if n % 256 == 0:
+            forest.refresh()
+            whole = _uniform(forest.label, leaves.first)
+        if whole[one] < 0 or whole[one] != whole[two]:
+            compare(one, two)
+    return [(int(order[i]), int(order[j])) for i, j in forest.links]
 
 
 def _children(nodes: _Level, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +253,7 @@ def _signed(mask: int) -> int:
 ALL_BITS = (1 << 64) - 1
 
 
-def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radius: int | None = None, rounds: int = 4) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radius: int | None = None, rounds: int = 3) -> DataFrame:
     """(a, b): a spanning set of links between distinct fingerprints, a != b.
 
     `distinct` has `fp` (and `check` if `check_radius` is given), each row once, rows told apart by `id`.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.poisson import MODEL, compress, fit
+from martloom.operators.window import all_true_per_key
 from martloom.session import sized
 
 NO_MARKET = "__no_market_data__"
@@ -68,6 +69,16 @@ def label_attributes(results: DataFrame, scales: DataFrame) -> DataFrame:
     )
 
 
+def modelable_topics(ratings: DataFrame, properties: DataFrame, types: tuple[str, ...] = ("attribute",)) -> DataFrame:
+    """Topic rows (product_line_id, predictor, ..) whose property is of a modelable type in their line.
+
+    A topic may be listed more than once in a line; one entry of another type rules it out.
+    """
+    listed = properties.select("product_line_id", F.col("topic").alias("predictor"), F.col("type").isin(*types).alias("modelable"))
+    kept = all_true_per_key(listed, ["product_line_id", "predictor"], "modelable").filter("modelable").select("product_line_id", "predictor")
+    return ratings.join(kept, ["product_line_id", "predictor"], "left_semi").select(*ratings.columns)
+
+
 def attribute_coverage(universe: DataFrame, results: DataFrame) -> DataFrame:
     """Fate of every declared attribute (line, predictor, consumed, is_numeric, is_rated)."""
     r = results.select(*MODEL, "estimation_status", "p_value")

@@ -306,11 +306,34 @@ def poisson_univariate(df: DataFrame, predictors: list[str], y: str = "sales", e
 SENTINEL_PREDICTOR = "__no_data__"
 
 
-def sentinels(lines: DataFrame, results: DataFrame, reason: str = "no_series") -> DataFrame:
-    """Results plus one visible row for every line that has none."""
+def missing_reasons(lines: DataFrame, series: DataFrame, gate: DataFrame, date: str = "time", sales: str = "sales") -> DataFrame:
+    """(product_line_id, drop_reason) of every line that no model can be fitted for, by the first thing it lacks."""
+    wanted = lines.select("product_line_id").distinct()
+    for column, reason in ((date, "no_date_column"), (sales, "no_sales_column")):
+        if column not in series.columns:
+            return wanted.withColumn("drop_reason", F.lit(reason))
+    whole = F.col(date).isNotNull() & F.col(sales).isNotNull() & ~F.isnan(F.col(sales).cast("double"))
+    rows = series.groupBy("product_line_id").agg(F.count_if(whole).alias("_valid"), F.count_if(whole & (F.col(sales) != 0)).alias("_sold"))
+    models = gate.groupBy("product_line_id").agg(F.bool_or(F.col("estimation_status") == "estimated").alias("_any"))
+    reason = (
+        F.when(F.col("_valid").isNull(), "no_series")
+        .when(F.col("_valid") == 0, "no_valid_rows")
+        .when(F.col("_sold") == 0, "all_zero")
+        .when(~F.coalesce("_any", F.lit(False)), "no_predictors")
+    )
+    joined = wanted.join(rows, "product_line_id", "left").join(models, "product_line_id", "left")
+    return joined.select("product_line_id", reason.alias("drop_reason")).filter("drop_reason is not null")
+
+
+def sentinels(lines: DataFrame, results: DataFrame, reason: str = "no_series", reasons: DataFrame | None = None) -> DataFrame:
+    """Results plus one visible row for every line that has none, with its own reason where `reasons` has one."""
     absent = lines.select("product_line_id").distinct().join(results, "product_line_id", "left_anti")
+    cause = F.lit(reason)
+    if reasons is not None:
+        absent = absent.join(reasons.select("product_line_id", F.col("drop_reason").alias("_reason")), "product_line_id", "left")
+        cause = F.coalesce("_reason", F.lit(reason))
     rows = absent.select(
-        "product_line_id", F.lit(SENTINEL_PREDICTOR).alias("predictor"), F.lit("not_estimable").alias("estimation_status"), F.lit(reason).alias("drop_reason")
+        "product_line_id", F.lit(SENTINEL_PREDICTOR).alias("predictor"), F.lit("not_estimable").alias("estimation_status"), cause.alias("drop_reason")
     )
     return results.unionByName(rows, allowMissingColumns=True)
 

@@ -213,16 +213,30 @@ def benchmark(spark, sf):
     return position.benchmark(items).withColumns({"mean": F.round("mean", 6), "sd": F.round("sd", 6)})
 
 
+def _monthly(spark, sf):
+    """Sales of each product and month, the only pass over the sales lines; `sold` is the largest quantity."""
+    month = F.trunc("order_date", "month").alias("order_date")
+    totals = sales(spark, sf).groupBy("product_id", "is_own", month).agg(F.sum("quantity").alias("quantity"), F.max("quantity").alias("sold"))
+    return materialise(totals, "product-months")
+
+
 def _topic_frame(spark, sf, rivals_only=False):
-    """Long model rows: item topic means against item sales."""
-    own, comp = _totals(spark, sf)
+    """Long model rows: item means of the modelable topics, and brands, against item sales.
+
+    The entry model of competitors looks at every topic.
+    """
+    months = _monthly(spark, sf)
+    total = lambda d: d.groupBy("product_id").agg(F.sum("quantity").alias("sales"))
+    own, comp = total(months.filter("is_own")), total(months.filter("not is_own"))
     p = products(spark, sf)
     items = lookup.fill_sales(p.select("product_id", "product_line_id", "is_own", "brand", "size"), own, comp, "product_id")
-    o_months = reshape.months_listed(sales(spark, sf).filter("is_own"), "product_id", "order_date", "first_to_end", "quantity")
-    c_months = reshape.months_listed(sales(spark, sf).filter("not is_own"), "product_id", "order_date", "distinct_months")
-    items = reshape.resolve_exposure(items, "product_id", o_months, c_months, reshape.full_period(sales(spark, sf), "order_date"))
+    o_months = reshape.months_listed(months.filter("is_own"), "product_id", "order_date", "first_to_end", "sold")
+    c_months = reshape.months_listed(months.filter("not is_own"), "product_id", "order_date", "distinct_months")
+    items = reshape.resolve_exposure(items, "product_id", o_months, c_months, reshape.full_period(months, "order_date"))
     means = reshape.binarise(rev.ratings_by_item(ratings_long(spark, sf)), BINARY_TOPICS)
     topics = means.select("product_id", "product_line_id", F.col("topic").alias("predictor"), F.col("rating").alias("x"))
+    if not rivals_only:
+        topics = market.modelable_topics(topics, _properties(spark, sf))
     hot = reshape.one_hot(items.select("product_id", "brand"), ["product_id"], ["brand"])
     indicators = market.dense_indicators(items, hot, "product_id")
     return items, market.market_frame(items.filter("not is_own") if rivals_only else items, "product_id", indicators, topics)
@@ -237,7 +251,7 @@ def entry(spark, sf):
 
 
 FRAME_SIZE_SQL = S + ", " + RATINGS_SQL + """, n AS (SELECT p_type AS product_line_id, COUNT(*) AS items FROM part GROUP BY 1), b AS (SELECT p_type AS product_line_id, 'brand::' || p_brand AS predictor, CAST(COUNT(*) AS DOUBLE) AS sum_x FROM part GROUP BY 1, 2),
-  t AS (SELECT product_line_id, topic AS predictor, COUNT(*) AS n, COUNT(rating) AS n_known FROM (SELECT product_line_id, product_id, topic, AVG(rating) AS rating FROM ratings GROUP BY 1, 2, 3) GROUP BY 1, 2)"""
+  t AS (SELECT product_line_id, topic AS predictor, COUNT(*) AS n, COUNT(rating) AS n_known FROM (SELECT product_line_id, product_id, topic, AVG(rating) AS rating FROM ratings WHERE topic IN ('comfort', 'durability') GROUP BY 1, 2, 3) GROUP BY 1, 2)"""
 
 
 @query(

@@ -114,3 +114,24 @@ def test_market_counts_and_sentinels(spark):
     lines = spark.createDataFrame([("L",), ("M",)], "product_line_id string")
     out = market.market_sentinel(lines, market.market_model(frame)).filter("product_line_id = 'M'").first()
     assert (out["predictor"], out["drop_reason"]) == (market.NO_MARKET, "no_position_rows")
+
+
+def test_reasons_for_lines_without_a_model(spark):
+    lines = spark.createDataFrame([(x,) for x in "ABCDE"], "product_line_id string")
+    rows = [("A", 1, 2.0), ("A", 2, 3.0), ("B", None, 1.0), ("B", 1, None), ("C", 1, 0.0), ("C", 2, 0.0), ("D", 1, 4.0)]
+    series = spark.createDataFrame(rows, "product_line_id string, time int, sales double")
+    gate = spark.createDataFrame([("A", "x", "estimated"), ("D", "x", "dropped")], "product_line_id string, predictor string, estimation_status string")
+    reasons = poisson.missing_reasons(lines, series, gate)
+    assert {r[0]: r[1] for r in reasons.collect()} == {"B": "no_valid_rows", "C": "all_zero", "D": "no_predictors", "E": "no_series"}
+    assert {r[1] for r in poisson.missing_reasons(lines, series.drop("time"), gate).collect()} == {"no_date_column"}
+    assert {r[1] for r in poisson.missing_reasons(lines, series.drop("sales"), gate).collect()} == {"no_sales_column"}
+    results = gate.filter("product_line_id = 'A'").withColumn("drop_reason", F.lit(None).cast("string"))
+    shown = {r["product_line_id"]: r["drop_reason"] for r in poisson.sentinels(lines, results, reasons=reasons).collect()}
+    assert shown == {"A": None, "B": "no_valid_rows", "C": "all_zero", "D": "no_predictors", "E": "no_series"}
+
+
+def test_only_modelable_topics_are_predictors(spark):
+    ratings = spark.createDataFrame([(1, "L", "fit", 1.0), (1, "L", "soft", 2.0), (1, "M", "fit", 3.0)], "product_id int, product_line_id string, predictor string, x double")
+    listed = [("L", "fit", "attribute"), ("L", "soft", "attribute"), ("L", "soft", "scene"), ("M", "fit", "emotion")]
+    kept = market.modelable_topics(ratings, spark.createDataFrame(listed, "product_line_id string, topic string, type string"))
+    assert [(r["product_line_id"], r["predictor"]) for r in kept.collect()] == [("L", "fit")]

@@ -82,6 +82,7 @@ def modelable_topics(ratings: DataFrame, properties: DataFrame, types: tuple[str
 def attribute_coverage(universe: DataFrame, results: DataFrame) -> DataFrame:
     """Fate of every declared attribute (line, predictor, consumed, is_numeric, is_rated)."""
     r = results.select(*MODEL, "estimation_status", "p_value")
+    # Names of the fates
     fate = (
         F.when(~F.col("consumed"), "source_table_not_consumed")
         .when(~F.col("is_numeric"), "non_numeric")

@@ -27,6 +27,7 @@ def topic_coverage(properties: DataFrame, ratings: DataFrame, scored_types: list
     rated = per_item.groupBy("product_line_id", "topic").agg(F.count_if(F.col("_n") > 0).alias("n_rated"))
     joined = properties.join(items, "product_line_id", "left").join(rated, ["product_line_id", "topic"], "left")
     share = F.coalesce("n_rated", F.lit(0)) / F.col("n_items")
+    # Names of the fates
     fate = (
         F.when(~F.col("type").isin(scored_types), "type_not_scored")
         .when(F.coalesce("n_rated", F.lit(0)) == 0, "not_rated")

@@ -129,6 +129,7 @@ def line_coverage(lines: DataFrame, profiles: DataFrame, competitors: DataFrame,
     for part in parts.values():
         out = out.join(part, key, "left")
     out = out.fillna(0, list(parts))
+    # Names of the gaps
     gap = (
         F.when(F.col("profile_items") <= 0, "A_missing_profile_source")
         .when((F.col("sales_rows") <= 0) | (F.col("dna_rows") <= 0), "B_profile_present_but_no_sales_coverage")

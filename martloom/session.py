@@ -59,8 +59,26 @@ def stage_root(spark: SparkSession) -> str:
     return root
 
 
+_STAGES: dict[str, list[str]] = {}  # paths handed out, by application
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete the stages this application has written so far; call it once a query's result is stored.
+
+    Frames that still read a stage can't be computed afterwards.
+    """
+    paths = _STAGES.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:

@@ -129,7 +129,8 @@ def with_findings(paths: DataFrame, text: str, rules: tuple[Rule, ...], ledger:
         .groupBy(F.col("blob").alias("_b"))
         .agg(F.array_sort(F.collect_list(one)).alias("secrets"))
     )
-    joined = paths.withColumn("_blob", blob_of(F.col(text))).join(sized(found), F.col("_blob") == F.col("_b"), "left")
+    # findings grow with the data: a merge join at every size, not a broadcast at small ones
+    joined = paths.withColumn("_blob", blob_of(F.col(text))).join(sized(found).hint("merge"), F.col("_blob") == F.col("_b"), "left")
     empty = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,rule:string>>")
     return joined.withColumn("secrets", F.coalesce("secrets", empty)).drop("_blob", "_b")
 

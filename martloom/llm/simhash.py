@@ -388,5 +388,6 @@ def one_of_each(
     named = components(links, "id")
     rooted = distinct.select("id", "least").join(sized(named), "id", "left").withColumn("root", F.coalesce("root", "id"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least._row").alias("_kept"))
-    stays = printed.join(materialise(kept, "kept-rows"), F.col("_row") == F.col("_kept"), "left_semi")
+    # both sides grow with the data: a merge join at every size, not a broadcast at small ones
+    stays = printed.join(materialise(kept, "kept-rows").hint("merge"), F.col("_row") == F.col("_kept"), "left_semi")
     return stays.select([F.col(h).alias(c) for c, h in hidden.items()])

@@ -121,17 +121,18 @@ def rename_present(df: DataFrame, codes: dict[str, str], critical: list[str]) ->
 def align_by_modal_schema(frames: dict[str, DataFrame], max_renamed: int = 2) -> tuple[DataFrame, list[str]]:
     """Union files whose headers match the most common one.
 
-    A file of equal width with at most `max_renamed` other names is renamed by position; any
-    other file is left out and listed.
+    A file with the same names in another order is reordered. One of equal width with at most
+    `max_renamed` names that the common header lacks has corrupted labels and is renamed by position.
+    Any other file is left out and listed.
     """
     canon = list(Counter(tuple(df.columns) for df in frames.values()).most_common(1)[0][0])
     kept, dropped = [], []
     for name, df in frames.items():
         off = sum(a != b for a, b in zip(df.columns, canon))
-        if len(df.columns) == len(canon) and off <= max_renamed:
-            kept.append(df.toDF(*canon))
-        elif set(df.columns) == set(canon):
+        if sorted(df.columns) == sorted(canon):
             kept.append(df.select(*canon))
+        elif len(df.columns) == len(canon) and off <= max_renamed:
+            kept.append(df.toDF(*canon))
         else:
             dropped.append(name)
     out = kept[0]

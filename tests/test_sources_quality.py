@@ -161,3 +161,9 @@ def test_product_tables(spark):
     assert got == [(1, "r", "L1"), (2, "s", "L2")]
     with pytest.raises(ValueError):
         products.line_dim(spark.createDataFrame([("x",)], " name_en string"))
+
+
+def test_swapped_valid_headers_keep_their_values(spark):
+    plain, swapped = (spark.createDataFrame([row], names) for row, names in (((1, 2), ["a", "b"]), ((20, 10), ["b", "a"])))
+    out, dropped = headers.align_by_modal_schema({"one": plain, "two": plain, "three": swapped})
+    assert not dropped and {(r["a"], r["b"]) for r in out.collect()} == {(1, 2), (10, 20)}

@@ -66,7 +66,7 @@ def test_empty_page_table(spark):
 
 ROWS = (
     [(1, 0, "system", "be <|brief|>"), (1, 1, "user", "a " * 300), (1, 2, "assistant", "b " * 40), (1, 3, "user", None), (1, 4, "assistant", "<|end|>\n\\p")]
-    + [(2, t, "assistant" if t % 2 else "user", f"turn {t} " * 20) for t in range(60)]
+    + [(2, t, "assistant" if t % 2 else "user", f"turn {t} " * 10) for t in range(60)]
     + [(3, 0, "system", "alone")]
     + [(4, 0, None, "x"), (4, 0, None, "x"), (None, 0, "user", "q"), (None, 1, "assistant", "|r|")]
     + [(5, None, "assi|stant", "odd role"), (5, 1, "assistant", "")]

@@ -55,7 +55,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece ids and whether they decode to the text again."""
     q = op03_pieces
-    ids = encoded(docs.select("doc_id", "text"), "doc_id", "text", q.MODEL, q.DROPOUT, q.SEED, q.STREAMS)
+    ids = encoded(docs.select("doc_id", "text"), "doc_id", "text", q.MODEL, q.DROPOUT, q.SEED)
     return ids.select("doc_id", F.array_size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 

@@ -3,16 +3,16 @@
 A model file of merge type is read as it is; nothing is trained. Text is cut into units at which no
 piece of the vocabulary can reach across (before a space that follows another character). In each
 unit an agenda of candidate merges is worked off from the best score, leftmost first. A candidate is
-skipped for good with probability `dropout`, decided by a keyed hash of seed, stream, unit and the
-candidate's bounds, so the same key gives the same segmentation on any machine. Each occurrence of
-a unit draws its stream from `streams` by a hash of document key and place: with `streams` at 1 a
-unit has one segmentation, with more it varies within and between documents.
+skipped for good with probability `dropout`, decided by a keyed hash of seed, document key, place of
+the unit, unit and the candidate's bounds, so every occurrence draws anew, and the same key gives the
+same segmentation on any machine. `streams` limits the draws to so many for each unit.
 
 With dropout 0 the ids equal the library's. A literal U+2581 is written in byte pieces, as otherwise it
 would come back as a space. Null texts give null ids; an empty text has none.
 
-Units that no earlier text has met are worked off together as array operations, one merge for each
-unit at a time. Very long texts are segmented in chunks, very long units with a heap.
+A task remembers for each unit the agenda without skips and the candidates it offers; an occurrence that
+skips none of them has its ids. All others are worked off together as array operations, one merge for
+each at a time. Very long texts are segmented in chunks, very long units with a heap.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-KEPT = 1_000_000  # segmented units a task remembers; the memory changes speed only
+KEPT = 600_000  # units a task remembers; the memory changes speed only
+KEPT_IDS = 8_000_000  # and their ids
 LONGEST_KEPT = 64  # longer units are not remembered, and are worked off with a heap
 CHUNK = 1 << 20  # characters segmented together
 WORD = (1 << 64) - 1
@@ -142,66 +143,132 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hash_text(text: str) -> int:
+def hash_text(text: str | bytes) -> int:
     from xxhash import xxh64_intdigest
 
     return xxh64_intdigest(text)
 
 
+def _hash_unit(unit: str) -> int:
+    return hash_text(unit.encode("utf-8", "surrogatepass"))
+
+
 def _mix_one(x: int) -> int:
     x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & WORD
     x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & WORD
     return x ^ (x >> 31)
 
 
+class _Pool:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.rows, self.n = np.empty(1 << 12, dtype=dtype), 0
+
+    def extend(self, values) -> None:
+        end = self.n + len(values)
+        if end > len(self.rows):
+            grown = np.empty(max(end, 2 * len(self.rows)), dtype=self.rows.dtype)
+            grown[: self.n] = self.rows[: self.n]
+            self.rows = grown
+        self.rows[self.n : end] = values
+        self.n = end
+
+
+class _Numbers(dict):
+    """Numbers for keys; new keys are listed in `fresh` and numbered from `base` on."""
+
+    def __init__(self):
+        self.base, self.fresh = 0, []
+
+    def __missing__(self, key):
+        n = self[key] = self.base + len(self.fresh)
+        self.fresh.append(key)
+        return n
+
+
+class _Agendas:
+    """Units met so far: hash, length, ids without skips, and the (mixed) bounds of all candidates offered on the way."""
+
+    def __init__(self):
+        self.numbers = _Numbers()
+        self.hashes, self.length = _Pool(np.uint64), _Pool(np.int64)
+        self.ids, self.id_first, self.id_n = _Pool(np.int32), _Pool(np.int64), _Pool(np.int64)
+        self.mixed, self.offer_first, self.offer_n = _Pool(np.uint64), _Pool(np.int64), _Pool(np.int64)
+
+    def add(self, units: list[str | None]) -> None:
+        """Units in order, still without ids or offers; None is a literal mark."""
+        self.hashes.extend([0 if unit is None else _hash_unit(unit) for unit in units])
+        self.length.extend([0 if unit is None else len(unit) for unit in units])
+        for pool in (self.id_first, self.id_n, self.offer_first, self.offer_n):
+            pool.extend(np.zeros(len(units), dtype=np.int64))
+
+
+def _place(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
+
+
 class Encoder:
-    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0, streams: int = 1):
-        self.pieces, self.dropout, self.seed, self.streams = pieces, dropout, seed, max(1, streams)
+    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0, streams: int | None = None):
+        self.pieces, self.dropout, self.seed, self.streams = pieces, dropout, seed, streams
         self.limit = min(int(dropout * 2**64), WORD)
         self.mark = tuple(pieces.bytes[b] for b in SPACE.encode())
-        self._forget()
+        self.known = _Agendas()
 
-    def _forget(self) -> None:
-        # unit -> ids for each stream; None stands for a literal U+2581
-        self.known: list[dict] = [{None: self.mark} for _ in range(self.streams)]
-        self.size = 0
+    def keys(self, draws: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Keyed hash of each occurrence from its draw and the hash of its unit."""
+        return _mix(_mix(draws + np.uint64((self.seed * 0x9E3779B97F4A7C15) & WORD)) ^ hashes)
 
-    def unit_keys(self, points: np.ndarray, length: np.ndarray, streams: np.ndarray) -> np.ndarray:
-        """Keyed hash of each unit (a row of code points, zero beyond its length) and stream."""
-        key = _mix(streams.astype(np.uint64) + np.uint64((self.seed * 0x9E3779B97F4A7C15) & WORD)) ^ length.astype(np.uint64)
-        for at in range(int(length.max()) if len(length) else 0):
-            more = at < length
-            key[more] = _mix(key[more] ^ (points[more, at].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-        return key
-
-    def unit_key(self, unit: str, stream: int) -> int:
-        points = np.array([[ord(c) for c in unit]], dtype=np.uint32)
-        return int(self.unit_keys(points, np.array([len(unit)]), np.array([stream]))[0])
+    def unit_key(self, unit: str, draw: int) -> int:
+        return int(self.keys(np.array([draw], dtype=np.uint64), np.array([_hash_unit(unit)], dtype=np.uint64))[0])
 
     def skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Whether the candidate merge of [start, middle) and [middle, end) in a unit, by its key, is dropped."""
         if not self.dropout:
             return np.zeros(len(key), dtype=bool)
-        place = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-        return _mix(key ^ _mix(place)) < np.uint64(self.limit)
+        return _mix(key ^ _mix(_place(start, middle, end))) < np.uint64(self.limit)
 
     def skipped_one(self, key: int, start: int, middle: int, end: int) -> bool:
         return bool(self.dropout) and _mix_one(key ^ _mix_one(((start << 42) ^ (middle << 21) ^ end) & WORD)) < self.limit
 
     def segment(self, todo: list[tuple[str, int]]) -> Iterator[tuple[str, int, tuple[int, ...]]]:
-        """Piece ids of each (unit, stream), units of similar length together."""
-        by_width: dict[int, list[tuple[str, int]]] = {}
-        for unit, stream in todo:
+        """Piece ids of each (unit, draw), units of similar length together."""
+        short = []
+        for unit, draw in todo:
             if len(unit) > LONGEST_KEPT:
-                yield unit, stream, self._heap(unit, stream)
+                yield unit, draw, self._heap(unit, draw)
             else:
-                by_width.setdefault(max(8, 1 << (len(unit) - 1).bit_length()), []).append((unit, stream))
-        for width, members in by_width.items():
-            step = max(1, (1 << 16) // width)
-            for at in range(0, len(members), step):
-                part = members[at : at + step]
-                for (unit, stream), ids in zip(part, self._agendas(part, width)):
-                    yield unit, stream, ids
+                short.append((unit, draw))
+        for part, width in _by_width(np.array([len(u) for u, _ in short], dtype=np.int64)):
+            part = part.tolist()
+            units, draws = [short[i][0] for i in part], np.array([short[i][1] for i in part], dtype=np.uint64)
+            key = self.keys(draws, np.array([_hash_unit(u) for u in units], dtype=np.uint64))
+            flat, n = self._agendas(units, width, lambda rows, start, middle, end: self.skipped(key[rows], start, middle, end))
+            for i, ids in zip(part, np.split(flat, np.cumsum(n)[:-1])):
+                yield *short[i], tuple(ids.tolist())
+
+    def _learn(self, units: list[str | None]) -> None:
+        """Remember units, in order; very long ones get no ids and no offers."""
+        known, base = self.known, self.known.hashes.n
+        known.add(units)
+        if None in units:
+            at = base + units.index(None)
+            known.id_first.rows[at], known.id_n.rows[at] = known.ids.n, len(self.mark)
+            known.ids.extend(self.mark)
+        for part, width in _by_width(known.length.rows[base : known.length.n]):
+            offered: list[tuple] = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))]
+
+            def note(rows, start, middle, end):
+                offered.append((rows, _mix(_place(start, middle, end))))
+                return np.zeros(len(rows), dtype=bool)
+
+            ids, n = self._agendas([units[i] for i in part.tolist()], width, note)
+            rows, mixed = (np.concatenate(c) for c in zip(*offered))
+            offers, at = np.bincount(rows, minlength=len(part)), base + part
+            known.id_first.rows[at], known.id_n.rows[at] = known.ids.n + np.cumsum(n) - n, n
+            known.offer_first.rows[at], known.offer_n.rows[at] = known.mixed.n + np.cumsum(offers) - offers, offers
+            known.ids.extend(ids)
+            known.mixed.extend(mixed[np.argsort(rows, kind="stable")])
 
     def _finished(self, row: list[int], unit: str) -> tuple[int, ...]:
         """Ids of one unit; a character without a piece is written in bytes."""
@@ -241,14 +308,14 @@ class Encoder:
             offer(before[at])
         return self._finished(ids, unit)
 
-    def _agendas(self, todo: list[tuple[str, int]], width: int) -> Iterator[tuple[int, ...]]:
-        n = len(todo)
-        length = np.array([len(u) for u, _ in todo])
+    def _agendas(self, units: list[str], width: int, skipped) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all units, and how many each has; `skipped` tells from rows and bounds which candidates are dropped."""
+        n = len(units)
+        length = np.array([len(u) for u in units])
         points = np.zeros((n, width + 1), dtype=np.uint32)
-        points[np.arange(width + 1) < length[:, None]] = np.frombuffer("".join([u for u, _ in todo]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points[np.arange(width + 1) < length[:, None]] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         ids = np.where(np.arange(width + 1) < length[:, None], self.pieces.char_id[points], np.int32(-1))
-        odd = (ids == -2).any(1).tolist()
-        key = self.unit_keys(points, length, np.array([s for _, s in todo]))
+        odd = (ids == -2).any(1)
         place = np.arange(width + 1, dtype=np.int32)
         after, before = np.tile(place + 1, (n, 1)), np.tile(place - 1, (n, 1))
         rank = np.full((n, width), SCORELESS, dtype=np.int32)
@@ -261,7 +328,7 @@ class Encoder:
             merged, score = self.pieces.look(ids[rows, at], ids[rows, second])
             found = np.nonzero(score < SCORELESS)[0]
             rows, at, second = rows[found], at[found], second[found]
-            kept = ~self.skipped(key[rows], at, second, after[rows, second])
+            kept = ~skipped(rows, at, second, after[rows, second])
             rank[rows[kept], at[kept]] = score[found[kept]]
             target[rows[kept], at[kept]] = merged[found[kept]]
 
@@ -287,12 +354,14 @@ class Encoder:
             has = left >= 0
             rank[rows[has], left[has]] = SCORELESS
             offer(rows[has], left[has])
-        held = ids >= 0
-        flat, ends = ids[held].tolist(), np.cumsum(held.sum(1)).tolist()
-        begin = 0
-        for r, end in enumerate(ends):
-            yield self._finished(ids[r, :width].tolist(), todo[r][0]) if odd[r] else tuple(flat[begin:end])
-            begin = end
+        held = ids[:, :width] >= 0
+        n = held.sum(1)
+        own = [self._finished(ids[r, :width].tolist(), units[r]) for r in np.nonzero(odd)[0].tolist()]
+        n[odd] = [len(f) for f in own]
+        plain, out = np.repeat(~odd, n), np.empty(n.sum(), dtype=np.int32)
+        out[plain] = ids[:, :width][held & ~odd[:, None]]
+        out[~plain] = list(chain.from_iterable(own))
+        return out, n
 
     def _units(self, text: str) -> Iterator[list]:
         """Units of the text with its leading mark, in lists of bounded size; None is a literal mark."""
@@ -313,7 +382,7 @@ class Encoder:
             at, first = end, False
 
     def encode(self, texts: list[str | None], keys: list[int]) -> list[list[int] | None]:
-        """Piece ids of each text; `keys` choose the streams of its units."""
+        """Piece ids of each text; `keys` choose the draws of its units."""
         out: list = [None if t is None else [] for t in texts]
         waiting, chars = [], 0
         for i, (text, key) in enumerate(zip(texts, keys)):
@@ -321,11 +390,9 @@ class Encoder:
                 continue
             base, at = (key * 0x9E3779B97F4A7C15 + self.seed) & WORD, 0
             for units in self._units(text):
-                if self.streams > 1:
-                    place = np.arange(at, at + len(units), dtype=np.uint64)
-                    drawn = (_mix(np.uint64(base) + place) % np.uint64(self.streams)).tolist()
-                else:
-                    drawn = [0] * len(units)
+                drawn = _mix(np.uint64(base) + np.arange(at, at + len(units), dtype=np.uint64))
+                if self.streams:
+                    drawn %= np.uint64(self.streams)
                 waiting.append((out[i], units, drawn))
                 at += len(units)
                 chars += 6 * len(units)
@@ -336,27 +403,72 @@ class Encoder:
         return out
 
     def _emit(self, waiting: list) -> None:
-        if self.size > KEPT:
-            self._forget()
+        units = list(chain.from_iterable(u for _, u, _ in waiting))
+        if not units:
+            return
+        if len(self.known.numbers) > KEPT or self.known.ids.n > KEPT_IDS:
+            self.known = _Agendas()
+        known, numbers = self.known, self.known.numbers
+        numbers.base, numbers.fresh = len(numbers), []
+        unit = np.fromiter(map(numbers.__getitem__, units), dtype=np.int64, count=len(units))
+        self._learn(numbers.fresh)
+        draws = np.concatenate([d for _, _, d in waiting])
+        first, n = known.id_first.rows[unit], known.id_n.rows[unit]
+        before = known.ids.n  # the ids of occurrences follow those of units until they are handed out
+
+        def place(at, ids, counts):
+            first[at], n[at] = known.ids.n + np.cumsum(counts) - counts, counts
+            known.ids.extend(ids)
+
+        if self.dropout:
+            key = self.keys(draws, known.hashes.rows[unit])
+            hit = self._hit(unit, key)
+            for part, width in _by_width(known.length.rows[unit[hit]]):
+                at = hit[part]
+                own = key[at]
+                place(at, *self._agendas([units[i] for i in at.tolist()], width, lambda rows, start, middle, end: self.skipped(own[rows], start, middle, end)))
+        for at in np.nonzero(known.length.rows[unit] > LONGEST_KEPT)[0].tolist():
+            ids = self._heap(units[at], int(draws[at]))
+            place(np.array([at]), ids, np.array([len(ids)]))
+        ends = np.cumsum(n)
+        flat = known.ids.rows[np.repeat(first - (ends - n), n) + np.arange(ends[-1])]
+        known.ids.n = before
+        at = begin = 0
+        for ids, part, _ in waiting:
+            at += len(part)
+            end = int(ends[at - 1]) if at else 0
+            ids.extend(flat[begin:end].tolist())
+            begin = end
+
+    def _hit(self, unit: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Occurrences that skip a candidate of their unit's agenda without skips."""
         known = self.known
-        plans = [[known[s].get(u) for u, s in zip(units, drawn)] for _, units, drawn in waiting]
-        fresh = {(u, s) for (_, units, drawn), plan in zip(waiting, plans) if None in plan for u, s, ids in zip(units, drawn, plan) if ids is None}
-        for unit, stream, ids in self.segment(list(fresh)):
-            known[stream][unit] = ids
-        self.size += len(fresh)
-        for (ids, units, drawn), plan in zip(waiting, plans):
-            if None in plan:
-                plan = [got if got is not None else known[s][u] for u, s, got in zip(units, drawn, plan)]
-            ids.extend(chain.from_iterable(plan))
-        for unit, stream in fresh:
-            if len(unit) > LONGEST_KEPT:
-                known[stream].pop(unit, None)
+        n = known.offer_n.rows[unit]
+        some = np.nonzero(n)[0]
+        if not len(some):
+            return some
+        n = n[some]
+        begin = np.cumsum(n) - n
+        offer = np.repeat(known.offer_first.rows[unit[some]] - begin, n) + np.arange(n.sum())
+        skips = _mix(np.repeat(key[some], n) ^ known.mixed.rows[offer]) < np.uint64(self.limit)
+        return some[np.logical_or.reduceat(skips, begin)]
+
+
+def _by_width(length: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Places of units of similar length, in parts of bounded size, and their width; none of empty or very long units."""
+    low, width = 0, 8
+    while low < LONGEST_KEPT:
+        members = np.nonzero((length > low) & (length <= min(width, LONGEST_KEPT)))[0]
+        step = max(1, (1 << 16) // width)
+        for at in range(0, len(members), step):
+            yield members[at : at + step], width
+        low, width = width, 2 * width
 
 
 ROWS = 256  # texts handed back at once
 
 
-def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float = 0.1, seed: int = 7, streams: int = 2) -> DataFrame:
+def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float = 0.1, seed: int = 7) -> DataFrame:
     """Add `ids` (array<int>) and `lossless` (whether decoding gives the text again; null for a null text).
 
     `model` is a path every executor can read. Columns of these names are replaced.
@@ -370,7 +482,7 @@ def encoded(docs: DataFrame, ident: str, text: str, model: str, dropout: float =
         import pyarrow as pa
 
         gc.disable()  # millions of small tuples and no cycles; scanning them for cycles takes a tenth of the time
-        enc = Encoder(Pieces(model), dropout, seed, streams)
+        enc = Encoder(Pieces(model), dropout, seed)
         for big in batches:
             for at in range(0, big.num_rows, ROWS):
                 batch = big.slice(at, ROWS)

@@ -58,6 +58,23 @@ def test_array_and_heap_agendas_agree(pieces):
     assert all(ids == enc._heap(unit, stream) for unit, stream, ids in enc.segment(todo))
 
 
+def test_every_occurrence_draws_anew(pieces, monkeypatch):
+    from martloom.llm import pieces as module
+
+    unit, n = "▁internationalization", 400
+    enc = Encoder(pieces, 0.1, 3)
+    _, (ids,) = enc.encode(["filler", "x" + unit.replace("▁", " ") * n], [4, 9]), enc.encode(["x" + unit.replace("▁", " ") * n], [9])
+    # brute force: the heap with the key of each document and place
+    draws = module._mix(np.uint64((9 * 0x9E3779B97F4A7C15 + 3) & module.WORD) + np.arange(n + 1, dtype=np.uint64)).tolist()
+    want = [enc._heap("▁x", draws[0]), *[enc._heap(unit, d) for d in draws[1:]]]
+    assert ids == [i for w in want for i in w]
+    assert len(set(want[1:])) > 20  # two with two streams
+    # units too long to remember, and a forgetful task, give the same
+    for name, value in (("LONGEST_KEPT", 2), ("KEPT", 0)):
+        monkeypatch.setattr(module, name, value)
+        assert Encoder(pieces, 0.1, 3).encode(["x" + unit.replace("▁", " ") * n], [9]) == [ids]
+
+
 def test_long_texts_are_chunked_at_unit_borders(pieces, monkeypatch):
     from martloom.llm import pieces as module
 

@@ -17,7 +17,7 @@ RULES = (
     HostRule("com", "/fr/", "allow"),
     HostRule("com", "/de/", "block"),
 )
-MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE, MOST_TOKENS = 20, 0.005, 0.5, 3
+MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 20, 0.005, 0.5
 
 SQL = f"""
 with u as (select page_id, url, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end rest from pages),
@@ -58,5 +58,5 @@ def mined_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
     labelled = pages.join(labels.filter("bad is not null"), "page_id")
-    found = judged(pages, "url", labelled, RULES, MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE, MOST_TOKENS)
+    found = judged(pages, "url", labelled, RULES, MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE)
     return found.select("page_id", "host", "path", "rule", "verdict")

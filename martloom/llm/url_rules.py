@@ -78,11 +78,12 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, named).otherwise(F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, tokens: str, bad: str, min_rows: int, min_support: float, min_confidence: float, most_tokens: int) -> DataFrame:
+def mined_rules(labelled: DataFrame, tokens: str, bad: str, min_rows: int, min_support: float, min_confidence: float, most_tokens: int | None = None) -> DataFrame:
     """(rule array<string>, support long, confidence double): minimal token combinations of bad rows.
 
     `labelled` has an array of distinct tokens and a boolean; support counts rows with all the tokens
-    and a bad label. FP-growth divides its work by item; the result is bounded by the support.
+    and a bad label. FP-growth divides its work by item; the result is bounded by the support. Rules
+    have any number of tokens, or up to `most_tokens` if given.
     """
     spark = labelled.sparkSession
     labelled = materialise(labelled.select(F.col(tokens).alias("_t"), F.col(bad).alias("_bad")).filter("_bad is not null and size(_t) > 0"), "labelled-urls")
@@ -97,22 +98,28 @@ def mined_rules(labelled: DataFrame, tokens: str, bad: str, min_rows: int, min_s
     sets = materialise(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     with_bad = sets.filter(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("rule"), F.col("freq").alias("support"))
     plain = sets.filter(~F.array_contains("items", BAD)).select(F.col("items").alias("_i"), F.col("freq").alias("_n"))
-    rules = with_bad.filter((F.size("rule") > 0) & (F.size("rule") <= most_tokens)).join(plain, F.col("rule") == F.col("_i"))
-    rules = rules.select("rule", "support", (F.col("support") / F.col("_n")).alias("confidence")).filter(F.col("confidence") >= min_confidence)
-    rules = materialise(rules, "confident-rules")
-    # a rule with more tokens than another kept one adds nothing; parts of a rule are few, as its tokens are
-    parts = rules.select("rule", F.explode(_proper_parts(F.col("rule"), most_tokens)).alias("_part"))
-    needless = parts.join(rules.select(F.col("rule").alias("_r")), F.col("_part") == F.col("_r"), "left_semi").select("rule").distinct()
-    return rules.join(needless, "rule", "left_anti")
-
-
-def _proper_parts(rule: Column, most: int) -> Column:
-    """Non-empty proper sub-arrays of a sorted array of at most `most` tokens."""
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size(rule)) - 2).cast("int"))
-    masks = F.when(F.size(rule) > 1, masks).otherwise(F.array().cast("array<int>"))
-    # shifts by 0 .. most-1, chosen by position
-    bits = F.array(*[F.lit(1 << i) for i in range(most)])
-    return F.transform(masks, lambda m: F.filter(rule, lambda x, i: m.bitwiseAND(F.element_at(bits, i + 1)) > 0))
+    wanted = with_bad.filter(F.size("rule") > 0)
+    if most_tokens is not None:
+        wanted = wanted.filter(F.size("rule") <= most_tokens)
+    judged_sets = wanted.join(plain, F.col("rule") == F.col("_i")).select("rule", "support", (F.col("support") / F.col("_n")).alias("confidence"))
+    judged_sets = materialise(judged_sets, "judged-itemsets")
+    confident = judged_sets.filter(F.col("confidence") >= min_confidence)
+    low, high = confident.agg(F.min(F.size("rule")), F.max(F.size("rule"))).first()
+    if low is None:
+        return confident
+    # a rule with more tokens than another kept one adds nothing. All parts of a frequent set are frequent, so what has
+    # a confident part is found level by level, from the sets with one token less
+    kept = above = confident.filter(F.size("rule") == low)
+    above = above.select(F.col("rule").alias("_above"))
+    for size in range(low + 1, high + 1):
+        sets_here = judged_sets.filter(F.size("rule") == size)
+        less = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda at: F.filter("rule", lambda x, i: i != at))
+        parts = sets_here.select("rule", F.explode(less).alias("_part"))
+        needless = materialise(parts.join(above, F.col("_part") == F.col("_above"), "left_semi").select("rule").distinct(), "needless-rules")
+        fresh = confident.filter(F.size("rule") == size).join(needless, "rule", "left_anti")
+        kept = kept.unionByName(fresh)
+        above = needless.unionByName(fresh.select("rule")).select(F.col("rule").alias("_above"))
+    return kept
 
 
 def matched(urls: DataFrame, url: str, rules: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -135,13 +142,12 @@ def judged(
     min_rows: int = 20,
     min_support: float = 0.005,
     min_confidence: float = 0.5,
-    most_tokens: int = 3,
 ) -> DataFrame:
     """Add host, path, rule and verdict to every page; `labelled` has url and a boolean bad."""
     pages = pages.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")])
     known = materialise(labelled.select(tokens_of(F.col("url")).alias("_t"), "bad"), "url-tokens")
     frequency = known.select(F.explode("_t").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    mined = mined_rules(known, "_t", "bad", min_rows, min_support, min_confidence, most_tokens)
+    mined = mined_rules(known, "_t", "bad", min_rows, min_support, min_confidence)
     hits = sized(matched(pages, url, mined, frequency).select(F.col(url).alias("_hit"), F.lit(True).alias("_bad")))
     text, verdict = longest_rule(rules, F.col("host"), F.col("path"))
     placed = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -220,3 +221,26 @@ def test_few_vectors_and_none(spark):
     found = top_products(table, "vec_id", "embedding", F.col("vec_id") % 100 == 0).orderBy("rank").collect()
     assert [(r.rank, r.vec_id) for r in found] == [(1, 1), (2, 2)]
     assert top_products(table.limit(0), "vec_id", "embedding", F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_rules_of_many_tokens_against_brute_force(spark):
+    random.seed(4)
+    rows = [([t for t in "abcdef" if random.random() < 0.7],) for _ in range(600)]
+    rows = [(t, set("abcd") <= set(t) or set("ef") <= set(t) and random.random() < 0.45 or random.random() < 0.1) for (t,) in rows]
+    found = mined_rules(spark.createDataFrame(rows, "t array<string>, bad boolean"), "t", "bad", 10, 0.01, 0.8).collect()
+    want: dict[tuple, tuple] = {}
+    for size in range(1, 7):
+        for rule in combinations("abcdef", size):
+            labels = [bad for t, bad in rows if set(rule) <= set(t)]
+            if sum(labels) >= 10 and sum(labels) / len(labels) >= 0.8 and not any(set(r) < set(rule) for r in want):
+                want[rule] = sum(labels), sum(labels) / len(labels)
+    assert max(map(len, want)) >= 4
+    assert {tuple(r.rule): (r.support, r.confidence) for r in found} == want
+
+
+def test_a_part_two_tokens_smaller_makes_a_rule_needless(spark):
+    # a is confident, its pairs and b+c are not, a+b+c is again
+    rows = [(["a"], True)] * 90 + [(["a", "b"], False)] * 11 + [(["a", "c"], False)] * 11 + [(["a", "b", "c"], True)] * 10
+    rows += [(["b", "c"], False)] * 10
+    found = mined_rules(spark.createDataFrame(rows, "t array<string>, bad boolean"), "t", "bad", 5, 0.01, 0.8).collect()
+    assert [r.rule for r in found] == [["a"]]

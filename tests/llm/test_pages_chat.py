@@ -45,6 +45,14 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("closing,stays", [("c" * 31, True), ("c" * 30, False)])
+def test_surge_and_dive_decide_on_unmarked_pages(closing, stays):
+    parts = f"<div>Short line before</div><div></div><div><p>{LONG}</p><p>in it</p></div><div><p>{closing}</p></div>"
+    assert main_text(f"<div>{parts}</div>") == "\n".join([LONG, "in it", *([closing] if stays else [])])
+    # marked as an article, element rules decide and every line stays
+    assert main_text(f"<article>{parts}</article>") == "\n".join(["Short line before", LONG, "in it", closing])
+
+
 @given(st.text(alphabet="<>/!-\"'= abpdivscript&;#\n", max_size=200))
 def test_any_markup_is_read_without_error(page):
     assert isinstance(main_text(page), str)

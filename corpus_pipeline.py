@@ -67,7 +67,7 @@ STAGES = [
     ("pieces", as_pieces),
 ]
 
-# classifier, fingerprints and pieces have no SQL form; tests compare the stages with brute force
+# classifier, fingerprints and pieces have no SQL form; tests follow planted documents through the stages
 ORACLE_SQL = None
 
 

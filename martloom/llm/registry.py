@@ -21,6 +21,9 @@ MODULES = [
     "op08_benchmark",
     "op09_chat",
     "op10_simhash",
+    "op11_licenses",
+    "op12_manifest",
+    "op13_repair",
 ]
 
 

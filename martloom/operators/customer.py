@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.money import MONEY, exact_mean, exact_sum
 from martloom.operators.aggregate import with_rollup_all
+from martloom.operators.lifetime import PARAMETERS, fit_lifetime
 from martloom.ordering import quantiles, running_total, with_tiles
 from martloom.session import materialise, sized
 
@@ -182,9 +183,9 @@ def _gauss_series(p: Column, q: Column, c: Column, z: Column) -> Column:
     return F.pandas_udf(total, "double")(p, q, c, z)
 
 
-def p_alive_clv(table: DataFrame, horizon_weeks: float = 52.0, params: dict[str, float] = BGNBD) -> DataFrame:
-    """BG/NBD probability of being active and expected value over the horizon."""
-    r, alpha, a, b = (params[k] for k in ("r", "alpha", "a", "b"))
+def p_alive_clv(table: DataFrame, horizon_weeks: float = 52.0, params: dict[str, float | Column] = BGNBD) -> DataFrame:
+    """BG/NBD probability of being active and expected value over the horizon; parameters may be columns."""
+    r, alpha, a, b = (F.lit(params[k]) for k in ("r", "alpha", "a", "b"))
     x = (F.col("f_value") - 1).cast("double")
     t_x = (F.col("customer_tenure_days") - F.col("r_value")) / 7.0
     age = F.col("customer_tenure_days") / 7.0
@@ -199,6 +200,17 @@ def p_alive_clv(table: DataFrame, horizon_weeks: float = 52.0, params: dict[str,
     )
 
 
+def fitted_clv(table: DataFrame, horizon_weeks: float = 52.0, scope: list[str] = SCOPE, penalty: float = 0.001) -> DataFrame:
+    """p_alive, expected_purchases and clv by the parameters fitted for each customer's own scope.
+
+    Scopes without a fit (too few customers who came back) get nulls and say so in `fit_status`.
+    """
+    table = materialise(table, "customers")
+    fits = sized(fit_lifetime(table, scope, penalty=penalty).select(*scope, *PARAMETERS, "fit_status"))
+    scored = p_alive_clv(table.join(fits, scope), horizon_weeks, {p: F.col(p) for p in PARAMETERS})
+    return scored.drop(*PARAMETERS)
+
+
 def value_tier(table: DataFrame) -> DataFrame:
     return _name_tiles(with_tiles(table, SCOPE, TIER_TILES, "customer_id"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators import customer as cus
+from martloom.operators.lifetime import PARAMETERS, fit_lifetime
 from martloom.plans.commerce import SALES_SQL, as_of, msum, rmean, sales, table
 from martloom.plans.registry import query
 from martloom.session import materialise
@@ -149,12 +150,41 @@ def alive(spark, sf):
     return cus.p_alive_clv(_rfm(spark, sf)).select(*cus.CUSTOMER, F.round("p_alive", 6).alias("p_alive"))
 
 
-@query("customer_lifetime_value", "CUS8")
+# the series of the expected purchases, once for each (x, age): state [term, sum] over its first 700 terms
+LIFETIME_SQL = (
+    RFM_SQL
+    + f""", b AS (SELECT {KEYS_SQL}, m_value, CAST(f_value - 1 AS DOUBLE) AS x, (customer_tenure_days - r_value) / 7.0 AS tx, customer_tenure_days / 7.0 AS age FROM rfm),
+    z AS (SELECT DISTINCT x, age, 52.0 / (4.414 + age + 52.0) AS z FROM b),
+    g AS (SELECT x, age, z, LIST_REDUCE([[1.0::DOUBLE, 1.0]] || LIST_TRANSFORM(RANGE(700), LAMBDA j: [j::DOUBLE, 0.0]), LAMBDA s, e:
+      [s[1] * (1.976 + e[1]) * (-0.207 + e[1]) / (2.219 + x + e[1]) / (e[1] + 1) * z, s[2] + s[1] * (1.976 + e[1]) * (-0.207 + e[1]) / (2.219 + x + e[1]) / (e[1] + 1) * z])[2]
+      * POWER(1 - z, 2.219 - 0.243 - 2.426 - x) AS series FROM z),
+    v AS (SELECT b.*, (2.219 + x) / (0.793 - 1) * (1 - POWER((4.414 + age) / (4.414 + age + 52.0), 0.243 + x) * series)
+      / (1 + CASE WHEN x > 0 THEN 0.793 / (2.426 + x - 1) * POWER((4.414 + age) / (4.414 + tx), 0.243 + x) ELSE 0 END) AS e FROM b JOIN g USING (x, age))"""
+)
+
+
+@query(
+    "customer_lifetime_value",
+    "CUS8",
+    "WITH " + LIFETIME_SQL + f" SELECT {KEYS_SQL}, ROUND(e, 6) AS expected_purchases, ROUND(e * m_value, 2) AS clv FROM v",
+)
 def lifetime_value(spark, sf):
     scored = cus.p_alive_clv(_rfm(spark, sf))
     return scored.select(*cus.CUSTOMER, F.round("expected_purchases", 6).alias("expected_purchases"), F.round("clv", 2).alias("clv"))
 
 
+@query("customer_lifetime_fit", "CUS8")
+def lifetime_fit(spark, sf):
+    found = fit_lifetime(_rfm(spark, sf), cus.SCOPE, penalty=0.001)
+    return found.select(*cus.SCOPE, "customers", *[F.round(c, 4).alias(c) for c in (*PARAMETERS, "log_likelihood")], "fit_status")
+
+
+@query("customer_lifetime_value_fitted", "CUS8")
+def lifetime_value_fitted(spark, sf):
+    scored = cus.fitted_clv(_rfm(spark, sf))
+    return scored.select(*cus.CUSTOMER, F.round("p_alive", 4).alias("p_alive"), F.round("expected_purchases", 4).alias("expected_purchases"), F.round("clv", 2).alias("clv"), "fit_status")
+
+
 @query(
     "customer_dna",
     "CUS9 CUS5 CUS6 CUS7 CUS11",

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.negbin import histogram, with_fallback
 from martloom.operators.poisson import MODEL, compress, fit
 from martloom.operators.window import all_true_per_key
-from martloom.session import sized
+from martloom.session import materialise, sized
 
 NO_MARKET = "__no_market_data__"
+OVERDISPERSED = 25.0  # Pearson dispersion beyond which standard errors alone no longer mend a Poisson model
 
 
 def ownership(items: DataFrame, item: str, flags: DataFrame, own_series: DataFrame) -> DataFrame:
@@ -44,15 +46,20 @@ def market_frame(items: DataFrame, item: str, indicators: DataFrame, topics: Dat
     return x.join(measures, item).select(*MODEL, "x", "y", "exposure", "is_own")
 
 
-def market_model(frame: DataFrame, min_obs: int = 3) -> DataFrame:
-    """Quasi-Poisson with exposure offset per (line, attribute); too few items withholds the model."""
+def market_model(frame: DataFrame, min_obs: int = 3, overdispersed: float = OVERDISPERSED) -> DataFrame:
+    """Quasi-Poisson with exposure offset per (line, attribute); too few items withholds the model.
+
+    Where sales scatter more than `overdispersed` times as widely as counts would, the negative binomial
+    takes over.
+    """
+    frame = materialise(frame, "market-frame")
     counts = frame.filter("x is not null and y is not null").groupBy(*MODEL).agg(
         F.count_if("is_own").alias("n_own"), F.count_if(~F.col("is_own")).alias("n_competitor")
     )
-    fitted = fit(compress(frame), quasi=True, min_rows=min_obs)
+    levels = materialise(compress(frame), "levels")
+    fitted = with_fallback(fit(levels, quasi=True, min_rows=min_obs), levels, histogram(frame), overdispersed)
     return (
         fitted.join(counts, MODEL, "left")
-        .withColumn("family_used", F.when(F.col("estimation_status") == "estimated", "quasipoisson"))
         .withColumn("competitor_included", F.coalesce(F.col("n_competitor") > 0, F.lit(False)))
     )
 

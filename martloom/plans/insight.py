@@ -267,9 +267,9 @@ def market_input(spark, sf):
 MARKET_DIGITS = {"coefficient": 8, "std_error": 8, "p_value": 8, "irr_display": 6}
 
 
-def _market(spark, sf):
+def _market(spark, sf, overdispersed=market.OVERDISPERSED):
     _, frame = _topic_frame(spark, sf)
-    return market.market_model(frame)
+    return market.market_model(frame, overdispersed=overdispersed)
 
 
 def _scales(spark, sf):
@@ -281,24 +281,46 @@ def _scales(spark, sf):
 def market_model(spark, sf):
     out = market.label_attributes(_market(spark, sf), _scales(spark, sf))
     return out.select(
-        *poisson.MODEL, "predictor_type", "scale", "attr_kind", "estimation_status", "drop_reason", "family_used", "sample_size", "n_own", "n_competitor", "competitor_included",
+        *poisson.MODEL, "predictor_type", "scale", "attr_kind", "estimation_status", "drop_reason", "family_used", "sample_size", "n_own", "n_competitor", "competitor_included", F.round("theta", 6).alias("theta"),
         *[F.round(c, d).alias(c) for c, d in MARKET_DIGITS.items()],
     )
 
 
-# 0/1 attribute with exposure: the rate ratio has a closed form, (sum y1 / sum e1) / (sum y0 / sum e0).
+# Items with sales and exposure, then sums per line and per brand. A 0/1 attribute with exposure has a closed
+# form: its rate ratio is (sum y1 / sum e1) / (sum y0 / sum e0).
+BRAND_SUMS_SQL = S + """, m AS (SELECT product_id, YEAR(order_date) * 12 + MONTH(order_date) AS m, is_own, quantity FROM sales),
+      own AS (SELECT product_id, (SELECT MAX(m) FROM m WHERE is_own) - MIN(m) FILTER (quantity > 0) + 1 AS months FROM m WHERE is_own GROUP BY 1), comp AS (SELECT product_id, COUNT(DISTINCT m) AS months FROM m WHERE NOT is_own GROUP BY 1),
+      it AS (SELECT p_type AS product_line_id, p_brand, COALESCE(q, 0) AS y, COALESCE(own.months, comp.months, (SELECT MAX(m) - MIN(m) + 1 FROM m)) AS e FROM part LEFT JOIN (SELECT product_id, SUM(quantity) AS q FROM sales GROUP BY 1) s ON s.product_id = p_partkey
+         LEFT JOIN own ON own.product_id = p_partkey LEFT JOIN comp ON comp.product_id = p_partkey),
+      lt AS (SELECT product_line_id, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1), bt AS (SELECT product_line_id, p_brand, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1, 2)"""
+
+
 @query(
     "market_brand_effects",
     "MKT2",
-    S + """, m AS (SELECT product_id, YEAR(order_date) * 12 + MONTH(order_date) AS m, is_own, quantity FROM sales),
-      own AS (SELECT product_id, (SELECT MAX(m) FROM m WHERE is_own) - MIN(m) FILTER (quantity > 0) + 1 AS months FROM m WHERE is_own GROUP BY 1), comp AS (SELECT product_id, COUNT(DISTINCT m) AS months FROM m WHERE NOT is_own GROUP BY 1),
-      it AS (SELECT p_type AS product_line_id, p_brand, COALESCE(q, 0) AS y, COALESCE(own.months, comp.months, 80) AS e FROM part LEFT JOIN (SELECT product_id, SUM(quantity) AS q FROM sales GROUP BY 1) s ON s.product_id = p_partkey
-         LEFT JOIN own ON own.product_id = p_partkey LEFT JOIN comp ON comp.product_id = p_partkey),
-      lt AS (SELECT product_line_id, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1), bt AS (SELECT product_line_id, p_brand, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1, 2)
+    BRAND_SUMS_SQL + """
       SELECT product_line_id, 'brand::' || p_brand AS predictor, ROUND(LN((bt.y / bt.e) / ((lt.y - bt.y) / (lt.e - bt.e))), 6) AS coefficient FROM bt JOIN lt USING (product_line_id)""",
 )
 def brand_effects(spark, sf):
-    return _market(spark, sf).filter(F.col("predictor").startswith("brand::")).select(*poisson.MODEL, F.round("coefficient", 6).alias("coefficient"))
+    quasi = _market(spark, sf, float("inf"))
+    return quasi.filter(F.col("predictor").startswith("brand::")).select(*poisson.MODEL, F.round("coefficient", 6).alias("coefficient"))
+
+
+# the limit at which the brand models of the given tables fall on both sides
+FAMILY_LIMIT = 190.0
+
+
+@query(
+    "market_families",
+    "MKT2",
+    BRAND_SUMS_SQL + f""", r AS (SELECT it.product_line_id, b.p_brand, it.y, it.e * CASE WHEN it.p_brand = b.p_brand THEN b.y1 / b.e1 ELSE (lt.y - b.y1) / (lt.e - b.e1) END AS mu
+        FROM it JOIN lt USING (product_line_id) JOIN (SELECT product_line_id, p_brand, y AS y1, e AS e1 FROM bt) b ON b.product_line_id = it.product_line_id),
+      d AS (SELECT product_line_id, p_brand, COUNT(*) AS sample_size, SUM((y - mu) * (y - mu) / mu) / (COUNT(*) - 2) AS phi FROM r GROUP BY 1, 2)
+      SELECT product_line_id, 'brand::' || p_brand AS predictor, sample_size, ROUND(phi, 5) AS dispersion, CASE WHEN phi > {FAMILY_LIMIT} THEN 'negative_binomial' ELSE 'quasipoisson' END AS family_used FROM d""",
+)
+def families(spark, sf):
+    found = _market(spark, sf, FAMILY_LIMIT).filter(F.col("predictor").startswith("brand::"))
+    return found.select(*poisson.MODEL, "sample_size", F.round("dispersion", 5).alias("dispersion"), "family_used")
 
 
 @query("market_attribute_coverage", "MKT4")

@@ -48,7 +48,7 @@ def _functions():
 
     def log_gamma(z):
         w, below = shifted(z)
-        return (w - 0.5) * np.log(w) - w + 0.5 * np.log(2 * np.pi) + 1 / (12 * w) - 1 / (360 * w**3) + 1 / (1260 * w**5) - sum(np.log(v) for v in below)
+        return (w - 0.5) * np.log(w) - w + 0.5 * np.log(2 * np.pi) + 1 / (12 * w) - 1 / (360 * w**3) + 1 / (1260 * w**5) - 1 / (1680 * w**7) - sum(np.log(v) for v in below)
 
     def digamma(z):
         w, below = shifted(z)

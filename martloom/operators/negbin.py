@@ -28,7 +28,7 @@ def _shifted(z: Column) -> tuple[Column, list[Column]]:
 def log_gamma(z: Column) -> Column:
     """ln gamma of a positive column: Stirling series after a shift by eight; so the two below."""
     w, below = _shifted(z)
-    series = (w - 0.5) * F.log(w) - w + 0.5 * math.log(2 * math.pi) + 1 / (12 * w) - 1 / (360 * w * w * w) + 1 / (1260 * F.pow(w, F.lit(5.0)))
+    series = (w - 0.5) * F.log(w) - w + 0.5 * math.log(2 * math.pi) + 1 / (12 * w) - 1 / (360 * w * w * w) + 1 / (1260 * F.pow(w, F.lit(5.0))) - 1 / (1680 * F.pow(w, F.lit(7.0)))
     return series - sum((F.log(v) for v in below), F.lit(0.0))
 
 

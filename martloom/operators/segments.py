@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.clean import drop_sentinels
@@ -13,33 +11,71 @@ from martloom.operators.window import first_n_per_key
 from martloom.session import materialise, sized
 
 
-def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int = 500) -> DataFrame:
-    """K-means on standardised topic means, one distributed fit per line.
+def _distance(one: Column, two: Column) -> Column:
+    """Squared distance of two arrays of equal length."""
+    return F.aggregate(F.zip_with(one, two, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, v: a + v)
 
-    Cluster numbers are reordered by size, then by mean sales, so they do not depend on the seed's labels.
+
+def _nearest(point: Column, centres: Column) -> Column:
+    """(d, c): squared distance and number of the nearest centre, the first of equals."""
+    found = F.transform(centres, lambda z: F.struct(_distance(point, z["at"]).alias("d"), z["c"].alias("c")))
+    return F.array_min(found)
+
+
+def _with_centres(items: DataFrame, centres: DataFrame) -> DataFrame:
+    """Items with the centres (c, at) of their line; k entries per line."""
+    listed = centres.groupBy("product_line_id").agg(F.array_sort(F.collect_list(F.struct("c", "at"))).alias("_centres"))
+    return items.join(sized(listed), "product_line_id")
+
+
+def seeded_centres(items: DataFrame, k: int, seed: int) -> DataFrame:
+    """k-means++ starts for every line at once: (product_line_id, c, at).
+
+    Each round draws one item per line with a chance proportional to its squared distance from the centres so
+    far: of exponential times with these rates the least wins, so a draw is one `min_by`. Times come from a hash
+    of seed, round and item. A line with fewer than k different points gets fewer centres.
+    """
+
+    def drawn(rows: DataFrame, rate: Column, turn: int) -> DataFrame:
+        unit = (F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), "product_line_id", "product_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        raced = rows.filter(rate > 0).select("product_line_id", "product_id", "at", (-F.log(unit) / rate).alias("_time"))
+        first = raced.groupBy("product_line_id").agg(F.min_by("at", F.struct("_time", "product_id")).alias("at"))
+        return first.select("product_line_id", F.lit(turn).alias("c"), "at")
+
+    centres = materialise(drawn(items, F.lit(1.0), 0), "centres")
+    for turn in range(1, k):
+        far = _with_centres(items, centres).withColumn("_d", _nearest(F.col("at"), F.col("_centres"))["d"])
+        centres = materialise(centres.unionByName(drawn(far, F.col("_d"), turn)), "centres")
+    return centres
+
+
+def segment_market(position: DataFrame, topics: list[str], k: int = 3, seed: int = 500, rounds: int = 50, settled: float = 1e-6) -> DataFrame:
+    """K-means on standardised topic means for all lines at once; the number of jobs doesn't depend on the lines.
+
+    Every item takes part; a topic it has no value for counts as the line's mean. A round assigns and averages all
+    lines in one aggregate, until no centre moves by more than `settled`. Cluster numbers are ordered by size, then
+    by mean sales, so they do not depend on the draw of the starts.
     """
-    whole = materialise(position.dropna(subset=topics).select("product_line_id", "product_id", "sales", *topics), "positions")
+    whole = materialise(position.select("product_line_id", "product_id", "sales", *topics), "positions")
     moments = whole.groupBy("product_line_id").agg(
         *[F.avg(t).alias(f"_m_{t}") for t in topics], *[F.coalesce(F.stddev(t), F.lit(0.0)).alias(f"_s_{t}") for t in topics]
     )
-    scaled = whole.join(sized(moments), "product_line_id").select(
-        "product_line_id", "product_id", "sales",
-        *[F.when(F.col(f"_s_{t}") > 0, (F.col(t) - F.col(f"_m_{t}")) / F.col(f"_s_{t}")).otherwise(0.0).alias(t) for t in topics],
-    )
-    # written once: every fit reads its own line from here instead of repeating the joins
-    scaled = materialise(scaled, "segments")
-    lines = scaled.groupBy("product_line_id").agg(F.count(F.lit(1)).alias("n")).orderBy("product_line_id").collect()
-    fitted = []
-    for line, n in lines:
-        items = VectorAssembler(inputCols=topics, outputCol="features").transform(scaled.filter(F.col("product_line_id") == line))
-        if n <= 1 or k <= 1:
-            assigned = items.withColumn("prediction", F.lit(0))
-        else:
-            assigned = KMeans(k=min(k, n), seed=seed).fit(items).transform(items)
-        fitted.append(assigned.select("product_line_id", "product_id", "sales", F.col("prediction").alias("_raw")))
-    if not fitted:
-        return position.select("product_line_id", "product_id", F.lit(None).cast("int").alias("cluster")).limit(0)
-    every = union_all(*fitted)
+    scaled = [F.when(F.col(f"_s_{t}") > 0, F.coalesce((F.col(t) - F.col(f"_m_{t}")) / F.col(f"_s_{t}"), F.lit(0.0))).otherwise(0.0) for t in topics]
+    items = whole.join(sized(moments), "product_line_id").select("product_line_id", "product_id", "sales", F.array(*scaled).alias("at"))
+    items = materialise(items, "segments")
+    centres = seeded_centres(items, k, seed)
+    for _ in range(rounds):
+        near = _with_centres(items, centres).select("product_line_id", "at", _nearest(F.col("at"), F.col("_centres"))["c"].alias("c"))
+        means = near.groupBy("product_line_id", "c").agg(F.array(*[F.avg(F.col("at")[i]) for i in range(len(topics))]).alias("_mean"))
+        moved = centres.join(means, ["product_line_id", "c"], "left").select(
+            "product_line_id", "c", F.coalesce("_mean", "at").alias("at"), F.coalesce(_distance(F.col("at"), F.col("_mean")), F.lit(0.0)).alias("_moved")
+        )
+        moved = materialise(moved, "centres")
+        centres = moved.drop("_moved")
+        if moved.filter(F.col("_moved") > settled * settled).isEmpty():
+            break
+    every = _with_centres(items, centres).select("product_line_id", "product_id", "sales", _nearest(F.col("at"), F.col("_centres"))["c"].alias("_raw"))
+    every = materialise(every, "assigned")
     sizes = every.groupBy("product_line_id", "_raw").agg(F.count(F.lit(1)).alias("_n"), F.avg("sales").alias("_s"))
     # at most k rows per line
     order = sizes.groupBy("product_line_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("n"), (-F.col("_s")).alias("s"), F.col("_raw").alias("raw")))).alias("_o"))

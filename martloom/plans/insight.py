@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martloom.functions.text import fingerprint
-from martloom.operators import customer, lookup, market, poisson, position, products as prod, recommend, reshape, reviews as rev, segments
+from martloom.operators import customer, imputation, lookup, market, poisson, position, products as prod, recommend, reshape, reviews as rev, segments
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, REVIEWS_SQL, SALES_SQL, TOPICS, as_of, order_lines, products, ratings_long, reviews, rmean, sales, table
 from martloom.plans.registry import query
 from martloom.session import materialise
@@ -136,6 +136,34 @@ def imputed(spark, sf):
     return rev.impute(rev.ratings_by_item(ratings_long(spark, sf))).withColumn("rating", F.round("rating", 6))
 
 
+def _chained(spark, sf):
+    p = products(spark, sf).select("product_line_id", "product_id")
+    return imputation.impute_chained(rev.ratings_by_item(ratings_long(spark, sf)), p, _topics(spark, sf))
+
+
+@query("chained_ratings", "REV7")
+def chained(spark, sf):
+    return _chained(spark, sf).withColumns({c: F.round(c, 6) for c in ("rating", "spread")})
+
+
+# what no draw may change: the whole grid, its observed means, and the observed range of each topic in its line
+@query(
+    "chained_rating_invariants",
+    "REV7",
+    RT + """, i AS (SELECT product_id, topic, AVG(rating) AS rating FROM ratings GROUP BY 1, 2)
+      SELECT p_type AS product_line_id, p_partkey AS product_id, t.topic, rating IS NULL AS imputed, ROUND(rating, 6) AS observed, TRUE AS in_range
+      FROM part CROSS JOIN topics t LEFT JOIN i ON i.product_id = p_partkey AND i.topic = t.topic""",
+)
+def chained_invariants(spark, sf):
+    found = materialise(_chained(spark, sf), "chained")
+    seen = found.filter("not imputed")
+    line = seen.groupBy("product_line_id", "topic").agg(F.min("rating").alias("_lo"), F.max("rating").alias("_hi"))
+    overall = seen.groupBy("topic").agg(F.min("rating").alias("_least"), F.max("rating").alias("_most"))
+    both = found.join(line, ["product_line_id", "topic"], "left").join(overall, "topic", "left")
+    inside = F.col("rating").between(F.coalesce("_lo", "_least"), F.coalesce("_hi", "_most"))
+    return both.select("product_line_id", "product_id", "topic", "imputed", F.when(~F.col("imputed"), F.round("rating", 6)).alias("observed"), inside.alias("in_range"))
+
+
 # ---- position and market ---------------------------------------------------------------------
 
 PIVOT_SQL = ", ".join(f"AVG(rating) FILTER (topic = '{t}') AS {t}" for t in TOPICS)
@@ -421,7 +449,7 @@ def recommended(spark, sf):
 
 
 def _segments(spark, sf):
-    ratings = materialise(rev.impute(rev.ratings_by_item(ratings_long(spark, sf))), "ratings")
+    ratings = materialise(_chained(spark, sf), "ratings")
     own, comp = _totals(spark, sf)
     pos = position.position(ratings, TOPICS, own, comp, products(spark, sf))
     return ratings, segments.segment_market(pos, TOPICS)
@@ -432,6 +460,30 @@ def market_segments(spark, sf):
     return _segments(spark, sf)[1]
 
 
+# whatever the starts: every item is in one cluster, no centre of its line is nearer, and clusters go by size
+@query(
+    "segment_invariants",
+    "SEG1",
+    "SELECT p_type AS product_line_id, COUNT(*) AS items, 3 AS clusters, 0 AS misplaced, TRUE AS by_size FROM part GROUP BY 1",
+)
+def segment_invariants(spark, sf):
+    ratings, assigned = _segments(spark, sf)
+    assigned = materialise(assigned, "assigned")
+    stats = ratings.groupBy("product_line_id", "topic").agg(F.avg("rating").alias("_m"), F.stddev("rating").alias("_s"))
+    z = ratings.join(stats, ["product_line_id", "topic"]).select("product_line_id", "product_id", "topic", F.when(F.col("_s") > 0, (F.col("rating") - F.col("_m")) / F.col("_s")).otherwise(0.0).alias("z"))
+    z = materialise(z.join(assigned, ["product_line_id", "product_id"]), "scores")
+    centres = z.groupBy("product_line_id", "cluster", "topic").agg(F.avg("z").alias("_c"))
+    far = z.join(centres.withColumnRenamed("cluster", "other"), ["product_line_id", "topic"])
+    far = far.groupBy("product_line_id", "product_id", "cluster", "other").agg(F.sum((F.col("z") - F.col("_c")) * (F.col("z") - F.col("_c"))).alias("d"))
+    own = far.groupBy("product_line_id", "product_id").agg(F.min("d").alias("least"), F.max(F.when(F.col("other") == F.col("cluster"), F.col("d"))).alias("own"))
+    wrong = own.groupBy("product_line_id").agg(F.count_if(F.col("own") > F.col("least") + 1e-4).cast("int").alias("misplaced"))
+    sizes = assigned.groupBy("product_line_id", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    listed = sizes.groupBy("product_line_id").agg(F.sum("n").alias("items"), F.count(F.lit(1)).cast("int").alias("clusters"), F.array_sort(F.collect_list(F.struct("cluster", "n"))).alias("_by"))
+    counts = F.transform("_by", lambda c: c["n"])
+    ordered = listed.withColumn("by_size", counts == F.reverse(F.array_sort(counts))).drop("_by")
+    return ordered.join(wrong, "product_line_id")
+
+
 @query("segment_profiles", "SEG2")
 def segment_profiles(spark, sf):
     ratings, assigned = _segments(spark, sf)

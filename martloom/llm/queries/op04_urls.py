@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.registry import query
 from martloom.llm.tables import table
-from martloom.llm.url_rules import HostRule, judged
+from martloom.llm.url_rules import HostRule, judged, path_of
 
 # The host rules of the contract
 RULES = (
@@ -17,7 +17,8 @@ RULES = (
     HostRule("com", "/fr/", "allow"),
     HostRule("com", "/de/", "block"),
 )
-MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 20, 0.005, 0.5
+# a rule needs 20 bad rows and 1.75 times the bad rows' overall share
+MIN_ROWS, MIN_SUPPORT, MIN_LIFT = 20, 0.005, 1.75
 
 SQL = f"""
 with u as (select page_id, url, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end rest from pages),
@@ -29,15 +30,15 @@ t as (select page_id, host, path, case when contains(url, '://') then list_sort(
         || list_transform(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: 'p:' || x)
         || list_transform(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: 'q:' || split_part(x, '=', 1))
         || ['f:' || regexp_extract(rest, '#(.*)$', 1)]), lambda x: length(x) > 2)) else []::varchar[] end tok from p),
-l as (select row_number() over () rid, tok, (toxic = 1 or quality = 0) bad from t join labels on doc_id = page_id
+l as (select row_number() over () rid, tok, (toxic = 1 or quality = 0) bad from t join labels on doc_id = try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) as bigint)
       where quality is not null and toxic is not null and len(tok) > 0),
-m as (select greatest({MIN_ROWS}, ceil(count(*) * {MIN_SUPPORT})) least from l),
+m as (select greatest({MIN_ROWS}, ceil(count(*) * {MIN_SUPPORT})) least, {MIN_LIFT} * count(*) filter (where bad) / count(*) least_share from l),
 e as (select rid, bad, unnest(tok) x from l),
 c as (select [x] r, bad from e
       union all select [a.x, b.x], a.bad from e a join e b on a.rid = b.rid and a.x < b.x
       union all select [a.x, b.x, c.x], a.bad from e a join e b on a.rid = b.rid and a.x < b.x join e c on b.rid = c.rid and b.x < c.x),
 g as (select r, count(*) filter (where bad) support, count(*) n from c group by r),
-k as (select r from g, m where support >= least and support / n >= {MIN_CONFIDENCE}),
+k as (select r from g, m where support >= least and support / n >= least_share),
 h as (select distinct page_id from t join k on list_has_all(tok, r)),
 v as (select t.page_id, host, path,
         case when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'
@@ -54,9 +55,10 @@ from v"""
 
 @query("op4_mined_url_rules", SQL)
 def mined_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages labelled under their own number train the rules: toxic or low-quality ones are bad."""
+    """The last number in a URL's path names the page's document: toxic or low-quality ones are bad."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
-    labelled = pages.join(labels.filter("bad is not null"), "page_id")
-    found = judged(pages, "url", labelled, RULES, MIN_ROWS, MIN_SUPPORT, MIN_CONFIDENCE)
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    number = F.regexp_extract(path_of(F.col("url")), "([0-9]+)[^0-9]*$", 1).try_cast("long")
+    labelled = pages.join(labels.filter("bad is not null"), number == F.col("doc_id"))
+    found = judged(pages, "url", labelled, RULES, MIN_ROWS, MIN_SUPPORT, 0.0, MIN_LIFT)
     return found.select("page_id", "host", "path", "rule", "verdict")

@@ -117,6 +117,8 @@ def scan_unseen(texts: DataFrame, text: str, rules: tuple[Rule, ...], ledger: Da
 def with_findings(paths: DataFrame, text: str, rules: tuple[Rule, ...], ledger: DataFrame) -> DataFrame:
     """Every row of `paths` with `secrets`: its spans under the current rules, sorted by start, then rule order.
 
+    Null texts have none; repeated rows get the same spans. A column of `paths` called `secrets` is replaced.
+
     Only blobs with a finding take part in the join, and they are written first, so a blob that very
     many paths share is split by Spark like any hot key.
     """
@@ -130,6 +132,7 @@ def with_findings(paths: DataFrame, text: str, rules: tuple[Rule, ...], ledger:
         .agg(F.array_sort(F.collect_list(one)).alias("secrets"))
     )
     # findings grow with the data: a merge join at every size, not a broadcast at small ones
+    paths = paths.select([F.col(f"`{c}`") for c in paths.columns if c != "secrets"])
     joined = paths.withColumn("_blob", blob_of(F.col(text))).join(sized(found).hint("merge"), F.col("_blob") == F.col("_b"), "left")
     empty = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,rule:string>>")
     return joined.withColumn("secrets", F.coalesce("secrets", empty)).drop("_blob", "_b")

@@ -80,12 +80,11 @@ def sharded(docs: DataFrame, order: list[str], shards: int = 16, seed: int = 20,
     Only rows equal in all of `order` share a number's choice, and they are interchangeable. Nulls
     sort first. An empty table stays empty. Columns named `shard` or `slot` are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("shard", "slot", "_row")]
-    docs = docs.select(*kept).withColumn("_tie", F.monotonically_increasing_id())
-    numbered = ranked(docs, [], [*order, "_tie"], "_row", "_rows")
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    hidden = {c: f"_c{i}" for i, c in enumerate(docs.columns)}  # no clash with the columns added here
+    plain = docs.select(*[F.col(f"`{c}`").alias(h) for c, h in hidden.items()]).withColumn("_tie", F.monotonically_increasing_id())
+    numbered = ranked(plain, [], [*[hidden[c] for c in order], "_tie"], "_row", "_rows")
     n = total if total is not None else numbered.agg(F.count(F.lit(1))).first()[0]
-    place = permuted(F.col("_row") - 1, max(n, 1), seed)
-    return (
-        numbered.withColumn("_place", place)
-        .select(*kept, (F.col("_place") % shards).cast("int").alias("shard"), ((F.col("_place") - F.col("_place") % shards) / shards).cast("long").alias("slot"))
-    )
+    placed = numbered.withColumn("_place", permuted(F.col("_row") - 1, max(n, 1), seed))
+    slot = (F.col("_place") - F.col("_place") % shards) / shards
+    return placed.select(*[F.col(hidden[c]).alias(c) for c in kept], (F.col("_place") % shards).cast("int").alias("shard"), slot.cast("long").alias("slot"))

@@ -368,24 +368,20 @@ def near_copies(docs: DataFrame, ident: str, text: str, shingle: int = 3, radius
     return printed.join(materialise(labels, "labels"), F.col("fp") == F.col("_fp"), "left").drop("_fp")
 
 
-def one_of_each(
-    docs: DataFrame, ident: str, text: str, shingle: int = 2, radius: int = 8, blocks: int = 9, check_shingle: int = 5, check_radius: int = 84
-) -> DataFrame:
-    """The rows of `docs` without near copies: the row with the smallest `ident` of each group stays.
-
-    Links need at most `radius` differing bits over shingles of `shingle` words, and at most
-    `check_radius` of 512 over shingles of `check_shingle` words, which estimates their similarity (0.8 of
-    all their shingles in common differs in about 78 bits). Repeated rows are copies of each other.
+def one_of_each(docs: DataFrame, ident: str, text: str, shingle: int = 3, radius: int = 3, blocks: int = 4) -> DataFrame:
+    """The rows of `docs` without near copies: the row with the smallest `ident` of each component stays.
+
+    Components are those of `near_copies`. Repeated rows are copies of each other, and so are all texts without
+    words; a null `ident` counts as smallest, and of equal ones one row stays.
     """
     names = docs.columns
     hidden = {c: f"_c{i}" for i, c in enumerate(names)}  # no clash with the columns added here
     plain = docs.select([F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
-    printed = fingerprints(plain, hidden[text], list(hidden.values()), shingle, check_shingle)
+    printed = fingerprints(plain, hidden[text], list(hidden.values()), shingle)
     printed = materialise(printed.withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
-    distinct = printed.groupBy("fp", "check").agg(F.min(F.struct(F.col(hidden[ident]).alias("i"), "_row")).alias("least"))
-    distinct = materialise(distinct.withColumn("id", F.col("least._row")), "distinct-fingerprints")
-    links = fingerprint_links(distinct, radius, blocks, check_radius)
-    named = components(links, "id")
+    distinct = printed.groupBy("fp").agg(F.min(F.struct(F.col(hidden[ident]).alias("i"), "_row")).alias("least"))
+    distinct = materialise(distinct.withColumn("id", F.col("fp")), "distinct-fingerprints")
+    named = components(fingerprint_links(distinct, radius, blocks), "id")
     rooted = distinct.select("id", "least").join(sized(named), "id", "left").withColumn("root", F.coalesce("root", "id"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least._row").alias("_kept"))
     # both sides grow with the data: a merge join at every size, not a broadcast at small ones

@@ -3,8 +3,8 @@
 Host rules: a rule `host/path` fits its host and all subdomains if the URL's path starts with the
 rule's path; the longest one wins. A URL that no host rule fits is judged by association rules: FP-growth over
 the tokens of labelled URLs finds token combinations that go with bad pages, kept if enough rows
-support them, if the share of bad rows among those with the combination reaches the confidence, and if
-no kept rule has part of the same tokens. Matching goes through an inverted index on each rule's rarest
+support them, if the share of bad rows among those with the combination reaches the confidence (a fixed
+one, or a multiple of the bad rows' overall share), and if no kept rule has part of the same tokens. Matching goes through an inverted index on each rule's rarest
 token: only rules filed under a token the URL has are compared.
 
 A null URL, or one without `://`, has an empty host and path and no tokens.
@@ -78,16 +78,19 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, named).otherwise(F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, tokens: str, bad: str, min_rows: int, min_support: float, min_confidence: float, most_tokens: int | None = None) -> DataFrame:
+def mined_rules(labelled: DataFrame, tokens: str, bad: str, min_rows: int, min_support: float, min_confidence: float, most_tokens: int | None = None, min_lift: float = 0.0) -> DataFrame:
     """(rule array<string>, support long, confidence double): minimal token combinations of bad rows.
 
+    The confidence asked for is the larger of `min_confidence` and `min_lift` times the share of bad rows.
+
     `labelled` has an array of distinct tokens and a boolean; support counts rows with all the tokens
     and a bad label. FP-growth divides its work by item; the result is bounded by the support. Rules
     have any number of tokens, or up to `most_tokens` if given.
     """
     spark = labelled.sparkSession
     labelled = materialise(labelled.select(F.col(tokens).alias("_t"), F.col(bad).alias("_bad")).filter("_bad is not null and size(_t) > 0"), "labelled-urls")
-    n = labelled.count()
+    n, n_bad = labelled.agg(F.count(F.lit(1)), F.count_if("_bad")).first()
+    min_confidence = max(min_confidence, min_lift * n_bad / n) if n else min_confidence
     least = max(min_rows, -(-int(n * min_support * 1_000_000) // 1_000_000))
     schema = "rule array<string>, support bigint, confidence double"
     if n < least:
@@ -142,12 +145,16 @@ def judged(
     min_rows: int = 20,
     min_support: float = 0.005,
     min_confidence: float = 0.5,
+    min_lift: float = 0.0,
 ) -> DataFrame:
-    """Add host, path, rule and verdict to every page; `labelled` has url and a boolean bad."""
+    """Add host, path, rule and verdict to every page; `labelled` has url and a boolean bad.
+
+    Pages with equal URLs get equal verdicts. Columns of `pages` named like the four new ones are replaced.
+    """
     pages = pages.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")])
     known = materialise(labelled.select(tokens_of(F.col("url")).alias("_t"), "bad"), "url-tokens")
     frequency = known.select(F.explode("_t").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    mined = mined_rules(known, "_t", "bad", min_rows, min_support, min_confidence)
+    mined = mined_rules(known, "_t", "bad", min_rows, min_support, min_confidence, min_lift=min_lift)
     hits = sized(matched(pages, url, mined, frequency).select(F.col(url).alias("_hit"), F.lit(True).alias("_bad")))
     text, verdict = longest_rule(rules, F.col("host"), F.col("path"))
     placed = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))

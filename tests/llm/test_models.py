@@ -244,3 +244,17 @@ def test_a_part_two_tokens_smaller_makes_a_rule_needless(spark):
     rows += [(["b", "c"], False)] * 10
     found = mined_rules(spark.createDataFrame(rows, "t array<string>, bad boolean"), "t", "bad", 5, 0.01, 0.8).collect()
     assert [r.rule for r in found] == [["a"]]
+
+
+def test_rules_by_lift_block_pages(spark):
+    from martloom.llm.queries.op04_urls import RULES
+    from martloom.llm.url_rules import judged as judged_urls
+
+    # three in ten pages are bad; six in ten of those with `bets` are, and none alone reaches a half but for them
+    bad = [(f"http://x.net/bets/{i}", i % 10 < 6) for i in range(100)] + [(f"http://x.net/news/{i}", i % 10 < 2) for i in range(300)]
+    labelled = spark.createDataFrame(bad, "url string, bad boolean")
+    pages = spark.createDataFrame([(1, "http://y.net/bets/7"), (2, "http://y.net/news/7"), (3, "http://a.org/bets/1")], "page_id long, url string")
+    found = {r.page_id: r.verdict for r in judged_urls(pages, "url", labelled, RULES, 20, 0.005, 0.0, 1.75).collect()}
+    assert found == {1: "block", 2: "allow", 3: "allow"}
+    none = {r.page_id: r.verdict for r in judged_urls(pages, "url", labelled, RULES, 20, 0.005, 0.0, 2.5).collect()}
+    assert set(none.values()) == {"allow"}

@@ -130,3 +130,11 @@ def test_digest_column(spark, data_dir):
     for r in blob_ledger_secrets(spark, data_dir).collect():
         want = brute(texts[r.doc_id])
         assert (r.spans, r.base_sha256) == (want, hashlib.sha256(want.encode()).hexdigest())
+
+
+def test_own_columns_named_like_internal_ones(spark):
+    docs = spark.createDataFrame([(i, f"password = hunter2hunter2{i}", 5, 6, "mine") for i in range(30)], "doc_id long, text string, _row int, _rows int, secrets string")
+    found = sharded(docs, ["doc_id"], 4)
+    assert found.columns == [*docs.columns, "shard", "slot"] and found.filter("_row = 5 and _rows = 6").count() == 30
+    ledger = scan_unseen(docs, "text", BASE_RULES)
+    assert with_findings(docs, "text", BASE_RULES, ledger).filter("size(secrets) = 1").count() == 30

@@ -118,3 +118,11 @@ def test_one_of_each_keeps_all_columns_and_one_row(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
     assert one_of_each(docs.filter(F.lit(False)), "doc_id", "text").count() == 0
+
+
+def test_one_of_each_equals_brute_force(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    fps = np.array([plain_fingerprint(r.text) for r in rows], dtype=np.uint64)
+    roots = labels(len(rows), brute_links(fps, 3))
+    assert sorted(r.doc_id for r in one_of_each(docs, "doc_id", "text").collect()) == sorted({rows[root].doc_id for root in roots})

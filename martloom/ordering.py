@@ -139,13 +139,15 @@ def positions(df: DataFrame, group: list[str], order: list, rank: str = "rn", we
         F.min_by(key, "_pos").alias("_first"), F.max_by(key, "_pos").alias("_last"), *[F.max_by(c, "_pos").alias(c) for c in sums]
     )
     ends = materialise(ends, "task-ends")  # one row per task
-    before = ends.select(F.col("_part").alias("_q"), F.col("_last").alias("_g"), *[F.col(c).alias(f"_q{c}") for c in sums])
-    offsets = (
-        ends.join(before, (F.col("_first").eqNullSafe(F.col("_g"))) & (F.col("_q") < F.col("_part")))
-        .groupBy("_part", "_first")
-        .agg(*[F.sum(f"_q{c}").alias(f"_b{c}") for c in sums])
+    # tasks that end in a group are all before the one that begins in it and goes on, so one sum per group and one
+    # running sum over its tasks place every piece; no task meets another
+    earlier = Window.partitionBy("_last").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    within = ends.select("_part", "_first", "_last", *[F.sum(c).over(earlier).alias(f"_e{c}") for c in sums])
+    totals = ends.groupBy(F.col("_last").alias("_g")).agg(*[F.sum(c).alias(f"_t{c}") for c in sums])
+    whole = F.col("_first").eqNullSafe(F.col("_last"))
+    offsets = within.join(totals, F.col("_first").eqNullSafe(F.col("_g"))).select(
+        F.col("_part").alias("_p"), "_g", *[F.when(whole, F.col(f"_e{c}")).otherwise(F.col(f"_t{c}")).alias(f"_b{c}") for c in sums]
     )
-    offsets = offsets.select(F.col("_part").alias("_p"), F.col("_first").alias("_g"), *[f"_b{c}" for c in sums])
     offsets = sized(offsets)
     joined = laid.withColumn("_key", key).join(offsets, (F.col("_part") == F.col("_p")) & F.col("_key").eqNullSafe(F.col("_g")), "left")
     outs = [(F.col("_rank") + F.coalesce("_b_rank", F.lit(0))).alias(rank)]

@@ -113,3 +113,26 @@ def test_empty_frames(spark):
     assert ordering.with_next(empty, ["g"], ["v", "id"], ["w"]).count() == 0
     assert ordering.with_tiles(empty, ["g"], {"t": ("v", 5)}, "id").count() == 0
     assert math.isclose(ordering.running_total(empty, ["g"], ["v", "id"], "w", "r", "t").count(), 0)
+
+
+def test_one_hot_group_over_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from martloom.ordering import positions
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        # nearly all rows in one group, small ones before and after it, one of them null
+        group = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 50 == 1, "z").when(F.col("id") % 50 == 2, "a").otherwise("hot")
+        rows = spark.range(6000).select(group.alias("g"), (F.col("id") * 7 % 6000).alias("v"), (F.col("id") % 5).alias("w"))
+        found = positions(rows, ["g"], ["v"], "rn", "w", "upto").toPandas()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    found["g"] = found["g"].fillna("none")
+    found = found.sort_values(["g", "v"])
+    assert (found.groupby("g").cumcount() + 1 == found["rn"]).all()
+    assert (found.groupby("g")["w"].cumsum() == found["upto"]).all()
+    assert len(found) == 6000

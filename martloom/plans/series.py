@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import labels
 from martloom.functions.dates import WEEKDAYS, calendar_dummies
-from martloom.operators import geo, macro, poisson, reshape
+from martloom.operators import aliasing, geo, macro, poisson, reshape
 from martloom.operators.aggregate import daily_sales, summary_by_hierarchy
 from martloom.operators.window import top_significant
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, SALES_SQL, TOPICS, as_of, msum, order_lines, products, ratings_long, sales, table
@@ -306,16 +306,27 @@ il AS (SELECT p_type AS product_line_id, UNNEST(['size','retail_price','brand_on
   UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), 7.0, NULL, CASE WHEN p_size > 1 THEN CAST(p_size % 2 AS DOUBLE) END]) AS x, y FROM part LEFT JOIN tot ON l_partkey = p_partkey)"""
 
 
+# a size in another unit repeats `size`; `weight` is asked for but not there. Pairs are enough to see it in SQL.
+ALIAS_SQL = ITEM_LONG_SQL + """, iw AS (SELECT p_type AS product_line_id, p_partkey AS item, UNNEST([1, 2, 3, 4, 5]) AS pos, UNNEST(['size', 'retail_price', 'brand_one', 'odd_size', 'size_cm']) AS predictor,
+    UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), CAST(p_size % 2 AS DOUBLE), p_size * 2.5]) AS x FROM part WHERE p_size > 1),
+  al AS (SELECT DISTINCT b.product_line_id, b.predictor FROM (SELECT a.product_line_id, b.predictor, ABS(CORR(a.x, b.x)) AS c FROM iw a JOIN iw b ON a.item = b.item AND a.pos < b.pos GROUP BY a.product_line_id, a.predictor, b.predictor) b WHERE c > 1 - 1e-9),
+  i2 AS (SELECT * FROM il UNION ALL SELECT product_line_id, 'size_cm', x * 2.5, y FROM il WHERE predictor = 'size')"""
+
+
 @query(
     "predictor_estimability",
     "POI2 POI4 POI6",
-    f"""WITH {ITEM_LONG_SQL}, s AS (SELECT product_line_id, predictor, COUNT(x) AS nk, COUNT(DISTINCT x) AS xk, COUNT(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n, COUNT(DISTINCT CASE WHEN y IS NOT NULL THEN x END) AS lv FROM il GROUP BY 1, 2)
-      SELECT product_line_id, predictor, n AS sample_size, lv AS n_levels, CASE WHEN nk = 0 OR xk = 1 THEN 'dropped' WHEN n < 3 OR lv < 2 THEN 'not_estimable' ELSE 'estimated' END AS estimation_status,
-      CASE WHEN nk = 0 THEN 'all_na_prefilter' WHEN xk = 1 THEN 'constant_prefilter' WHEN n < 3 THEN 'insufficient_rows' WHEN lv < 2 THEN 'constant_in_subset' END AS drop_reason FROM s""",
+    f"""WITH {ALIAS_SQL}, s AS (SELECT product_line_id, predictor, COUNT(x) AS nk, COUNT(DISTINCT x) AS xk, COUNT(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n, COUNT(DISTINCT CASE WHEN y IS NOT NULL THEN x END) AS lv FROM i2 GROUP BY 1, 2),
+      g AS (SELECT s.*, al.predictor IS NOT NULL AS twin FROM s LEFT JOIN al USING (product_line_id, predictor))
+      SELECT product_line_id, predictor, n AS sample_size, lv AS n_levels, CASE WHEN nk = 0 OR xk = 1 THEN 'dropped' WHEN n < 3 OR lv < 2 OR twin THEN 'not_estimable' ELSE 'estimated' END AS estimation_status,
+      CASE WHEN nk = 0 THEN 'all_na_prefilter' WHEN xk = 1 THEN 'constant_prefilter' WHEN n < 3 THEN 'insufficient_rows' WHEN lv < 2 THEN 'constant_in_subset' WHEN twin THEN 'aliased' END AS drop_reason FROM g
+      UNION ALL SELECT DISTINCT p_type, 'weight', 0, 0, 'not_estimable', 'missing_column' FROM part""",
 )
 def estimability(spark, sf):
-    frame = _item_frame(spark, sf)
-    return poisson.estimability(poisson.compress(poisson.to_long(frame, poisson.select_predictors(frame))))
+    frame = _item_frame(spark, sf).withColumn("size_cm", F.col("size") * 2.5)
+    chosen = poisson.select_predictors(frame)
+    gate = poisson.estimability(poisson.compress(poisson.to_long(frame, chosen)))
+    return aliasing.with_structure(gate, frame, [*chosen, "weight"])
 
 
 @query(

@@ -109,15 +109,39 @@ def drivers(results: DataFrame) -> DataFrame:
     return results.filter(significant())
 
 
-def market_sentinel(lines: DataFrame, results: DataFrame, reason: str = "no_position_rows") -> DataFrame:
-    """A visible row for each line without any market result."""
+def market_reasons(lines: DataFrame, items: DataFrame, attributes: DataFrame) -> DataFrame:
+    """(product_line_id, drop_reason) of every line without a market model, by the first thing it lacks.
+
+    `items` has product_line_id, product_id and sales; `attributes` is long with (line, predictor, x).
+    """
+    profile = items.groupBy("product_line_id").agg(
+        F.count("product_id").alias("_items"), F.count_if(F.col("sales").isNotNull() & F.col("product_id").isNotNull()).alias("_sold")
+    )
+    numeric = attributes.groupBy("product_line_id").agg(F.count("x").alias("_x"))
+    # Names of the reasons
+    reason = (
+        F.when(F.col("_items").isNull(), "no_product_profile")
+        .when(F.col("_items") == 0, "profile_no_item_id")
+        .when(F.coalesce(F.col("_x"), F.lit(0)) == 0, "no_numeric_attrs")
+        .when(F.col("_sold") == 0, "no_sales")
+    )
+    joined = lines.select("product_line_id").distinct().join(profile, "product_line_id", "left").join(numeric, "product_line_id", "left")
+    return joined.select("product_line_id", reason.alias("drop_reason")).filter("drop_reason is not null")
+
+
+def market_sentinel(lines: DataFrame, results: DataFrame, reason: str = "no_position_rows", reasons: DataFrame | None = None) -> DataFrame:
+    """A visible row for each line without any market result, with its own reason where `reasons` has one."""
     absent = lines.select("product_line_id").distinct().join(results, "product_line_id", "left_anti")
+    cause = F.lit(reason)
+    if reasons is not None:
+        absent = absent.join(reasons.select("product_line_id", F.col("drop_reason").alias("_reason")), "product_line_id", "left")
+        cause = F.coalesce("_reason", F.lit(reason))
     rows = absent.select(
         "product_line_id",
         F.lit(NO_MARKET).alias("predictor"),
         F.lit("structural").alias("predictor_type"),
         F.lit("not_estimable").alias("estimation_status"),
-        F.lit(reason).alias("drop_reason"),
+        cause.alias("drop_reason"),
         F.lit(False).alias("competitor_included"),
     )
     return results.unionByName(rows, allowMissingColumns=True)

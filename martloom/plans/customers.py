@@ -238,6 +238,30 @@ def segment_statistics(spark, sf):
     return v.select(*cus.SCOPE, "dna_segment", "customers", *[F.round(c, d).alias(c) for c, d in (("avg_r", 4), ("avg_f", 4), ("avg_m", 2), ("share", 6))])
 
 
+DNA_SQL = SEGMENT_SQL + GAPS_SQL + ", dna AS (SELECT * FROM seg JOIN act USING (platform_id, product_line_id_filter, customer_id))"
+
+
+def _views(spark, sf):
+    return cus.dna_views(_dna(spark, sf), cus.customer_profile(_named_sales(spark, sf)))
+
+
+@query(
+    "customer_analytics_view",
+    "CUS12",
+    "WITH " + DNA_SQL + f""" SELECT {KEYS_SQL}, c_name AS buyer_name, LOWER(REPLACE(c_name, '#', '.')) || '@example.com' AS email, r_value, f_value, m_value, nes_status,
+      dna_segment, ROUND(cai, 6) AS cai FROM dna JOIN customer ON c_custkey = customer_id""",
+)
+def analytics_view(spark, sf):
+    v = _views(spark, sf)["v_customer_dna_analytics"]
+    return v.select(*cus.CUSTOMER, "buyer_name", "email", "r_value", "f_value", "m_value", "nes_status", "dna_segment", F.round("cai", 6).alias("cai"))
+
+
+@query("customer_segments_view", "CUS12", "WITH " + DNA_SQL + f" SELECT {KEYS_SQL}, nes_status, dna_segment, ROUND(cai, 6) AS cai, value_tier FROM dna")
+def segments_view(spark, sf):
+    v = _views(spark, sf)["v_customer_segments"]
+    return v.select(*cus.CUSTOMER, "nes_status", "dna_segment", F.round("cai", 6).alias("cai"), "value_tier")
+
+
 METRICS = ["r_value", "f_value", "m_value", "ipt"]
 LONG_SQL = (
     RFM_SQL

@@ -386,6 +386,26 @@ def no_market(spark, sf):
     return market.market_sentinel(p, some).select("product_line_id", "predictor", "drop_reason")
 
 
+# Lines by what they lack: PROMO has no items, ECONOMY no item ids, LARGE no numbers, MEDIUM no sales, SMALL no model although nothing lacks.
+@query(
+    "market_reasons",
+    "MKT7",
+    """SELECT DISTINCT p_type AS product_line_id, CASE p_type WHEN 'STANDARD' THEN 'size' ELSE '__no_market_data__' END AS predictor,
+      CASE p_type WHEN 'PROMO' THEN 'no_product_profile' WHEN 'ECONOMY' THEN 'profile_no_item_id' WHEN 'LARGE' THEN 'no_numeric_attrs' WHEN 'MEDIUM' THEN 'no_sales' WHEN 'SMALL' THEN 'no_position_rows' END AS drop_reason FROM part""",
+)
+def reasons(spark, sf):
+    line = F.col("product_line_id")
+    own, comp = _totals(spark, sf)
+    p = products(spark, sf).join(own.unionByName(comp), "product_id", "left")
+    items = p.filter(line != "PROMO").select(
+        "product_line_id", F.when(line != "ECONOMY", F.col("product_id")).alias("product_id"), F.when(line != "MEDIUM", F.coalesce("sales", F.lit(0.0))).alias("sales")
+    )
+    attributes = p.select("product_line_id", F.lit("size").alias("predictor"), F.when(line != "LARGE", F.col("size").cast("double")).alias("x"))
+    some = p.filter(line == "STANDARD").select("product_line_id", F.lit("size").alias("predictor"), F.lit(None).cast("string").alias("drop_reason")).distinct()
+    found = market.market_sentinel(p, some, reasons=market.market_reasons(p, items, attributes))
+    return found.select("product_line_id", "predictor", "drop_reason")
+
+
 # ---- recommendations -------------------------------------------------------------------------
 
 STEP_SQL = """st AS (SELECT customer_id, product_id, payment_time, LEAD(product_id) OVER (PARTITION BY customer_id ORDER BY payment_time, order_id, line_number, product_id) AS nx FROM sales),

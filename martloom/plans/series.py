@@ -309,7 +309,7 @@ il AS (SELECT p_type AS product_line_id, UNNEST(['size','retail_price','brand_on
 # a size in another unit repeats `size`; `weight` is asked for but not there. Pairs are enough to see it in SQL.
 ALIAS_SQL = ITEM_LONG_SQL + """, iw AS (SELECT p_type AS product_line_id, p_partkey AS item, UNNEST([1, 2, 3, 4, 5]) AS pos, UNNEST(['size', 'retail_price', 'brand_one', 'odd_size', 'size_cm']) AS predictor,
     UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), CAST(p_size % 2 AS DOUBLE), p_size * 2.5]) AS x FROM part WHERE p_size > 1),
-  al AS (SELECT DISTINCT b.product_line_id, b.predictor FROM (SELECT a.product_line_id, b.predictor, ABS(CORR(a.x, b.x)) AS c FROM iw a JOIN iw b ON a.item = b.item AND a.pos < b.pos GROUP BY a.product_line_id, a.predictor, b.predictor) b WHERE c > 1 - 1e-9),
+  al AS (SELECT DISTINCT b.product_line_id, b.predictor FROM (SELECT a.product_line_id, b.predictor, ABS(CORR(a.x, b.x)) AS c FROM iw a JOIN iw b ON a.item = b.item AND a.pos < b.pos GROUP BY a.product_line_id, a.predictor, b.predictor) b WHERE c BETWEEN 1 - 1e-9 AND 1 + 1e-9),
   i2 AS (SELECT * FROM il UNION ALL SELECT product_line_id, 'size_cm', x * 2.5, y FROM il WHERE predictor = 'size')"""
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.money import exact_mean, exact_sum
-from martloom.session import attach_row, sized
+from martloom.money import MONEY, exact_mean, exact_sum
+from martloom.operators.sets import union_all
+from martloom.session import attach_row, materialise, sized
 
 
 def with_rollup_all(df: DataFrame, dim: str, out: str | None = None, label: str = "all") -> DataFrame:
@@ -16,6 +17,34 @@ def with_rollup_all(df: DataFrame, dim: str, out: str | None = None, label: str
     return rolled.drop(dim).withColumnRenamed("_dim", out)
 
 
+def presence(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """One row per `by` with the exact sum of `value` (decimal), written: every roll-up below starts here, not at source rows."""
+    return materialise(df.groupBy(*by).agg(F.sum(F.col(value).cast(MONEY)).alias("_value")), "presence")
+
+
+def distinct_with_all(rows: DataFrame, scope: list[str], dim: str, who: str, out: str, label: str = "all") -> DataFrame:
+    """Distinct `who` per scope and `dim` value, and under `label` for all values together.
+
+    Each `who` of a scope meets its values once (their number is configuration), so the extra `label` row
+    appears after the shuffle, beside a partial count, and no source row is repeated for it.
+    """
+    held = rows.filter(F.col(who).isNotNull()).groupBy(*scope, who).agg(F.collect_set(F.struct(dim)).alias("_in"))
+    every = F.array_union("_in", F.array(F.struct(F.lit(label).alias(dim))))
+    return held.select(*scope, F.explode(every).alias("_d")).select(*scope, f"_d.{dim}").groupBy(*scope, dim).agg(F.count(F.lit(1)).alias(out))
+
+
+def sum_with_all(rows: DataFrame, scope: list[str], dim: str, out: str) -> DataFrame:
+    """Exact sum of a presence table per scope and `dim` value; `all` rows come from these few sums."""
+    sums = rows.groupBy(*scope, dim).agg(F.sum("_value").alias("_value"))
+    return with_rollup_all(sums, dim).groupBy(*scope, dim).agg(F.sum("_value").cast("double").alias(out))
+
+
+def side_by_side(parts: dict[str, DataFrame], keys: list[str], counts: list[str]) -> DataFrame:
+    """One row per key (nulls are a key) with each part's measure; counts are zero where a part lacks the key."""
+    joined = union_all(*parts.values()).groupBy(*keys).agg(*[F.max(c).alias(c) for c in parts])
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+
+
 def daily_sales(sales: DataFrame, item: str = "product_id") -> DataFrame:
     return sales.groupBy(item, "product_line_id", "order_date").agg(
         F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("sales"),

@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.money import exact_sum
-from martloom.operators.aggregate import with_rollup_all
+from martloom.operators.aggregate import distinct_with_all, presence, side_by_side, sum_with_all
 from martloom.operators.clean import shipped
 
 
 def geo_sales(sales: DataFrame, place: str, all_platforms: bool = False) -> DataFrame:
-    """Orders, customers and revenue per platform, place and line; `all` rows count source rows again."""
-    rows = with_rollup_all(shipped(sales), "product_line_id")
+    """Orders, customers and revenue per platform, place and line; `all` counts each order and customer once."""
+    rows = shipped(sales)
     if all_platforms:
         rows = rows.withColumn("platform_id", F.lit("all"))
-    return rows.groupBy("platform_id", place, "product_line_id").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        exact_sum("lineproduct_price").alias("revenue"),
-    )
+    scope, line = ["platform_id", place], "product_line_id"
+    seen = presence(rows, [*scope, line, "order_id", "customer_id"], "lineproduct_price")
+    parts = {
+        "orders": distinct_with_all(seen, scope, line, "order_id", "orders"),
+        "customers": distinct_with_all(seen, scope, line, "customer_id", "customers"),
+        "revenue": sum_with_all(seen, scope, line, "revenue"),
+    }
+    return side_by_side(parts, [*scope, line], ["orders", "customers"])
 
 
 def geo_country(sales: DataFrame) -> DataFrame:

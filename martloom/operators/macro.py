@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.money import exact_sum
-from martloom.operators.aggregate import with_rollup_all
+from martloom.operators.aggregate import distinct_with_all, presence, side_by_side, sum_with_all
 
 SCOPE = ["platform_id", "product_line_id"]
 GRAINS = {"month": "MM", "quarter": "QUARTER", "year": "YEAR"}
 
 
 def macro_period(sales: DataFrame, grain: str, platforms_together: bool = False) -> DataFrame:
-    """Revenue, orders, active and new customers per period; distinct counts start from source rows."""
-    rows = with_rollup_all(sales, "product_line_id")
-    if platforms_together:
-        rows = rows.withColumn("platform_id", F.lit("all"))
-    rows = rows.withColumn("period", F.trunc("order_date", GRAINS[grain]))
-    measures = rows.groupBy(*SCOPE, "period").agg(
-        exact_sum("lineproduct_price").alias("revenue"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("active_customers"),
-    )
-    first = rows.groupBy(*SCOPE, "customer_id").agg(F.min("period").alias("period"))
-    new = first.groupBy(*SCOPE, "period").agg(F.count(F.lit(1)).alias("new_customers"))
-    return measures.join(new, [*SCOPE, "period"], "left").withColumn("new_customers", F.coalesce("new_customers", F.lit(0)))
+    """Revenue, orders, active and new customers per period; distinct counts start from orders and customers, not from sums."""
+    rows = sales.withColumn("platform_id", F.lit("all")) if platforms_together else sales
+    platform, line = SCOPE
+    scope = [platform, "period"]
+    seen = presence(rows.withColumn("period", F.trunc("order_date", GRAINS[grain])), [*scope, line, "order_id", "customer_id"], "lineproduct_price")
+    # a customer's first period in each line, and the first of those for all lines
+    first = seen.groupBy(platform, line, "customer_id").agg(F.min("period").alias("period"))
+    overall = seen.groupBy(platform, "customer_id").agg(F.min("period").alias("period")).withColumn(line, F.lit("all"))
+    parts = {
+        "revenue": sum_with_all(seen, scope, line, "revenue"),
+        "orders": distinct_with_all(seen, scope, line, "order_id", "orders"),
+        "active_customers": distinct_with_all(seen, scope, line, "customer_id", "active_customers"),
+        "new_customers": first.unionByName(overall).groupBy(*SCOPE, "period").agg(F.count(F.lit(1)).alias("new_customers")),
+    }
+    return side_by_side(parts, [*SCOPE, "period"], ["orders", "active_customers", "new_customers"])
 
 
 def macro_monthly(sales: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -97,35 +99,88 @@ def candidates(states: DataFrame, trans: DataFrame, known: bool) -> DataFrame:
     )
 
 
-def first_rec(states: DataFrame, trans: DataFrame, trees: int = 20, seed: int = 500) -> DataFrame:
+def learning_states(past: DataFrame, trans: DataFrame, pairs: int, seed: int) -> DataFrame:
+    """States whose candidates number `pairs` at most (in expectation), chosen by a hash of the customer; all of them if they fit."""
+    degree = trans.groupBy(F.col("from_product").alias("_p")).agg(F.count(F.lit(1)).alias("_d"))
+    starts = past.groupBy("last_product").agg(F.count(F.lit(1)).alias("_n"))
+    total = starts.join(degree, F.col("last_product") == F.col("_p")).agg(F.sum(F.col("_n") * F.col("_d"))).first()[0] or 0
+    if total <= pairs:
+        return past
+    slots = 1 << 30
+    return past.filter(F.pmod(F.xxhash64("customer_id", F.lit(seed)), F.lit(slots)) < int(slots * pairs / total))
+
+
+def fit_forest(learn: DataFrame, trees: int, seed: int) -> tuple[RandomForestClassificationModel, dict[str, list[float]]]:
+    """The forest, and for each feature every threshold at which it splits (at most trees x 31 in all)."""
+    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    model = RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed, probabilityCol="_votes", rawPredictionCol="_raw", predictionCol="_class").fit(assemble.transform(learn))
+    # a reloaded forest carries no training summary, whose session cannot travel to the tasks
+    saved = stage_path(learn.sparkSession, "forest")
+    model.write().save(saved)
+    cuts: dict[str, list[float]] = {name: [] for name in FEATURES}
+    for tree in model.trees:
+        for feature, cut in SPLIT.findall(tree.toDebugString):
+            cuts[FEATURES[int(feature)]].append(float(cut))
+    return RandomForestClassificationModel.load(saved), {name: sorted(set(found)) for name, found in cuts.items()}
+
+
+# how a printed tree states its splits; the other branch repeats the same threshold
+SPLIT = re.compile(r"If \(feature (\d+) <= ([^)]+)\)")
+CELL = ["_purchases", "_mean_spent", "_span_days"]
+
+
+def with_cells(states: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """For each feature of a state, the number of thresholds below it: the forest can't tell states of one cell apart."""
+    values = {"purchases": F.col("purchases").cast("double"), "mean_spent": F.col("spent") / F.col("purchases"), "span_days": F.col("span_days").cast("double")}
+
+    def place(name):
+        value = values[name]
+        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts[name]]), lambda cut: cut < value)) if cuts[name] else F.lit(0)
+
+    return states.withColumns({f"_{name}": place(name) for name in values})
+
+
+def cell_choices(final: DataFrame, trans: DataFrame, model, cuts: dict[str, list[float]]) -> DataFrame:
+    """last_product, the cell and its best next product: each cell seen is scored once with the product's successors.
+
+    Customers come in only as the cells they stand in, so rows are bounded by cells x transitions.
+    """
+    placed = with_cells(final, cuts)
+    # one state stands for its cell
+    one = placed.groupBy("last_product", *CELL).agg(F.min(F.struct("purchases", "spent", "span_days")).alias("_s"))
+    cells = materialise(one.withColumn("_cell", F.monotonically_increasing_id()), "forest-cells")
+    stand_in = cells.select(F.col("_cell").alias("customer_id"), "_s.*", "last_product", F.lit(None).cast("long").alias("next_product"))
+    score = materialise(candidates(stand_in, trans, False), "open-choices")
+    if model is None:
+        scored = score.withColumn("_w", F.lit(0.0))
+    else:
+        assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(score)
+        scored = model.transform(assembled).withColumn("_w", vector_to_array("_votes")[1])
+    best = F.struct(F.col("_w"), F.col("chance"), (-F.col("item")).alias("_i"))
+    chosen = scored.groupBy(F.col("customer_id").alias("_chosen")).agg(F.max_by("item", best).alias("recommended_product"))
+    return cells.join(chosen, F.col("_cell") == F.col("_chosen")).select("last_product", *CELL, "recommended_product")
+
+
+def first_rec(states: DataFrame, trans: DataFrame, trees: int = 20, seed: int = 500, pairs: int = 2_000_000) -> DataFrame:
     """(customer_id, recommended_product): the likeliest next product of every customer, by a forest.
 
     The forest judges pairs of a customer and a product that has followed the customer's last one. It
-    learns from each customer's state before the final purchase, whether the candidate was that
-    purchase, and scores the state after it; no product is out of reach. A customer whose last product
+    learns from customers' states before the final purchase (at most `pairs` labelled pairs), whether the
+    candidate was that purchase, and scores the state after it; no product is out of reach. Customers
+    between whom no threshold of the forest lies are scored together. A customer whose last product
     has never been followed by another gets null.
     """
+    trans = materialise(trans, "transitions")
     final = states.filter("next_product is null")
     # the step before the final purchase; repeats of the same product are no transitions
     order = F.struct(*[F.col(c) for c in EVENT_ORDER])
     before = states.filter("next_product is not null").groupBy("customer_id").agg(F.max_by(F.struct(*STATE, "next_product"), order).alias("s"))
-    past = before.select("customer_id", "s.*").filter("next_product <> last_product")
-    learn = materialise(candidates(past, trans, True), "known-choices")
-    score = materialise(candidates(final, trans, False), "open-choices")
-    everyone = final.select("customer_id").distinct()
+    past = materialise(before.select("customer_id", "s.*").filter("next_product <> last_product"), "known-states")
+    learn = materialise(candidates(learning_states(past, trans, pairs, seed), trans, True), "known-choices")
     classes = {r[0] for r in learn.select("label").distinct().collect()}
-    if len(classes) == 2:
-        assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        model = RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed, probabilityCol="_votes", rawPredictionCol="_raw", predictionCol="_class").fit(assemble.transform(learn))
-        # a reloaded forest carries no training summary, whose session cannot travel to the tasks
-        saved = stage_path(states.sparkSession, "forest")
-        model.write().save(saved)
-        scored = RandomForestClassificationModel.load(saved).transform(assemble.transform(score)).withColumn("_w", vector_to_array("_votes")[1])
-    else:
-        scored = score.withColumn("_w", F.lit(0.0))
-    best = F.struct(F.col("_w"), F.col("chance"), (-F.col("item")).alias("_i"))
-    chosen = scored.groupBy("customer_id").agg(F.max_by("item", best).alias("recommended_product"))
-    return everyone.join(chosen, "customer_id", "left")
+    model, cuts = fit_forest(learn, trees, seed) if len(classes) == 2 else (None, {name: [] for name in FEATURES})
+    chosen = sized(cell_choices(final, trans, model, cuts))
+    return with_cells(final, cuts).join(chosen, ["last_product", *CELL], "left").select("customer_id", "recommended_product")
 
 
 def product_recommendations(states: DataFrame, trans: DataFrame, k: int = 5) -> DataFrame:

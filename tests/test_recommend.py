@@ -50,6 +50,34 @@ def test_every_customer_gets_a_row_and_rare_products_stay_reachable(sales):
         assert known == list(dict.fromkeys(known))
 
 
+def test_cells_give_the_picks_of_every_pair(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    rows = [(c, datetime(2024, 1, 1 + s * (1 + c % 3)), c * 10 + s, 1, (c * c + s * (3 + c % 5)) % 7, float(1 + (c * 7 + s) % 11)) for c in range(300) for s in range(2 + c % 5)]
+    sales = spark.createDataFrame(rows, "customer_id long, payment_time timestamp, order_id long, line_number int, product_id long, paid double")
+    states, trans = recommend.purchase_states(sales, "paid").cache(), recommend.transitions(sales).cache()
+    final, past = states.filter("next_product is null"), states.filter("next_product <> last_product")
+    model, cuts = recommend.fit_forest(recommend.candidates(past, trans, True), 20, 500)
+    assert all(cuts[f] for f in ("purchases", "mean_spent", "chance"))
+    pairs = recommend.candidates(final, trans, False)
+    scored = model.transform(VectorAssembler(inputCols=recommend.FEATURES, outputCol="features").transform(pairs)).withColumn("_w", vector_to_array("_votes")[1])
+    want = scored.groupBy("customer_id").agg(F.max_by("item", F.struct("_w", "chance", -F.col("item"))).alias("p"))
+    chosen = recommend.cell_choices(final, trans, model, cuts)
+    got = recommend.with_cells(final, cuts).join(chosen, ["last_product", *recommend.CELL])
+    assert {r.customer_id: r.recommended_product for r in got.collect()} == {r.customer_id: r.p for r in want.collect()}
+    assert chosen.count() < final.count() / 2  # customers share cells
+
+
+def test_learning_rows_are_bounded(spark):
+    past = spark.range(10000).selectExpr("id customer_id", "1 last_product")
+    trans = spark.range(100).selectExpr("1 from_product", "id to_product", "1 n")
+    assert recommend.learning_states(past, trans, 1_000_000, 5).count() == 10000
+    assert 800 < recommend.learning_states(past, trans, 100_000, 5).count() < 1200
+    assert recommend.learning_states(past, trans.limit(0), 10, 5).count() == 10000
+
+
 def test_no_sales(sales):
     empty = sales.limit(0)
     assert recommend.product_recommendations(recommend.purchase_states(empty, "paid"), recommend.transitions(empty)).count() == 0

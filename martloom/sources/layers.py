@@ -65,14 +65,23 @@ def append_audit(df: DataFrame, ref: TableRef) -> None:
     df.write.mode("append").parquet(ref.path)
 
 
+def balanced(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of one folder together, in tasks near the advisory partition size.
+
+    Adaptive execution splits a folder that is too large for one task and joins small ones, so the number
+    of files follows the bytes written and not tasks x folders.
+    """
+    return df.hint("rebalance", *by)
+
+
 def write_platform_slice(df: DataFrame, ref: TableRef, by: str = "platform_id") -> None:
     """Replace only the platforms present in `df`; the others' partitions stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(ref.path)
+    balanced(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(ref.path)
 
 
 def write_by_line(df: DataFrame, ref: TableRef) -> None:
-    """One partition folder per product line; a line's rows are spread over tasks, not gathered."""
-    df.write.mode("overwrite").partitionBy("product_line_id").parquet(ref.path)
+    """One partition folder per product line; a large line's rows are spread over tasks, small lines share one."""
+    balanced(df, "product_line_id").write.mode("overwrite").partitionBy("product_line_id").parquet(ref.path)
 
 
 def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:

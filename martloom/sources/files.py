@@ -2,76 +2,138 @@
 
 from __future__ import annotations
 
+import codecs
+import csv
+import sys
+from urllib.parse import quote
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.operators.sets import union_all
 from martloom.sources.headers import align_by_modal_schema
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 # Leading bytes of file containers. Fixed values.
 ZIP_MAGIC = "504B0304"
 OLE2_MAGIC = "D0CF11E0A1B11AE1"
 
 
-def detect_format(spark: SparkSession, folder: str) -> DataFrame:
-    """xlsx, xls or csv by the leading bytes, whatever the file is called.
+PROBE = 1 << 16  # bytes read of each file at first; more only while its first line goes on
+FOUND = "path string, length long, format string, header array<string>"
+
+
+def first_line(read, length: int, probe: int = PROBE) -> bytes:
+    """The first line that isn't blank, from `read(start, size)`; parts are read until it ends."""
+    held, at = b"", 0
+    while True:
+        if at < length:
+            part = read(at, min(probe, length - at))
+            held, at = held + part, length if not part else at + len(part)
+        held = held.removeprefix(codecs.BOM_UTF8).lstrip(b" \t\r\n")
+        ends = [e for e in (held.find(b"\n"), held.find(b"\r")) if e >= 0]
+        if ends:
+            return held[: min(ends)]
+        if at >= length:
+            return held
+
 
-    Loads each file's bytes into one row, as Spark's binary reader does: for drop-folder files.
+def header_names(line: bytes) -> list[str]:
+    """Column names of a CSV header: quoted commas belong to the name, unnamed and repeated ones get their place."""
+    names = [n.strip() for n in next(csv.reader([line.decode("utf-8", "replace")]), [])]
+    folded = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if folded.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def _uri(path: str) -> str:
+    """A listed path, whose names are written plainly, as an escaped URI."""
+    scheme, _, rest = path.rpartition(":/")
+    return f"{scheme or 'file'}:/{'' if rest.startswith('/') else '//' if (scheme or 'file') == 'file' else ''}{quote(rest, safe='/@=,+:')}"
+
+
+def probe_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, length, format and header of every file below a folder, on executors.
+
+    Names and lengths come from the listing; of each file only the first kilobytes are read, however large
+    it is. xlsx, xls or csv by the leading bytes, whatever the file is called; spreadsheets and blank files have no
+    header. Files without a single byte are not listed, as in any Spark source.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    magic = F.hex(F.substring("content", 1, 8))
-    kind = F.when(magic.startswith(ZIP_MAGIC), "xlsx").when(magic == OLE2_MAGIC, "xls").otherwise("csv")
-    return files.select("path", kind.alias("format"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
 
+    def step(batches):
+        import pyarrow as pa
+        from pyarrow import fs
 
-def wanted(path: Column) -> Column:
-    """Spreadsheet or CSV names and names without extension; hidden files are not wanted."""
-    name = F.element_at(F.split(path, "/"), -1)
-    return ~name.startswith(".") & ~name.startswith("_") & (name.rlike(r"(?i)\.(csv|xls|xlsx)$") | ~name.contains("."))
+        for batch in batches:
+            found = []
+            for path, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, place = fs.FileSystem.from_uri(_uri(path))
+                with system.open_input_file(place) as file:
+                    magic = file.read_at(min(8, length), 0).hex().upper() if length else ""
+                    kind = "xlsx" if magic.startswith(ZIP_MAGIC) else "xls" if magic == OLE2_MAGIC else "csv"
+                    line = first_line(lambda at, size, f=file: f.read_at(size, at), length) if kind == "csv" else b""
+                found.append({"path": path, "length": length, "format": kind, "header": header_names(line) if line else None})
+            yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("path", pa.string()), ("length", pa.int64()), ("format", pa.string()), ("header", pa.list_(pa.string()))]))
 
+    return listed.mapInArrow(step, FOUND)
+
+
+def detect_format(spark: SparkSession, folder: str) -> DataFrame:
+    """xlsx, xls or csv by the leading bytes, whatever the file is called."""
+    return probe_files(spark, folder).select("path", "format")
 
-def csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Text files of a drop folder. File names are metadata and small."""
-    found = detect_format(spark, folder).filter(wanted(F.col("path")) & (F.col("format") == "csv"))
-    return [r[0] for r in found.select("path").orderBy("path").collect()]
 
+def drop_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file of a drop folder with what becomes of it: read, spreadsheet, empty or unwanted name."""
+    fate = (
+        F.when(~wanted(F.col("path")), "unwanted name")
+        .when(F.col("format") != "csv", "spreadsheet not read")
+        .when(F.col("header").isNull(), "empty")
+        .otherwise("read")
+    )
+    return probe_files(spark, folder).withColumn("status", fate)
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path).withColumn("path", F.input_file_name())
+
+def wanted(path: Column) -> Column:
+    """Spreadsheet or CSV names and names without extension; hidden files are not wanted."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return ~name.startswith(".") & ~name.startswith("_") & (name.rlike(r"(?i)\.(csv|xls|xlsx)$") | ~name.contains("."))
 
 
 def read_drop(spark: SparkSession, folder: str) -> DataFrame:
     """All text files of a drop folder by column name, each row tagged with its file.
 
     Files with the same header are read by one scan, so the plan grows with the number of
-    layouts and not with the number of files.
+    layouts and not with the number of files. `drop_listing` names the files left out.
     """
-    return union_all(*[_scan(spark, list(header), paths) for header, paths in sorted(_headers(spark, folder).items())])
+    return union_all(*[_scan(spark, list(header), paths) for header, paths in sorted(layouts(spark, folder).items())])
 
 
-def _headers(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
-    paths = csv_files(spark, folder)
-    if not paths:
+def layouts(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
+    """Paths of the text files by header. File names and headers are metadata and small."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in drop_listing(spark, folder).filter("status = 'read'").select("path", "header").orderBy("path").collect():
+        found.setdefault(tuple(row["header"]), []).append(row["path"])
+    if not found:
         raise FileNotFoundError(folder)
-    # a large file has many splits: its header is the first line of the split that starts at byte 0
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-    first = text.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
-    lines = first.groupBy("path").agg(F.min(F.struct("at", "value"))["value"].alias("header")).collect()
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in lines:
-        names = tuple(n.strip().strip('"') for n in row["header"].split(","))
-        layouts.setdefault(names, []).append(row["path"])
-    return layouts
+    return found
 
 
 def _scan(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
-    schema = ", ".join(f"`{c}` string" for c in header)
-    return spark.read.option("header", True).schema(schema).csv(sorted(paths)).withColumn("path", F.input_file_name())
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    # a quote inside a quoted value is doubled, as in the header
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(sorted(paths)).withColumn("path", F.input_file_name())
 
 
 def read_monthly(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
-    """Monthly files aligned on the most common header; second value lists files left out."""
-    return align_by_modal_schema({path: spark.read.option("header", True).csv(path) for path in csv_files(spark, folder)})
+    """Monthly files aligned on the header most of them have, one scan per header; second value lists files left out."""
+    found = layouts(spark, folder)
+    frames = {header: _scan(spark, list(header), paths).drop("path") for header, paths in found.items()}
+    aligned, dropped = align_by_modal_schema(frames, weights={header: len(paths) for header, paths in found.items()})
+    return aligned, sorted(path for header in dropped for path in found[header])
 
 
 def from_path(path: Column, pattern: str, group: int = 1) -> Column:

@@ -118,14 +118,17 @@ def rename_present(df: DataFrame, codes: dict[str, str], critical: list[str]) ->
     return out
 
 
-def align_by_modal_schema(frames: dict[str, DataFrame], max_renamed: int = 2) -> tuple[DataFrame, list[str]]:
-    """Union files whose headers match the most common one.
+def align_by_modal_schema(frames: dict, max_renamed: int = 2, weights: dict | None = None) -> tuple[DataFrame, list]:
+    """Union frames whose headers match the most common one; `weights` says for how many files a frame stands.
 
     A file with the same names in another order is reordered. One of equal width with at most
     `max_renamed` names that the common header lacks has corrupted labels and is renamed by position.
     Any other file is left out and listed.
     """
-    canon = list(Counter(tuple(df.columns) for df in frames.values()).most_common(1)[0][0])
+    seen: Counter = Counter()
+    for name, df in frames.items():
+        seen[tuple(df.columns)] += weights[name] if weights else 1
+    canon = list(seen.most_common(1)[0][0])
     kept, dropped = [], []
     for name, df in frames.items():
         off = sum(a != b for a, b in zip(df.columns, canon))

@@ -43,12 +43,80 @@ def test_header_of_a_file_with_many_splits(spark, folder):
     (folder / "short.csv").write_text("id,filler\n-1,y\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8KB")
     try:
-        assert list(files._headers(spark, str(folder))) == [("id", "filler")]
+        assert list(files.layouts(spark, str(folder))) == [("id", "filler")]
         assert files.read_drop(spark, str(folder)).count() == 4001
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_headers_with_quoted_commas_blank_lines_and_repeats(spark, folder):
+    (folder / "a b%.csv").write_text('\ufeff"id","price, net","he said ""x""",,a,A\n1,"2,5","q""q",4,5,6\n')
+    (found,) = files.layouts(spark, str(folder))
+    assert found == ("id", "price, net", 'he said "x"', "_c3", "a4", "A5")
+    (row,) = files.read_drop(spark, str(folder)).drop("path").collect()
+    assert tuple(row) == ("1", "2,5", 'q"q', "4", "5", "6")
+
+
+def test_only_the_first_kilobytes_are_read(folder):
+    read = []
+
+    def part(text):
+        return lambda at, size: read.append((at, size)) or text[at : at + size]
+
+    assert files.first_line(part(b"a,b\r\n" + b"x" * 1000), 1005, 64) == b"a,b" and read == [(0, 64)]
+    read.clear()
+    assert files.first_line(part(b"c" * 200 + b"\n1"), 202, 64) == b"c" * 200 and len(read) == 4  # a header longer than a part
+    assert files.first_line(part(b"\n \n" + b"d"), 4, 2) == b"d"
+    assert files.first_line(part(b""), 0, 64) == b""
+
+
+def test_a_file_of_three_gigabytes_is_probed_by_its_start(spark, folder):
+    with open(folder / "huge.csv", "wb") as f:  # sparse: takes no room
+        f.write(b"id,text\n1,x\n")
+        f.truncate(3 << 30)
+    (row,) = files.probe_files(spark, str(folder)).collect()
+    assert (row.length, row.format, row.header) == (3 << 30, "csv", ["id", "text"])
+
+
+def test_spreadsheets_beside_text_files_are_listed(spark, folder):
+    (folder / "a.csv").write_text("x\n1\n")
+    (folder / "book.xlsx").write_bytes(b"PK\x03\x04rest")
+    (folder / "book.csv").write_bytes(b"PK\x03\x04rest")  # named like a text file
+    (folder / "old.xls").write_bytes(bytes.fromhex("D0CF11E0A1B11AE1") + b"x")
+    (folder / "list.xls").write_text("x\n2\n")  # text under a spreadsheet's name
+    (folder / "none.csv").write_text("\n\n")
+    (folder / "n.txt").write_text("x\n")
+    got = {Path(r.path).name: r.status for r in files.drop_listing(spark, str(folder)).collect()}
+    sheet = "spreadsheet not read"
+    assert got == {"a.csv": "read", "list.xls": "read", "book.xlsx": sheet, "book.csv": sheet, "old.xls": sheet, "none.csv": "empty", "n.txt": "unwanted name"}
+    assert sorted(r.x for r in files.read_drop(spark, str(folder)).collect()) == ["1", "2"]
+
+
+def test_monthly_files_take_one_scan_per_header(spark, folder):
+    for m in range(12):
+        (folder / f"{m:02d}.csv").write_text("a,b\n1,2\n" if m != 3 else "a,b?\n3,4\n")
+    (folder / "99.csv").write_text("a,b,c\n5,6,7\n")
+    out, dropped = files.read_monthly(spark, str(folder))
+    assert sorted(tuple(r) for r in out.collect()) == [("1", "2")] * 11 + [("3", "4")]
+    assert [Path(p).name for p in dropped] == ["99.csv"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_files_follow_bytes_not_tasks_times_folders(spark, folder):
+    rows = spark.range(0, 60000, 1, 30).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("l"), F.col("id") % 10)).alias("product_line_id"), F.xxhash64("id").alias("v"))
+    ref = TableRef(str(folder), "app", "lines")
+    layers.write_by_line(rows, ref)
+    count = lambda: {d.name: len(list(d.glob("*.parquet"))) for d in (folder / "app" / "lines").iterdir() if d.is_dir()}
+    assert set(count().values()) == {1}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        layers.write_by_line(rows, ref)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert count()["product_line_id=hot"] > 2 and count()["product_line_id=l8"] <= 2  # the hot folder is split, the others aren't
+    assert spark.read.parquet(ref.path).count() == 60000
+
+
 def test_modal_schema(spark):
     f = lambda cols, vals: spark.createDataFrame([vals], cols)
     frames = {"jan": f(["a", "b"], [1, 2]), "feb": f(["a", "b"], [3, 4]), "bad_head": f(["a", "b??"], [5, 6]), "wide": f(["a", "b", "c"], [7, 8, 9]), "swapped": f(["b", "a"], [10, 11])}

@@ -9,7 +9,8 @@ blocks. Every choice of that many blocks is a masked pattern at the top of the i
 fingerprints that share the pattern's bits form one group. A group too large for one task is divided
 by further patterns over the bits left, so it is never searched whole. Inside a group the
 fingerprints are sorted by Gray rank (neighbours differ in few bits), consecutive ones are gathered
-into nodes, and each node stores the bits all its members share. A pair of nodes whose shared bits
+into nodes, and each node stores the bits all its members share. Small groups are gathered into one index with a
+root for each. A pair of nodes whose shared bits
 already differ in more than r places is pruned as a whole; differences on the way down add up until
 the fingerprints of two leaves are compared. A group yields a spanning forest of its links, never all pairs.
 """
@@ -30,6 +31,7 @@ CHUNK = 1 << 18  # shingles hashed at once, so that one very long text needs bou
 PAIRS = 1 << 12  # node pairs opened at once
 LEAF = 128  # fingerprints in a leaf node
 FANOUT = 8  # nodes below an upper node
+TWIG, FORK = 4, 4  # the same two sizes where many small groups share one index
 GROUP_ROWS = 1 << 15  # fingerprints of a group searched by one task before it is divided further
 
 
@@ -119,8 +121,7 @@ class _Level:
         self.first, self.last, self.mask, self.value = first, last, mask, value
 
     @classmethod
-    def over(cls, mask: np.ndarray, value: np.ndarray, size: int) -> "_Level":
-        first = np.arange(0, len(value), size)
+    def over(cls, mask: np.ndarray, value: np.ndarray, first: np.ndarray) -> "_Level":
         every = np.bitwise_and.reduceat(value, first)
         some = np.bitwise_or.reduceat(value, first)
         shared = ~(every ^ some) & np.bitwise_and.reduceat(mask, first)
@@ -175,9 +176,9 @@ def group_links(fps: np.ndarray, radius: int, check: np.ndarray | None = None, c
     sorted_fps = fps[order]
     sorted_check = None if check is None else check[order]
     full = np.full(len(fps), ~np.uint64(0))
-    levels = [_Level.over(full, sorted_fps, LEAF)]
+    levels = [_Level.over(full, sorted_fps, np.arange(0, len(fps), LEAF))]
     while len(levels[-1].value) > 1:
-        levels.append(_Level.over(levels[-1].mask, levels[-1].value, FANOUT))
+        levels.append(_Level.over(levels[-1].mask, levels[-1].value, np.arange(0, len(levels[-1].value), FANOUT)))
     leaves, forest = levels[0], _Forest(len(fps))
 
     def compare(one: int, two: int) -> None:
@@ -205,17 +206,7 @@ def group_links(fps: np.ndarray, radius: int, check: np.ndarray | None = None, c
     # of each pair of nodes: bits compared so far and the differences found in them
     seen, differ = np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.uint8)
     for nodes, below, whole in zip(levels[:0:-1], levels[-2::-1], wholes[-2::-1]):
-        if not len(a):
-            break
-        kept = []
-        for at in range(0, len(a), PAIRS):
-            here = slice(at, at + PAIRS)
-            pair, x, y = _children(nodes, a[here], b[here])
-            past, shared = seen[here][pair], below.mask[x] & below.mask[y]
-            more = differ[here][pair] + np.bitwise_count((below.value[x] ^ below.value[y]) & shared & ~past)
-            near = (more <= radius) & ((whole[x] != whole[y]) | (whole[x] < 0))
-            kept.append((x[near], y[near], (past | shared)[near], more[near]))
-        a, b, seen, differ = (np.concatenate(c) for c in zip(*kept))
+        a, b, seen, differ = _opened(nodes, below, a, b, seen, differ, radius, whole)
     far = b > a + 1
     for n, (one, two) in enumerate(zip(a[far].tolist(), b[far].tolist())):
         if n % 256 == 0:
@@ -226,6 +217,57 @@ def group_links(fps: np.ndarray, radius: int, check: np.ndarray | None = None, c
     return [(int(order[i]), int(order[j])) for i, j in forest.links]
 
 
+def _opened(nodes: _Level, below: _Level, a, b, seen, differ, radius: int, whole: np.ndarray | None = None) -> tuple:
+    """Pairs of members of the node pairs (a, b) whose shared bits differ in at most `radius` places so far.
+
+    Pairs wholly in one component (label in `whole`) are left out.
+    """
+    kept = []
+    for at in range(0, len(a), PAIRS):
+        here = slice(at, at + PAIRS)
+        pair, x, y = _children(nodes, a[here], b[here])
+        past, shared = seen[here][pair], below.mask[x] & below.mask[y]
+        more = differ[here][pair] + np.bitwise_count((below.value[x] ^ below.value[y]) & shared & ~past)
+        near = more <= radius
+        if whole is not None:
+            near &= (whole[x] != whole[y]) | (whole[x] < 0)
+        kept.append((x[near], y[near], (past | shared)[near], more[near]))
+    return tuple(np.concatenate(c) for c in zip(*kept)) if kept else (a, b, seen, differ)
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """First members of runs of at most `step` that end where a group ends, and the number of runs of each group."""
+    counts = -(-sizes // step)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(starts, counts) + step * place, counts
+
+
+def batch_links(fps: np.ndarray, starts: np.ndarray, radius: int, check: np.ndarray | None = None, check_radius: int = 0) -> list[tuple[int, int]]:
+    """Spanning forests (index pairs) of many small groups, which begin at `starts`, through one index with a root for each.
+
+    The same search as in `group_links`, all groups a level at a time.
+    """
+    sizes = np.diff(np.append(starts, len(fps)))
+    order = np.lexsort((gray_rank(fps), np.repeat(np.arange(len(starts)), sizes)))
+    members = _Level(None, None, np.full(len(fps), ~np.uint64(0)), fps[order])
+    levels, step = [members], TWIG
+    while len(levels) == 1 or sizes.max() > 1:
+        first, sizes = _runs(np.cumsum(sizes) - sizes, sizes, step)
+        levels.append(_Level.over(levels[-1].mask, levels[-1].value, first))
+        step = FORK
+    a = b = np.arange(len(starts))
+    seen, differ = np.zeros(len(a), dtype=np.uint64), np.zeros(len(a), dtype=np.uint8)
+    for nodes, below in zip(levels[:0:-1], levels[-2::-1]):
+        a, b, seen, differ = _opened(nodes, below, a, b, seen, differ, radius)
+    x, y = order[a[a < b]], order[b[a < b]]
+    if check is not None and len(x):
+        alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
+        x, y = x[alike], y[alike]
+    forest = _Forest(len(fps))
+    forest.join(x, y)
+    return forest.links
+
+
 def _children(nodes: _Level, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All pairs (x <= y) of members of the node pairs (a, b), with the place of their node pair."""
     wa, wb = nodes.last[a] - nodes.first[a], nodes.last[b] - nodes.first[b]
@@ -253,19 +295,17 @@ def _signed(mask: int) -> int:
 ALL_BITS = (1 << 64) - 1
 
 
-def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radius: int | None = None, rounds: int = 3) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radius: int | None = None) -> DataFrame:
     """(a, b): a spanning set of links between distinct fingerprints, a != b.
 
     `distinct` has `fp` (and `check` if `check_radius` is given), each row once, rows told apart by `id`.
-    Groups of more than GROUP_ROWS are divided by patterns over their free bits, `rounds` times at most;
-    what then still is large has nearly all bits in common and is searched as it is.
+    Groups of more than GROUP_ROWS are divided by patterns over their free bits as long as bits are left. A group
+    with f free bits has at most 2^f different fingerprints, so none stays above GROUP_ROWS.
     """
     cols = ["id", "fp"] + (["check"] if check_radius is not None else [])
     todo = distinct.select(*cols).withColumn("path", F.lit(0).cast("long")).withColumn("used", F.lit(0).cast("long"))
-    found = None
-    for depth in range(rounds):
-        # patterns depend on the bits already used; the same choice at each level keeps their number small
-        masks = {0: _patterns(ALL_BITS, radius, blocks)} if not depth else {used: _patterns(ALL_BITS & ~used, radius, radius + 1) for used in used_masks}
+    masks, found = {0: _patterns(ALL_BITS, radius, blocks)}, None
+    while True:
         steps = F.create_map(*[x for used, ms in masks.items() for x in (F.lit(_signed(used)), F.array(*[F.lit(_signed(m)) for m in ms]))])
         spread = todo.withColumn("mask", F.explode(steps[F.col("used")]))
         keyed = spread.select(
@@ -274,25 +314,21 @@ def fingerprint_links(distinct: DataFrame, radius: int, blocks: int, check_radiu
             F.xxhash64("path", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("path"),
             F.col("used").bitwiseOR(F.col("mask")).alias("used"),
         )
-        counts = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        last = depth == rounds - 1
-        counts = materialise(counts, "group-sizes")
-        small = counts if last else counts.filter(F.col("n") <= GROUP_ROWS)
+        counts = materialise(keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max(F.bit_count(F.bitwise_not("used"))).alias("free")).filter("n > 1"), "group-sizes")
+        large = (F.col("n") > GROUP_ROWS) & (F.col("free") > radius)
         # whole groups lie together in a task, and small ones are searched many at a time
-        grouped = keyed.join(small.select("path"), "path").repartition("path").sortWithinPartitions("path")
+        grouped = keyed.join(counts.filter(~large).select("path"), "path").repartition("path").sortWithinPartitions("path")
         links = materialise(grouped.select("path", *cols).mapInArrow(_search(radius, check_radius), "a long, b long"), "links")
         found = links if found is None else found.unionByName(links)
-        if last:
-            break
-        large = counts.filter(F.col("n") > GROUP_ROWS).select("path")
-        if large.isEmpty():
-            break
-        todo = materialise(keyed.join(large, "path"), "large-groups")
-        used_masks = [r[0] & ALL_BITS for r in todo.select("used").distinct().collect()]  # at most the number of patterns
-    return found
+        divided = counts.filter(large).select("path")
+        if divided.isEmpty():
+            return found
+        todo = materialise(keyed.join(divided, "path"), "large-groups")
+        # at most the number of patterns; each depends on the bits already used
+        masks = {r[0] & ALL_BITS: _patterns(ALL_BITS & ~r[0], radius, radius + 1) for r in todo.select("used").distinct().collect()}
 
 
-SMALL = 64  # groups up to this size are compared directly, many at once
+BATCH = 1 << 13  # rows of small groups searched through one index
 
 
 def _search(radius: int, check_radius: int | None):
@@ -304,24 +340,22 @@ def _search(radius: int, check_radius: int | None):
         first = np.concatenate(([0], np.nonzero(path[1:] != path[:-1])[0] + 1))
         last = np.append(first[1:], len(path))
         links: list[tuple[int, int]] = []
-        small = last - first <= SMALL
-        groups = _Level(first[small], last[small], None, None)
-        rows = np.cumsum((last[small] - first[small]) ** 2)
         at = 0
-        while at < len(rows):
-            stop = max(at + 1, int(np.searchsorted(rows, (rows[at - 1] if at else 0) + (1 << 20), side="right")))
-            here = np.arange(at, stop)
-            _, x, y = _children(groups, here, here)
-            near = (x != y) & (np.bitwise_count(fps[x] ^ fps[y]) <= radius)
-            x, y = x[near], y[near]
-            if check is not None and len(x):
-                alike = np.bitwise_count(check[x] ^ check[y]).sum(1) <= check_radius
-                x, y = x[alike], y[alike]
-            links.extend(zip(x.tolist(), y.tolist()))
-            at = stop
-        for a, b in zip(first[~small].tolist(), last[~small].tolist()):
-            found = group_links(fps[a:b], radius, None if check is None else check[a:b], check_radius or 0)
+        while at < len(first):
+            # a group that fills leaves of its own, or as many smaller ones as make a batch
+            stop = at + 1
+            if last[at] - first[at] <= LEAF:
+                stop = max(stop, int(np.searchsorted(last, first[at] + BATCH, side="right")))
+                over = np.nonzero(last[at:stop] - first[at:stop] > LEAF)[0]
+                stop = at + int(over[0]) if len(over) else stop
+            a, b = int(first[at]), int(last[stop - 1])
+            wide, limit = None if check is None else check[a:b], check_radius or 0
+            if b - a > LEAF and stop == at + 1:
+                found = group_links(fps[a:b], radius, wide, limit)
+            else:
+                found = batch_links(fps[a:b], first[at:stop] - a, radius, wide, limit)
             links.extend((a + i, a + j) for i, j in found)
+            at = stop
         pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
         columns = [pa.array(ids[pairs[:, 0]], pa.int64()), pa.array(ids[pairs[:, 1]], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b"])

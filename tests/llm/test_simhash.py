@@ -9,7 +9,7 @@ from xxhash import xxh64_intdigest
 
 from martloom.llm import simhash
 from martloom.llm.components import components
-from martloom.llm.simhash import fingerprint, fingerprint_links, gray_rank, group_links, near_copies, one_of_each
+from martloom.llm.simhash import batch_links, fingerprint, fingerprint_links, gray_rank, group_links, near_copies, one_of_each
 
 
 def plain_fingerprint(text, shingle=3):
@@ -74,7 +74,45 @@ def test_group_links_span_all_links(n, radius):
     assert labels(len(fps), links) == labels(len(fps), brute_links(fps, radius))
 
 
-@pytest.mark.parametrize("limit,radius,blocks", [(4096, 3, 4), (5, 3, 4), (5, 3, 5), (40, 6, 7)])
+@pytest.mark.parametrize("radius", [0, 3, 8])
+def test_batch_links_span_the_links_of_every_group(radius):
+    sizes = [1, 2, 3, 4, 5, 17, 100, 1, 128, 9]
+    groups = [clustered(5 * n, n)[:n] for n in sizes]
+    starts = np.cumsum([0, *map(len, groups)])
+    links = batch_links(np.concatenate(groups), starts[:-1], radius)
+    for fps, a, b in zip(groups, starts, starts[1:]):
+        here = [(i - a, j - a) for i, j in links if a <= i < b]
+        assert all(a <= j < b for i, j in links if a <= i < b) and len(here) < len(fps)
+        assert labels(len(fps), here) == labels(len(fps), brute_links(fps, radius))
+
+
+def test_small_groups_go_through_pruned_gray_nodes(monkeypatch):
+    ranked, opened = [], []
+    rank, children = simhash.gray_rank, simhash._children
+    monkeypatch.setattr(simhash, "gray_rank", lambda v: ranked.append(len(v)) or rank(v))
+    monkeypatch.setattr(simhash, "_children", lambda *a: opened.append(children(*a)) or opened[-1])
+    rng = np.random.default_rng(1)
+    # groups share 16 bits, as the first patterns make them; pairs of near ones inside
+    groups = [np.unique(np.repeat(rng.integers(0, 2**47, 30, dtype=np.uint64), 2) ^ np.tile(np.array([0, 1], dtype=np.uint64), 30)) for _ in range(40)]
+    starts = np.cumsum([0, *map(len, groups)])
+    links = batch_links(np.concatenate(groups), starts[:-1], 3)
+    assert len(links) == 40 * 30 and ranked == [starts[-1]]
+    compared = len(opened[-1][1])  # pairs of fingerprints met at the last level
+    assert compared < sum(len(g) ** 2 for g in groups) / 4
+
+
+def test_no_group_stays_above_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 16)
+    seen = []
+    search = simhash._search
+    monkeypatch.setattr(simhash, "_search", lambda *a: seen.append(1) or search(*a))
+    fps = np.arange(64, dtype=np.uint64) << np.uint64(20)  # one hot region: 58 bits in common
+    table = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps)], "id long, fp long")
+    links = [(r.a, r.b) for r in fingerprint_links(table, 3, 4).collect()]
+    assert len(seen) > 2 and set(labels(len(fps), links)) == {0}
+
+
+@pytest.mark.parametrize("limit,radius,blocks", [(4096, 3, 4), (12, 3, 4), (40, 6, 7)])
 def test_distributed_links(spark, monkeypatch, limit, radius, blocks):
     monkeypatch.setattr(simhash, "GROUP_ROWS", limit)
     fps = clustered(300, 5)

@@ -23,14 +23,11 @@ def presence(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def distinct_with_all(rows: DataFrame, scope: list[str], dim: str, who: str, out: str, label: str = "all") -> DataFrame:
-    """Distinct `who` per scope and `dim` value, and under `label` for all values together.
-
-    Each `who` of a scope meets its values once (their number is configuration), so the extra `label` row
-    appears after the shuffle, beside a partial count, and no source row is repeated for it.
-    """
-    held = rows.filter(F.col(who).isNotNull()).groupBy(*scope, who).agg(F.collect_set(F.struct(dim)).alias("_in"))
-    every = F.array_union("_in", F.array(F.struct(F.lit(label).alias(dim))))
-    return held.select(*scope, F.explode(every).alias("_d")).select(*scope, f"_d.{dim}").groupBy(*scope, dim).agg(F.count(F.lit(1)).alias(out))
+    """Distinct `who` per scope and `dim` value, and under `label` for all values together; no row is repeated for it."""
+    held = rows.filter(F.col(who).isNotNull())
+    each = held.select(*scope, dim, who).distinct().groupBy(*scope, dim).agg(F.count(F.lit(1)).alias(out))
+    every = held.select(*scope, who).distinct().groupBy(*scope).agg(F.count(F.lit(1)).alias(out))
+    return each.unionByName(every.withColumn(dim, F.lit(label)))
 
 
 def sum_with_all(rows: DataFrame, scope: list[str], dim: str, out: str) -> DataFrame:

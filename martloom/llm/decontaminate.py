@@ -1,11 +1,12 @@
 """Benchmark decontamination: every training passage as a query against a BM25 index of test items.
 
 The test items are indexed in slices of bounded size, so what travels to executors has a fixed bound
-however large the benchmark is. Scores are divided by the score an item gives itself; a passage
-retrieves an item when it reaches `threshold` of that.
+however large the benchmark is. Document frequencies, mean length and longest item are those of the
+whole benchmark, so that results don't depend on the slices. Scores are divided by the score an item
+gives itself; a passage retrieves an item when it reaches `threshold` of that.
 
 Passages are windows of 2L + EDGE words every L words over the whole text, L being the longest item
-of the slice, so that every run as long as an item lies inside one window. For each batch of texts,
+of the benchmark, so that every run as long as an item lies inside one window. For each batch of texts,
 the postings of the rarer terms are summed for each (window, item); with all that the frequent terms
 could add, this bounds the score from above, and windows whose bound stays below the threshold for
 every item are done. The others run block-max WAND over the whole index, which retrieves every
@@ -26,8 +27,11 @@ from itertools import repeat
 from operator import itemgetter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martloom.session import materialise
 
 SLICE = 10_000  # test items in one index
 BLOCK = 32  # postings in a block
@@ -61,11 +65,31 @@ def shingles(words) -> list[tuple[str, ...]]:
     return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)] if n else []
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of a whole benchmark; `df` only needs the words of the items it is used for."""
+
+    items: int
+    words: int
+    longest: int
+    df: dict[str, int]
+
+
+def statistics_of(items: list[Item]) -> Statistics:
+    df: dict[str, int] = {}
+    for item in items:
+        for w in set(item.words):
+            df[w] = df.get(w, 0) + 1
+    sizes = [len(i.words) for i in items]
+    return Statistics(len(items), sum(sizes), max(sizes), df)
+
+
 class Index:
     """Postings with normalised BM25 parts, in blocks with their maxima."""
 
-    def __init__(self, items: list[Item], threshold: float):
+    def __init__(self, items: list[Item], threshold: float, whole: Statistics | None = None):
         self.items, self.threshold = items, threshold
+        whole = whole or statistics_of(items)
         self.vocab: dict[str, int] = {}
         counts: list[dict[int, int]] = []
         for item in items:
@@ -75,11 +99,9 @@ class Index:
                 tf[t] = tf.get(t, 0) + 1
             counts.append(tf)
         n, terms = len(items), len(self.vocab)
-        df = np.zeros(terms)
-        for tf in counts:
-            df[list(tf)] += 1
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        mean = np.mean([len(i.words) for i in items])
+        df = np.array([whole.df[w] for w in self.vocab], dtype=float)
+        idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+        mean = whole.words / whole.items
         lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
         for d, (item, tf) in enumerate(zip(items, counts)):
             flat = K1 * (1 - B + B * len(item.words) / mean)
@@ -92,7 +114,7 @@ class Index:
         self.top = np.array([p.max() for p in self.parts])
         self.block_last = [d[BLOCK - 1 :: BLOCK] if len(d) % BLOCK == 0 else np.append(d[BLOCK - 1 :: BLOCK], d[-1]) for d in self.docs]
         self.block_top = [np.maximum.reduceat(p, np.arange(0, len(p), BLOCK)) for p in self.parts]
-        self.span = max(len(i.words) for i in items)
+        self.span = whole.longest
         # frequent terms: the longest lists, as long as no item gets over half the threshold from them
         self.frequent = np.zeros(n)
         rare = np.ones(terms, dtype=bool)
@@ -271,30 +293,55 @@ def judged(index: Index, texts: list[str | None], overlap: float) -> tuple[list[
     return retrieved, leaked
 
 
+def _worded(benchmark: DataFrame, slices: int) -> DataFrame:
+    """(_slice, item_id, text, n_words, terms) of every item with words, written; `terms` are its distinct words."""
+    items = benchmark.select(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)).cast("int").alias("_slice"), F.col("item_id").cast("bigint").alias("item_id"), "text")
+
+    def step(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            known = [as_item(i, t) for i, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            sizes = pa.array([len(x.words) if x else 0 for x in known], pa.int64())
+            terms = pa.array([sorted(set(x.words)) if x else [] for x in known], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes, terms], names=[*batch.schema.names, "n_words", "terms"])
+
+    schema = T.StructType([*items.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("terms", T.ArrayType(T.StringType()))])
+    return materialise(items.mapInArrow(step, schema).filter("n_words > 0"), "test-items")
+
+
 def leaks(docs: DataFrame, text: str, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8) -> DataFrame:
     """Add `retrieved` and `leaked` (sorted item ids) to every row; columns of these names are replaced.
 
-    `benchmark` has item_id and text. Its items are taken in slices of SLICE, chosen by hash.
+    `benchmark` has item_id and text. Its items are taken in slices of SLICE, chosen by hash; every slice
+    is scored with the statistics of all items. An empty benchmark leaves both columns empty.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in ("retrieved", "leaked")])
-    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
-    slices = -(-items.count() // SLICE)
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("retrieved", "leaked")])
     out = docs.withColumn("retrieved", F.array().cast("array<bigint>")).withColumn("leaked", F.array().cast("array<bigint>"))
+    benchmark = benchmark.filter("item_id is not null and text is not null")
+    slices = -(-benchmark.count() // SLICE)
+    if not slices:
+        return out
+    items = _worded(benchmark, slices)
+    whole = items.agg(F.count(F.lit(1)).alias("items"), F.sum("n_words").alias("words"), F.max("n_words").alias("longest")).first()
+    # one row per word and slice, so the window over a word holds `slices` rows at most
+    by_slice = items.select("_slice", F.explode("terms").alias("term")).groupBy("_slice", "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(by_slice.withColumn("df", F.sum("n").over(Window.partitionBy("term"))), "test-words")
     for i in range(slices):
-        part = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i)
-        # bounded: a slice's share of the items
-        rows = sorted((r["item_id"], r["text"]) for r in part.collect())
-        known = [x for x in (as_item(*r) for r in rows) if x is not None]
-        if known:
-            out = out.mapInArrow(_judge_step(known, text, threshold, overlap), out.schema)
+        # bounded: a slice's share of the items, and their words
+        rows = sorted((r["item_id"], r["text"]) for r in items.filter(F.col("_slice") == i).select("item_id", "text").collect())
+        if rows:
+            df = {r["term"]: r["df"] for r in counts.filter(F.col("_slice") == i).select("term", "df").collect()}
+            stats = Statistics(whole["items"], whole["words"], whole["longest"], df)
+            out = out.mapInArrow(_judge_step([as_item(*r) for r in rows], stats, text, threshold, overlap), out.schema)
     return out
 
 
-def _judge_step(items: list[Item], text: str, threshold: float, overlap: float):
+def _judge_step(items: list[Item], stats: Statistics, text: str, threshold: float, overlap: float):
     def step(batches):
         import pyarrow as pa
 
-        index = Index(items, threshold)
+        index = Index(items, threshold, stats)
         name = [x.item_id for x in items]
         for big in batches:
             for at in range(0, big.num_rows, 512):

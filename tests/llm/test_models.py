@@ -164,6 +164,35 @@ def test_planted_and_edited_passages(spark, monkeypatch):
     assert all(r.leaked == [] for r in leaks(docs, "text", bench.limit(0)).collect())
 
 
+def test_results_do_not_depend_on_slices(spark, monkeypatch):
+    from martloom.llm import decontaminate
+
+    random.seed(7)
+    word = lambda: f"w{int(random.random() ** 3 * 300)}"
+    # items of very unlike lengths and words of very unlike frequency
+    texts = [" ".join(word() for _ in range(random.choice([6, 12, 50]))) + ". " + " ".join(word() for _ in range(4)) for _ in range(60)]
+    bench = spark.createDataFrame([*enumerate(texts), (60, texts[0]), (61, "..."), (None, "x y")], "item_id long, text string")
+    passages = []
+    for n in range(120):
+        cut = texts[n % 60].split()
+        noise = [word() for _ in range(n % 40)]
+        passages.append(" ".join(noise + cut[: max(3, len(cut) * (n % 11) // 10)] + noise))
+    docs = spark.createDataFrame(list(enumerate([*passages, None, ""])), "doc_id long, text string")
+
+    def found():
+        return sorted((r.doc_id, tuple(r.retrieved), tuple(r.leaked)) for r in leaks(docs, "text", bench).collect())
+
+    whole = found()
+    index = Index([as_item(i, t) for i, t in [*enumerate(texts), (60, texts[0])]], 0.6)
+    retrieved, leaked = judged(index, [*passages, None, ""], 0.8)
+    name = lambda ids: tuple(sorted(index.items[d].item_id for d in ids))
+    assert whole == [(n, name(a), name(b)) for n, (a, b) in enumerate(zip(retrieved, leaked))]
+    assert 20 < sum(bool(r) for _, r, _ in whole) < 122
+    for limit in (25, 7):
+        monkeypatch.setattr(decontaminate, "SLICE", limit)
+        assert found() == whole
+
+
 def test_mined_rules_are_minimal_and_confident(spark):
     rows = [(["a", "b"], True)] * 30 + [(["a"], False)] * 40 + [(["b", "c"], True)] * 25 + [(["c"], False)] * 50 + [([], True), (None, True), (["a"], None)]
     found = mined_rules(spark.createDataFrame(rows, "t array<string>, bad boolean"), "t", "bad", 10, 0.01, 0.6, 3).collect()

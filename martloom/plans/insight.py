@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martloom.functions.text import fingerprint
 from martloom.operators import customer, imputation, lookup, market, poisson, position, products as prod, recommend, reshape, reviews as rev, segments
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, REVIEWS_SQL, SALES_SQL, TOPICS, as_of, order_lines, products, ratings_long, reviews, rmean, sales, table
+from martloom.plans.newton import newton_sql
 from martloom.plans.registry import query
 from martloom.session import materialise
 
@@ -217,15 +218,14 @@ def _properties(spark, sf):
 @query(
     "topic_coverage_audit",
     "POS2",
-    RT + f""", {PROPS_SQL}, it AS (SELECT product_line_id, product_id, topic, COUNT(rating) AS n FROM ratings WHERE topic <> 'durability' OR review_id % 4 = 0 GROUP BY 1, 2, 3),
+    RT + f""", {PROPS_SQL}, it AS (SELECT product_line_id, product_id, topic, COUNT(rating) AS n FROM ratings GROUP BY 1, 2, 3),
       ni AS (SELECT product_line_id, COUNT(DISTINCT product_id) AS n_items FROM it GROUP BY 1), nr AS (SELECT product_line_id, topic, COUNT(*) FILTER (n > 0) AS n_rated FROM it GROUP BY 1, 2)
       SELECT product_line_id, topic, n_items, COALESCE(n_rated, 0) AS n_rated, ROUND(CAST(COALESCE(n_rated, 0) AS DOUBLE) / n_items * 100, 6) AS coverage_pct,
       CASE WHEN type NOT IN ('attribute', 'scene', 'emotion') THEN 'type_not_scored' WHEN COALESCE(n_rated, 0) = 0 THEN 'not_rated' WHEN CAST(n_rated AS DOUBLE) / n_items < 0.3 THEN 'low_coverage' WHEN type NOT IN ('attribute', 'scene') THEN 'not_display_type' ELSE 'displayed' END AS fate
       FROM props LEFT JOIN ni USING (product_line_id) LEFT JOIN nr USING (product_line_id, topic)""",
 )
 def coverage_audit(spark, sf):
-    r = ratings_long(spark, sf).filter("topic <> 'durability' or review_id % 4 = 0")
-    out = position.topic_coverage(_properties(spark, sf), r, ["attribute", "scene", "emotion"], ["attribute", "scene"])
+    out = position.topic_coverage(_properties(spark, sf), ratings_long(spark, sf), ["attribute", "scene", "emotion"], ["attribute", "scene"])
     return out.withColumn("coverage_pct", F.round("coverage_pct", 6))
 
 
@@ -270,7 +270,20 @@ def _topic_frame(spark, sf, rivals_only=False):
     return items, market.market_frame(items.filter("not is_own") if rivals_only else items, "product_id", indicators, topics)
 
 
-@query("market_entry_model", "POS4")
+# Rivals' sales against the item mean of each topic; two-level topics are 1 when mentioned.
+ENTRY_SQL = "WITH RECURSIVE " + SALES_SQL + ", " + RATINGS_SQL + """, q AS (SELECT product_id, SUM(quantity) AS q FROM sales WHERE NOT is_own GROUP BY 1),
+  i AS (SELECT product_line_id, product_id, topic, AVG(rating) AS r FROM ratings WHERE NOT is_own GROUP BY 1, 2, 3),
+  f AS (SELECT product_line_id, topic AS predictor, CASE WHEN topic = 'safety' THEN CAST(CAST(r > 0 AS INTEGER) AS DOUBLE) ELSE r END AS x, COALESCE(q, 0.0) AS y, 1.0 AS e FROM i LEFT JOIN q USING (product_id)),
+  g AS (SELECT product_line_id, predictor, COUNT(x) AS n, COUNT(DISTINCT x) AS lv, SUM(y) FILTER (x IS NOT NULL) AS t, COUNT(DISTINCT x) = 2 AND MIN(x) = 0 AND MAX(x) = 1 AND LEAST(SUM(y) FILTER (x = 0), SUM(y) FILTER (x = 1)) = 0 AS empty_side FROM f GROUP BY 1, 2),
+  ok AS (SELECT f.* FROM f JOIN g USING (product_line_id, predictor) WHERE n >= 3 AND lv >= 2 AND t > 0 AND NOT empty_side)"""
+
+
+@query(
+    "market_entry_model",
+    "POS4",
+    ENTRY_SQL + f""", {newton_sql('ok', 'm')} SELECT product_line_id, predictor, g.n AS sample_size, ROUND(coefficient, 8) AS coefficient, ROUND(p_value, 8) AS p_value,
+      CASE WHEN g.n < 8 OR lv < 2 THEN 'withheld' WHEN coefficient IS NOT NULL THEN 'usable' ELSE 'not_estimable' END AS verdict FROM g LEFT JOIN m USING (product_line_id, predictor)""",
+)
 def entry(spark, sf):
     _, frame = _topic_frame(spark, sf, rivals_only=True)
     topics = frame.filter(F.col("predictor").isin(TOPICS)).withColumn("exposure", F.lit(1.0))
@@ -379,10 +392,10 @@ def market_drivers(spark, sf):
     return market.drivers(_market(spark, sf)).select(*poisson.MODEL, F.round("coefficient", 6).alias("coefficient"))
 
 
-@query("market_lines_without_data", "MKT7", "SELECT DISTINCT p_type AS product_line_id, '__no_market_data__' AS predictor, 'no_position_rows' AS drop_reason FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_retailprice > 950 AND p_type < 'M') UNION ALL SELECT DISTINCT p_type, 'size', NULL FROM part WHERE p_retailprice > 950 AND p_type < 'M'")
+@query("market_lines_without_data", "MKT7", "SELECT DISTINCT p_type AS product_line_id, '__no_market_data__' AS predictor, 'no_position_rows' AS drop_reason FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_type < 'M') UNION ALL SELECT DISTINCT p_type, 'size', NULL FROM part WHERE p_type < 'M'")
 def no_market(spark, sf):
     p = products(spark, sf)
-    some = p.filter("retail_price > 950 and product_line_id < 'M'").select("product_line_id", F.lit("size").alias("predictor"), F.lit(None).cast("string").alias("drop_reason")).distinct()
+    some = p.filter("product_line_id < 'M'").select("product_line_id", F.lit("size").alias("predictor"), F.lit(None).cast("string").alias("drop_reason")).distinct()
     return market.market_sentinel(p, some).select("product_line_id", "predictor", "drop_reason")
 
 
@@ -528,12 +541,12 @@ def band_profiles(spark, sf):
 @query(
     "analysis_scope",
     "SEG3",
-    S + """ SELECT DISTINCT product_line_id, 'customers' AS analysis FROM sales UNION ALL SELECT DISTINCT product_line_id, 'position' FROM (SELECT CASE WHEN size = 1 THEN 'UNKNOWN' ELSE product_line_id END AS product_line_id FROM sales WHERE size < 5) WHERE product_line_id <> 'UNKNOWN'""",
+    S + """ SELECT DISTINCT product_line_id, 'customers' AS analysis FROM sales UNION ALL SELECT DISTINCT product_line_id, 'position' FROM (SELECT CASE WHEN size = 1 THEN 'UNKNOWN' ELSE product_line_id END AS product_line_id FROM sales) WHERE product_line_id <> 'UNKNOWN'""",
 )
 def analysis_scope(spark, sf):
     s = sales(spark, sf)
-    small = s.filter("size < 5").withColumn("product_line_id", F.when(F.col("size") == 1, "UNKNOWN").otherwise(F.col("product_line_id")))
-    return segments.scope({"customers": s, "position": small})
+    placed = s.withColumn("product_line_id", F.when(F.col("size") == 1, "UNKNOWN").otherwise(F.col("product_line_id")))
+    return segments.scope({"customers": s, "position": placed})
 
 
 @query(

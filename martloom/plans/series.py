@@ -10,6 +10,7 @@ from martloom.operators import aliasing, geo, macro, poisson, reshape
 from martloom.operators.aggregate import daily_sales, summary_by_hierarchy
 from martloom.operators.window import top_significant
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, SALES_SQL, TOPICS, as_of, msum, order_lines, products, ratings_long, sales, table
+from martloom.plans.newton import newton_sql
 from martloom.plans.registry import query
 from martloom.sources.documents import split_orders
 
@@ -293,7 +294,21 @@ def _item_frame(spark, sf):
 ITEM_PREDICTORS = ["size", "retail_price", "brand_one", "always_seven", "unknown", "odd_size"]
 
 
-@query("item_poisson", "POI1")
+ITEM_LONG_SQL = """tot AS (SELECT l_partkey, SUM(l_quantity) AS y FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
+il AS (SELECT p_type AS product_line_id, UNNEST(['size','retail_price','brand_one','always_seven','unknown','odd_size']) AS predictor,
+  UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), 7.0, NULL, CASE WHEN p_size > 1 THEN CAST(p_size % 2 AS DOUBLE) END]) AS x, y FROM part LEFT JOIN tot ON l_partkey = p_partkey)"""
+
+GATE_SQL = """CASE WHEN nk = 0 THEN 'all_na_prefilter' WHEN xk = 1 THEN 'constant_prefilter' WHEN n < 3 THEN 'insufficient_rows' WHEN lv < 2 THEN 'constant_in_subset' END AS drop_reason"""
+
+
+@query(
+    "item_poisson",
+    "POI1",
+    f"""WITH RECURSIVE {ITEM_LONG_SQL}, s AS (SELECT product_line_id, predictor, COUNT(x) AS nk, COUNT(DISTINCT x) AS xk, COUNT(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n, COUNT(DISTINCT CASE WHEN y IS NOT NULL THEN x END) AS lv FROM il GROUP BY 1, 2),
+      g AS (SELECT *, {GATE_SQL} FROM s), ok AS (SELECT product_line_id, predictor, x, y, 1.0 AS e FROM il JOIN g USING (product_line_id, predictor) WHERE drop_reason IS NULL), {newton_sql('ok', 'm')}
+      SELECT product_line_id, predictor, g.n AS sample_size, CASE WHEN drop_reason IS NULL THEN 'estimated' WHEN drop_reason LIKE '%prefilter' THEN 'dropped' ELSE 'not_estimable' END AS estimation_status, drop_reason,
+      ROUND(coefficient, 8) AS coefficient, ROUND(std_error, 8) AS std_error, ROUND(deviance, 4) AS deviance, ROUND(aic, 4) AS aic FROM g LEFT JOIN m USING (product_line_id, predictor)""",
+)
 def item_poisson(spark, sf):
     frame = _item_frame(spark, sf)
     chosen = poisson.select_predictors(frame)
@@ -301,11 +316,6 @@ def item_poisson(spark, sf):
     return f.select(*poisson.MODEL, "sample_size", "estimation_status", "drop_reason", F.round("coefficient", 8).alias("coefficient"), F.round("std_error", 8).alias("std_error"), F.round("deviance", 4).alias("deviance"), F.round("aic", 4).alias("aic"))
 
 
-ITEM_LONG_SQL = """tot AS (SELECT l_partkey, SUM(l_quantity) AS y FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
-il AS (SELECT p_type AS product_line_id, UNNEST(['size','retail_price','brand_one','always_seven','unknown','odd_size']) AS predictor,
-  UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), 7.0, NULL, CASE WHEN p_size > 1 THEN CAST(p_size % 2 AS DOUBLE) END]) AS x, y FROM part LEFT JOIN tot ON l_partkey = p_partkey)"""
-
-
 # a size in another unit repeats `size`; `weight` is asked for but not there. Pairs are enough to see it in SQL.
 ALIAS_SQL = ITEM_LONG_SQL + """, iw AS (SELECT p_type AS product_line_id, p_partkey AS item, UNNEST([1, 2, 3, 4, 5]) AS pos, UNNEST(['size', 'retail_price', 'brand_one', 'odd_size', 'size_cm']) AS predictor,
     UNNEST([CAST(p_size AS DOUBLE), p_retailprice, CAST(CAST(p_brand = 'Brand#1' AS INTEGER) AS DOUBLE), CAST(p_size % 2 AS DOUBLE), p_size * 2.5]) AS x FROM part WHERE p_size > 1),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.functions.text import fingerprint
 from martloom.operators import customer, imputation, lookup, market, poisson, position, products as prod, recommend, reshape, reviews as rev, segments
 from martloom.plans.commerce import BINARY_TOPICS, RATINGS_SQL, REVIEWS_SQL, SALES_SQL, TOPICS, as_of, order_lines, products, ratings_long, reviews, rmean, sales, table
-from martloom.plans.newton import newton_sql
+from martloom.plans.newton import negbin_sql, newton_sql, normal_tail_sql
 from martloom.plans.registry import query
 from martloom.session import materialise
 
@@ -305,7 +305,8 @@ def market_input(spark, sf):
     return frame.groupBy(*poisson.MODEL).agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("n_known"))
 
 
-MARKET_DIGITS = {"coefficient": 8, "std_error": 8, "p_value": 8, "irr_display": 6}
+# theta and what hangs on it are settled to about nine digits
+MARKET_DIGITS = {"coefficient": 6, "std_error": 6, "p_value": 6, "irr_display": 5}
 
 
 def _market(spark, sf, overdispersed=market.OVERDISPERSED):
@@ -318,15 +319,6 @@ def _scales(spark, sf):
     return t.select("product_line_id", F.col("topic").alias("predictor"), F.when(F.col("topic").isin(BINARY_TOPICS), "2尺度").otherwise("5尺度").alias("scale"))
 
 
-@query("market_model", "MKT2 MKT3")
-def market_model(spark, sf):
-    out = market.label_attributes(_market(spark, sf), _scales(spark, sf))
-    return out.select(
-        *poisson.MODEL, "predictor_type", "scale", "attr_kind", "estimation_status", "drop_reason", "family_used", "sample_size", "n_own", "n_competitor", "competitor_included", F.round("theta", 6).alias("theta"),
-        *[F.round(c, d).alias(c) for c, d in MARKET_DIGITS.items()],
-    )
-
-
 # Items with sales and exposure, then sums per line and per brand. A 0/1 attribute with exposure has a closed
 # form: its rate ratio is (sum y1 / sum e1) / (sum y0 / sum e0).
 BRAND_SUMS_SQL = S + """, m AS (SELECT product_id, YEAR(order_date) * 12 + MONTH(order_date) AS m, is_own, quantity FROM sales),
@@ -336,6 +328,36 @@ BRAND_SUMS_SQL = S + """, m AS (SELECT product_id, YEAR(order_date) * 12 + MONTH
       lt AS (SELECT product_line_id, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1), bt AS (SELECT product_line_id, p_brand, SUM(y) AS y, SUM(e) AS e FROM it GROUP BY 1, 2)"""
 
 
+# Every brand as a 0/1 attribute of all items of its line, and the item means of the two modelable topics.
+MARKET_SQL = BRAND_SUMS_SQL.replace("WITH ", "WITH RECURSIVE ", 1).replace("it AS (SELECT p_type AS product_line_id, p_brand,", "it AS (SELECT p_type AS product_line_id, p_partkey, p_brand,") + ", " + RATINGS_SQL.removeprefix(SALES_SQL + ", ") + f""",
+  f AS (SELECT it.product_line_id, 'brand::' || bt.p_brand AS predictor, CAST(CAST(it.p_brand = bt.p_brand AS INTEGER) AS DOUBLE) AS x, it.y, CAST(it.e AS DOUBLE) AS e, it.p_brand IN {OWN_SQL} AS is_own FROM it JOIN bt USING (product_line_id)
+    UNION ALL SELECT it.product_line_id, topic, r, it.y, it.e, it.p_brand IN {OWN_SQL} FROM it JOIN (SELECT product_id, topic, AVG(rating) AS r FROM ratings WHERE topic IN ('comfort', 'durability') GROUP BY 1, 2) i ON i.product_id = p_partkey),
+  k AS (SELECT product_line_id, predictor, COUNT(x) AS n, COUNT(DISTINCT x) AS lv, SUM(y) FILTER (x IS NOT NULL) AS t, COUNT(DISTINCT x) = 2 AND MIN(x) = 0 AND MAX(x) = 1 AND LEAST(SUM(y) FILTER (x = 0), SUM(y) FILTER (x = 1)) <= 0 AS empty_side,
+    COUNT(*) FILTER (x IS NOT NULL AND is_own) AS n_own, COUNT(*) FILTER (x IS NOT NULL AND NOT is_own) AS n_competitor FROM f GROUP BY 1, 2),
+  g AS (SELECT *, CASE WHEN n = 0 THEN 'all_na_prefilter' WHEN lv = 1 THEN 'constant_prefilter' WHEN n < 3 THEN 'insufficient_rows' WHEN t <= 0 OR empty_side THEN 'glm_error' END AS drop_reason FROM k),
+  ok AS (SELECT product_line_id, predictor, x, y, e FROM f JOIN g USING (product_line_id, predictor) WHERE drop_reason IS NULL),
+  {newton_sql('ok', 'po')}, {negbin_sql('ok', 'po', 'nb')},
+  mk AS (SELECT g.*, CASE WHEN drop_reason IS NULL THEN 'estimated' WHEN drop_reason LIKE '%prefilter' THEN 'dropped' ELSE 'not_estimable' END AS estimation_status, spread, dispersion > {market.OVERDISPERSED} AS wild,
+      CASE WHEN wild THEN theta END AS theta, CASE WHEN wild THEN nb.coefficient ELSE po.coefficient END AS coefficient, CASE WHEN wild THEN nb.std_error ELSE po.std_error * SQRT(dispersion) END AS std_error,
+      CASE WHEN wild THEN nb.p_value ELSE {normal_tail_sql('(po.coefficient / (po.std_error * SQRT(dispersion)))')} END AS p_value
+    FROM g LEFT JOIN po USING (product_line_id, predictor) LEFT JOIN nb USING (product_line_id, predictor))"""
+
+
+@query(
+    "market_model",
+    "MKT2 MKT3",
+    MARKET_SQL + """ SELECT product_line_id, predictor, 'product_attribute' AS predictor_type, CASE WHEN predictor NOT LIKE 'brand::%' THEN '5尺度' END AS scale, CASE WHEN predictor LIKE 'brand::%' THEN 'product_feature' ELSE 'rating' END AS attr_kind,
+      estimation_status, drop_reason, CASE WHEN wild THEN 'negative_binomial' WHEN estimation_status = 'estimated' THEN 'quasipoisson' END AS family_used, n AS sample_size, n_own, n_competitor, n_competitor > 0 AS competitor_included,
+      ROUND(theta, 4) AS theta, ROUND(coefficient, 6) AS coefficient, ROUND(std_error, 6) AS std_error, ROUND(p_value, 6) AS p_value, ROUND(EXP(coefficient * spread), 5) AS irr_display FROM mk""",
+)
+def market_model(spark, sf):
+    out = market.label_attributes(_market(spark, sf), _scales(spark, sf))
+    return out.select(
+        *poisson.MODEL, "predictor_type", "scale", "attr_kind", "estimation_status", "drop_reason", "family_used", "sample_size", "n_own", "n_competitor", "competitor_included", F.round("theta", 4).alias("theta"),
+        *[F.round(c, d).alias(c) for c, d in MARKET_DIGITS.items()],
+    )
+
+
 @query(
     "market_brand_effects",
     "MKT2",
@@ -364,7 +386,13 @@ def families(spark, sf):
     return found.select(*poisson.MODEL, "sample_size", F.round("dispersion", 5).alias("dispersion"), "family_used")
 
 
-@query("market_attribute_coverage", "MKT4")
+@query(
+    "market_attribute_coverage",
+    "MKT4",
+    MARKET_SQL + """, d AS (SELECT DISTINCT p_type AS product_line_id, UNNEST(['comfort', 'durability', 'fit', 'price_value', 'safety', 'colour', 'name', 'supplier_note']) AS predictor FROM part)
+      SELECT product_line_id, predictor, CASE WHEN predictor = 'supplier_note' THEN 'source_table_not_consumed' WHEN predictor = 'name' THEN 'non_numeric' WHEN predictor = 'colour' THEN 'topic_not_rated'
+        WHEN estimation_status IS DISTINCT FROM 'estimated' THEN 'not_estimable' WHEN p_value < 0.05 THEN 'significant' ELSE 'not_significant' END AS fate FROM d LEFT JOIN mk USING (product_line_id, predictor)""",
+)
 def attribute_coverage(spark, sf):
     t = _properties(spark, sf).select("product_line_id", F.col("topic").alias("predictor"), F.lit(True).alias("consumed"), F.lit(True).alias("is_numeric"), (F.col("topic") != "colour").alias("is_rated"))
     p = products(spark, sf).select("product_line_id").distinct()
@@ -387,7 +415,7 @@ def owned(spark, sf):
     return market.ownership(p.select("product_id"), "product_id", flags, own)
 
 
-@query("market_drivers", "MKT6")
+@query("market_drivers", "MKT6", MARKET_SQL + " SELECT product_line_id, predictor, ROUND(coefficient, 6) AS coefficient FROM mk WHERE estimation_status = 'estimated' AND p_value < 0.05")
 def market_drivers(spark, sf):
     return market.drivers(_market(spark, sf)).select(*poisson.MODEL, F.round("coefficient", 6).alias("coefficient"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from martloom.operators.market import market_model
 from martloom.operators.negbin import digamma, fit_negbin, histogram, log_gamma, trigamma
 from martloom.operators.poisson import compress, fit
+from martloom.plans.newton import digamma_sql, normal_tail_sql, trigamma_sql
 
 
 def simulated(seed, n, a, b, theta, binary=False):
@@ -95,3 +97,16 @@ def test_gamma_functions(spark):
         h = 1e-5 * v
         assert row[f"d{i}"] == pytest.approx((math.lgamma(v + h) - math.lgamma(v - h)) / (2 * h), rel=1e-6)
     assert row["t1"] == pytest.approx(math.pi**2 / 6, rel=1e-10)
+
+
+def test_sql_of_tail_and_gamma_derivatives():
+    con = duckdb.connect()
+    one = lambda sql, v: con.execute(f"SELECT {sql} FROM (SELECT CAST(? AS DOUBLE) AS v)", [v]).fetchone()[0]
+    for z in (0.0, 1e-6, 0.3, -1.96, 4.0, 8.9, 30.0):
+        assert one(normal_tail_sql("v"), z) == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), abs=1e-12)
+    for v in (0.2, 1.0, 7.5, 900.0):
+        # differences of neighbours: psi(v + 1) - psi(v) = 1 / v, and the slope of psi
+        assert one(digamma_sql("(v + 1)") + " - " + digamma_sql("v"), v) == pytest.approx(1 / v, abs=1e-9)
+        slope = (math.lgamma(v + 1e-4) - math.lgamma(v - 1e-4)) / 2e-4
+        assert one(digamma_sql("v"), v) == pytest.approx(slope, abs=1e-5)
+        assert one(trigamma_sql("v") + " - " + trigamma_sql("(v + 1)"), v) == pytest.approx(1 / v**2, abs=1e-8)

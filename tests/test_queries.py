@@ -15,6 +15,7 @@ CHOSEN = """customer_activity_flagship customer_dna customer_rsv_types customer_
 mixed_date_texts buyer_identity_key line_fingerprints product_line_cascade customer_id_registry fanout_line_sales transaction_ids
 global_surrogate_ids snapshot_difference rollup_sales dense_line_series resolved_exposure macro_growth sales_by_country calendar_poisson
 predictor_estimability staged_reviews rating_history item_positions market_brand_effects recommendation_chains product_mapping
+item_poisson market_model topic_coverage_audit
 sales_quality_checks platform_slice_replaced drop_folder_reviews""".split()
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="test data not present")

@@ -364,23 +364,32 @@ PERIODS = {"now": 0, "month_ago": -1, "quarter_ago": -3, "year_ago": -12}
 
 
 def dna_snapshots(by_date: DataFrame, asof: Column, periods: dict[str, int] = PERIODS) -> DataFrame:
-    """Customer measures as they stood at each cutoff, all cutoffs in one plan."""
-    cuts = F.array(*[F.struct(F.lit(p).alias("period"), F.add_months(asof, m).alias("cutoff")) for p, m in periods.items()])
-    seen = by_date.withColumn("_c", F.explode(F.filter(cuts, lambda c: F.col("date") <= c["cutoff"])))
-    keys = ["period", "cutoff", *CUSTOMER]
-    days = F.datediff(F.max("date"), F.min("date"))
-    n = F.count(F.lit(1))
-    base = (
-        seen.select(F.col("_c.period").alias("period"), F.col("_c.cutoff").alias("cutoff"), *CUSTOMER, "date", "sum_spent_by_date")
-        .groupBy(*keys)
-        .agg(
-            F.max("date").alias("last_date"),
-            n.alias("f_value"),
-            (exact_sum("sum_spent_by_date") / n).alias("m_value"),
-            F.when(n > 1, days / (n - 1)).alias("ipt"),
-        )
-        .withColumn("r_value", F.datediff("cutoff", "last_date"))
-        .drop("last_date")
+    """Customer measures as they stood at each cutoff, all cutoffs in one plan.
+
+    One aggregate per customer holds the measures of all cutoffs side by side, so no purchase day is repeated
+    for each of them; only finished customers are spread over the cutoffs that saw a purchase.
+    """
+    day, spent = F.col("date"), F.col("sum_spent_by_date").cast(MONEY)
+    cutoff = {p: F.add_months(asof, m) for p, m in periods.items()}
+    measures = [F.min("date").alias("_first")]
+    for i, cut in enumerate(cutoff.values()):
+        seen = day <= cut
+        measures += [F.max(F.when(seen, day)).alias(f"_last{i}"), F.count_if(seen).alias(f"_n{i}"), F.sum(F.when(seen, spent)).alias(f"_s{i}")]
+    sides = [
+        F.struct(F.lit(p).alias("period"), cut.alias("cutoff"), F.col(f"_last{i}").alias("last"), F.col(f"_n{i}").alias("n"), F.col(f"_s{i}").cast("double").alias("spent"))
+        for i, (p, cut) in enumerate(cutoff.items())
+    ]
+    side = by_date.groupBy(*CUSTOMER).agg(*measures).withColumn("_c", F.explode(F.filter(F.array(*sides), lambda c: c["n"] > 0)))
+    n, last = F.col("_c.n"), F.col("_c.last")
+    base = side.select(
+        F.col("_c.period").alias("period"),
+        F.col("_c.cutoff").alias("cutoff"),
+        *CUSTOMER,
+        n.alias("f_value"),
+        (F.col("_c.spent") / n).alias("m_value"),
+        # the first day of all is the first one of every cutoff that saw a purchase
+        F.when(n > 1, F.datediff(last, "_first") / (n - 1)).alias("ipt"),
+        F.datediff("_c.cutoff", last).alias("r_value"),
     )
     return nes_status(base, scope=["period", *SCOPE])
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from martloom import session
 from martloom.operators import customer as cus
 
 
@@ -112,3 +113,33 @@ def test_profile_takes_the_latest_name(spark):
     rows = [(1, "amz", datetime(2024, 1, 1), 1, "Old", "o@x"), (1, "amz", datetime(2024, 2, 1), 2, "New", "n@x")]
     df = spark.createDataFrame(rows, "customer_id int, platform_id string, payment_time timestamp, order_id int, buyer_name string, email string")
     assert cus.customer_profile(df).first()["buyer_name"] == "New"
+
+
+def test_snapshots_repeat_no_purchase_day(spark, monkeypatch):
+    days = spark.createDataFrame(
+        [("amz", "all", 1, date(2023, 1, 10), 10.0), ("amz", "all", 1, date(2023, 3, 1), None), ("amz", "all", 1, date(2024, 1, 10), 5.0),
+         ("amz", "all", 2, date(2024, 1, 9), 3.0), ("amz", "all", 3, None, 9.0)],
+        "platform_id string, product_line_id_filter string, customer_id long, date date, sum_spent_by_date double",
+    )
+    monkeypatch.setattr(cus, "nes_status", lambda table, scope: table)
+    base = cus.dna_snapshots(days, F.lit(date(2024, 1, 10)))
+    got = {(r.customer_id, r.period): (r.f_value, r.m_value, r.ipt, r.r_value) for r in base.collect()}
+    early = (2, 5.0, 50.0)
+    assert got == {
+        (1, "now"): (3, 5.0, 182.5, 0), (2, "now"): (1, 3.0, None, 1),
+        (1, "month_ago"): (*early, 284), (1, "quarter_ago"): (*early, 223), (1, "year_ago"): (1, 10.0, None, 0),
+    }
+    plan = base._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # the root is printed first: customers are spread, not days
+
+
+def test_task_bytes_yield_to_the_session(spark):
+    key, value = session.TASK_BYTES
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert session.configure(spark).conf.get(key) == value
+        spark.conf.set(key, "8m")
+        assert session.configure(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)

@@ -67,11 +67,34 @@ def _lines(batch):
     """(line, row numbers, topics) of the lines in a batch."""
     import numpy as np
 
-    names = np.array(batch.column("product_line_id").to_pylist(), dtype=object)
+    coded = batch.column("product_line_id").dictionary_encode()
+    names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
     widths = batch.column("vals").value_lengths().to_numpy(zero_copy_only=False)
-    for line in sorted(set(names)):
-        rows = np.flatnonzero(names == line)
-        yield line, rows, int(widths[rows[0]])
+    for code in sorted(range(len(names)), key=names.__getitem__):
+        rows = np.flatnonzero(codes == code)
+        yield names[code], rows, int(widths[rows[0]])
+
+
+class _Filled:
+    """The list column of all chains of a batch, filled line by line."""
+
+    def __init__(self, batch, m: int):
+        import numpy as np
+
+        widths = batch.column("vals").value_lengths().to_numpy(zero_copy_only=False)
+        self.ends = np.concatenate([[0], np.cumsum(widths.astype(np.int64) * m)])
+        self.flat = np.empty(self.ends[-1])
+
+    def put(self, rows, chains) -> None:
+        import numpy as np
+
+        full = chains.reshape(len(rows), -1)
+        self.flat[self.ends[rows][:, None] + np.arange(full.shape[1])] = full
+
+    def column(self):
+        import pyarrow as pa
+
+        return pa.ListArray.from_arrays(pa.array(self.ends.astype("int32")), pa.array(self.flat))
 
 
 def _started(marks: dict, m: int, seed: int):
@@ -82,7 +105,7 @@ def _started(marks: dict, m: int, seed: int):
         import pyarrow as pa
 
         for batch in batches:
-            filled = [None] * batch.num_rows
+            filled = _Filled(batch, m)
             for line, rows, p in _lines(batch):
                 part = batch.take(pa.array(rows))
                 vals, ids = _matrix(part.column("vals"), p), part.column("_id").to_numpy(zero_copy_only=False)
@@ -92,10 +115,9 @@ def _started(marks: dict, m: int, seed: int):
                     gap = np.isnan(vals[:, j])
                     for c in range(m):
                         chains[gap, c, j] = np.clip(mean + sd * _normals(ids[gap], seed, c, 0, j), low, high)
-                for row, full in zip(rows, chains.reshape(len(rows), -1)):
-                    filled[row] = full
+                filled.put(rows, chains)
             names = [*batch.schema.names, "chains"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(filled, pa.list_(pa.float64()))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, filled.column()], names=names)
 
     return step
 
@@ -170,7 +192,7 @@ def _redrawn(models, marks: dict, m: int, seed: int, turn: int):
         import pyarrow as pa
 
         for batch in batches:
-            filled = [None] * batch.num_rows
+            filled = _Filled(batch, m)
             for line, rows, p in _lines(batch):
                 part = batch.take(pa.array(rows))
                 gaps = np.isnan(_matrix(part.column("vals"), p))
@@ -187,11 +209,10 @@ def _redrawn(models, marks: dict, m: int, seed: int, turn: int):
                         # a topic nobody rated in this line has no regression and keeps its first fill
                         if drawn[c, j].any():
                             chains[gap, c, j] = np.clip(fit + drawn[c, j, p + 1] * _normals(ids[gap], seed, c, turn, j), low, high)
-                for row, full in zip(rows, chains.reshape(len(rows), -1)):
-                    filled[row] = full
+                filled.put(rows, chains)
             kept = [batch.column(n) for n in batch.schema.names if n != "chains"]
             names = [n for n in batch.schema.names if n != "chains"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(filled, pa.list_(pa.float64()))], names=[*names, "chains"])
+            yield pa.RecordBatch.from_arrays([*kept, filled.column()], names=[*names, "chains"])
 
     return step
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from martloom.operators import imputation
 from martloom.operators.imputation import impute_chained
 
 TOPICS = ["comfort", "fit", "safety"]
@@ -85,3 +86,16 @@ def test_layout_does_not_matter_but_the_seed_does(shop, imputed):
 def test_nothing_to_impute(spark, shop):
     ratings, items, topics, _ = shop
     assert impute_chained(ratings.limit(0), items.limit(0), topics.limit(0), 2, 1).count() == 0
+
+
+def test_chains_of_lines_of_different_width_are_filled_as_one_column():
+    import numpy as np
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"product_line_id": ["b", "a", "b"], "vals": [[1.0], [2.0, 3.0], [4.0]]})
+    filled = imputation._Filled(batch, 2)
+    lines = list(imputation._lines(batch))
+    assert [(line, rows.tolist(), p) for line, rows, p in lines] == [("a", [1], 2), ("b", [0, 2], 1)]
+    filled.put(lines[1][1], np.array([[[1.0], [2.0]], [[7.0], [8.0]]]))
+    filled.put(lines[0][1], np.arange(3.0, 7.0).reshape(1, 2, 2))
+    assert filled.column().to_pylist() == [[1.0, 2.0], [3.0, 4.0, 5.0, 6.0], [7.0, 8.0]]

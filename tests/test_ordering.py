@@ -136,3 +136,29 @@ def test_one_hot_group_over_many_tasks(spark):
     assert (found.groupby("g").cumcount() + 1 == found["rn"]).all()
     assert (found.groupby("g")["w"].cumsum() == found["upto"]).all()
     assert len(found) == 6000
+
+
+def test_histories_over_many_tasks(spark):
+    from martloom.ordering import histories
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    kinds = {0: None, 1: "z", 2: "a"}
+    data = [(kinds.get(i % 50, "hot"), None if i % 1000 < 30 else i * 7 % 6000, i, i % 5) for i in range(6000)]
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        rows = spark.createDataFrame(data, "g string, v long, id long, w long")
+        found = histories(rows, ["g"], ["v", "id"], "rn", "w", "upto", "v", "begun", ["id"]).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    got = {r["id"]: (r["rn"], r["upto"], r["begun"], r["next_id"]) for r in found}
+    assert len(found) == len(got) == 6000
+    weight = {i: w for _, _, i, w in data}
+    for g in (None, "z", "a", "hot"):
+        part = sorted(((v is not None, v or 0, i) for h, v, i, _ in data if h == g))
+        run, begun = 0, None
+        for n, (some, v, i) in enumerate(part, 1):
+            run += weight[i]
+            begun = v if some and begun is None else begun
+            assert got[i] == (n, run, begun, part[n][2] if n < len(part) else None)

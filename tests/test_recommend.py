@@ -102,3 +102,16 @@ def test_only_competitors_are_rated_per_product(spark):
     defs = spark.createDataFrame([("L", "t", "what")], "product_line_id string, topic string, definition string")
     got = reviews.rating_frame(reviewed, topics, defs, 3).groupBy("product_id").count().collect()
     assert {r["product_id"]: r["count"] for r in got} == {"x": 3, "y": 3}
+
+
+def test_purchases_are_put_in_order_once(sales):
+    from martloom import session
+
+    written = lambda: sum("/ordered-" in p for paths in session._STAGES.values() for p in paths)
+    before = written()
+    recommend.purchase_states(sales, "paid")
+    assert written() == before + 1
+    states, trans = recommend.states_and_transitions(sales, "paid")
+    assert written() == before + 2
+    assert sorted(states.collect()) == sorted(recommend.purchase_states(sales, "paid").collect())
+    assert sorted(trans.collect()) == sorted(recommend.transitions(sales).collect())

@@ -63,18 +63,22 @@ def customer_by_date(sales: DataFrame) -> DataFrame:
 
 def by_customer(by_date: DataFrame) -> DataFrame:
     """Totals per customer; `ni` counts purchase days, `ipt` is the mean gap between them."""
+    return by_date.groupBy(*CUSTOMER).agg(*_totals())
+
+
+def _totals() -> list[Column]:
     days = F.datediff(F.max("date"), F.min("date"))
-    return by_date.groupBy(*CUSTOMER).agg(
+    return [
         exact_sum("sum_spent_by_date").alias("sum_sales_by_customer"),
         F.sum("count_transactions_by_date").alias("sum_transactions_by_customer"),
         F.when(F.count(F.lit(1)) > 1, days / (F.count(F.lit(1)) - 1)).alias("ipt"),
         F.count(F.lit(1)).alias("ni"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-    )
+    ]
 
 
-def rfm(customers: DataFrame, asof: Column) -> DataFrame:
+def rfm(customers: DataFrame, asof: Column, *more: Column) -> DataFrame:
     return customers.select(
         *CUSTOMER,
         F.datediff(asof, F.col("last_date")).alias("r_value"),
@@ -83,6 +87,7 @@ def rfm(customers: DataFrame, asof: Column) -> DataFrame:
         "ipt",
         F.datediff(asof, F.col("first_date")).alias("customer_tenure_days"),
         F.col("sum_sales_by_customer").alias("total_spent"),
+        *more,
     )
 
 
@@ -137,28 +142,37 @@ def nes_status(table: DataFrame, bounds: dict[str, float] = CYCLE_BOUNDS, scope:
 
 def intervals(by_date: DataFrame, keys: list[str] = CUSTOMER) -> DataFrame:
     """Integer sums over the gaps between purchase days; a customer has one row per day at most."""
+    return _with_gaps(by_date, keys).groupBy(*keys).agg(*_gap_sums())
+
+
+def _with_gaps(by_date: DataFrame, keys: list[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("date")
-    gaps = by_date.select(*keys, "date", F.datediff("date", F.lag("date").over(w)).cast("long").alias("t"), (F.row_number().over(w) - 1).alias("i"))
-    return gaps.groupBy(*keys).agg(
+    return by_date.withColumns({"t": F.datediff("date", F.lag("date").over(w)).cast("long"), "i": F.row_number().over(w) - 1})
+
+
+def _gap_sums() -> list[Column]:
+    return [
         F.count("t").alias("n_gaps"),
         F.sum("t").alias("sum_t"),
         F.sum(F.col("i") * F.col("t")).alias("sum_it"),
         F.sum(F.col("t") * F.col("t")).alias("sum_tt"),
-    )
+    ]
 
 
-def cai(by_date: DataFrame) -> DataFrame:
-    """Activity index: (plain mean gap - order-weighted mean gap) / plain mean gap."""
+def _activity() -> list[Column]:
     n = F.col("n_gaps")
     mle, wmle = F.col("sum_t") / n, F.col("sum_it") / (n * (n + 1) / 2)
     mean = F.col("sum_t") / n
     variance = (F.col("sum_tt") - F.col("sum_t") * F.col("sum_t") / n) / (n - 1)
-    return intervals(by_date).select(
-        *CUSTOMER,
-        "n_gaps",
+    return [
         F.when(n >= 1, (mle - wmle) / mle).alias("cai"),
         F.when(n >= 2, F.sqrt(F.greatest(variance, F.lit(0.0))) / mean).alias("gap_variation"),
-    )
+    ]
+
+
+def cai(by_date: DataFrame) -> DataFrame:
+    """Activity index: (plain mean gap - order-weighted mean gap) / plain mean gap."""
+    return intervals(by_date).select(*CUSTOMER, "n_gaps", *_activity())
 
 
 def _gauss_series(p: Column, q: Column, c: Column, z: Column) -> Column:
@@ -226,12 +240,15 @@ def segments(table: DataFrame) -> DataFrame:
 
 def customer_dna(by_date: DataFrame, asof: Column) -> DataFrame:
     """One row per customer and scope with every customer measure; all tiles share one ordered pass."""
-    by_date = materialise(by_date, "by_date")
-    base = materialise(rfm(by_customer(by_date), asof), "rfm")
+    # totals and gaps of a customer come from one shuffle of the purchase days; activity is known where all keys are
+    customers = _with_gaps(by_date, CUSTOMER).groupBy(*CUSTOMER).agg(*_totals(), *_gap_sums())
+    known = F.concat(*[F.col(c).cast("string") for c in CUSTOMER]).isNotNull()
+    active = [F.when(known, F.col(c)).alias(c) for c in ("cai", "gap_variation")]
+    base = materialise(rfm(customers.select("*", *_activity()), asof, *active), "rfm")
     tiled = with_tiles(base, SCOPE, {**SCORE_TILES, **TIER_TILES}, "customer_id")
     cycle = sized(purchase_cycle(base))
-    scored = with_segment(with_status(_name_tiles(tiled).join(cycle, SCOPE)))
-    return p_alive_clv(scored).join(cai(by_date).drop("n_gaps"), CUSTOMER, "left")
+    scored = p_alive_clv(with_segment(with_status(_name_tiles(tiled).join(cycle, SCOPE))))
+    return scored.select(*[c for c in scored.columns if c not in ("cai", "gap_variation")], "cai", "gap_variation")
 
 
 def customer_profile(sales: DataFrame) -> DataFrame:

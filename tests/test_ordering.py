@@ -162,3 +162,22 @@ def test_histories_over_many_tasks(spark):
             run += weight[i]
             begun = v if some and begun is None else begun
             assert got[i] == (n, run, begun, part[n][2] if n < len(part) else None)
+
+
+def test_cuts_put_few_rows_in_order(spark, monkeypatch):
+    # half of the rows share one value, some have no ident, some no number; one group is null
+    rows = [(None if i % 9 == 0 else "g", float("nan") if i % 101 == 0 else 3.0 if i % 2 else (i * 37 % 4001) / 7 - 100, None if i % 997 == 0 else i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "g string, v double, id long")
+    seen, own = [], ordering.positions
+
+    def counted(rest, *args):
+        seen.append(rest.count())
+        return own(rest, *args)
+
+    monkeypatch.setattr(ordering, "positions", counted)
+    tiled = ordering.with_tiles(df, ["g"], {"t": ("v", 5)}, "id").collect()
+    assert sum(seen) < 400
+    for g in (None, "g"):
+        part = sorted((r for r in tiled if r["g"] == g), key=lambda r: (math.isnan(r["v"]), 0 if math.isnan(r["v"]) else r["v"], r["id"] is not None, r["id"] or 0))
+        base, extra = divmod(len(part), 5)
+        assert [r["t"] for r in part if r["id"] is not None] == [tile for (tile, r) in zip([t for t in range(1, 6) for _ in range(base + (t <= extra))], part) if r["id"] is not None]

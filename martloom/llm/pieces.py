@@ -30,6 +30,7 @@ SPACE = "▁"
 KEPT = 600_000  # units a task remembers; the memory changes speed only
 KEPT_IDS = 8_000_000  # and their ids
 LONGEST_KEPT = 64  # longer units are not remembered, and are worked off with a heap
+WIDTHS = (6, 8, 10, 12, 16, 24, 32, LONGEST_KEPT)  # units up to the same width are worked off together
 CHUNK = 1 << 20  # characters segmented together
 WORD = (1 << 64) - 1
 SCORELESS = np.iinfo(np.int32).max
@@ -118,23 +119,24 @@ class Pieces:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merged id and rank of each pair; the rank of a pair without a piece is SCORELESS."""
+    def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the pairs (of ids that are none below 0) that have a piece, with its id and rank."""
         keys = a.astype(np.int64) * self.size + b
-        valid = (a >= 0) & (b >= 0)
         mask = (1 << self.bits) - 1
-        home = self._home(np.where(valid, keys, 0))
-        ids, ranks = np.zeros(len(keys), dtype=np.int64), np.full(len(keys), SCORELESS, dtype=np.int64)
-        open_ = np.nonzero(valid)[0]
-        for step in range(self.probes):
-            slots = (home[open_] + step) & mask
-            here = self.slot_key[slots]
-            hit = here == keys[open_]
-            ids[open_[hit]], ranks[open_[hit]] = self.slot_id[slots[hit]], self.slot_rank[slots[hit]]
-            open_ = open_[~hit & (here >= 0)]
+        slots = self._home(keys)
+        here = self.slot_key[slots]
+        hit = here == keys
+        open_ = np.nonzero(~hit & (here >= 0))[0]
+        for _ in range(1, self.probes):
             if not len(open_):
                 break
-        return ids, ranks
+            slots[open_] = at = (slots[open_] + 1) & mask
+            here = self.slot_key[at]
+            hit[open_] = same = here == keys[open_]
+            open_ = open_[~same & (here >= 0)]
+        found = np.nonzero(hit)[0]
+        slots = slots[found]
+        return found, self.slot_id[slots], self.slot_rank[slots]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -149,8 +151,14 @@ def hash_text(text: str | bytes) -> int:
     return xxh64_intdigest(text)
 
 
+def _hash_units(units: list[str | None]) -> list[int]:
+    from xxhash import xxh64_intdigest
+
+    return [0 if unit is None else xxh64_intdigest(unit.encode("utf-8", "surrogatepass")) for unit in units]
+
+
 def _hash_unit(unit: str) -> int:
-    return hash_text(unit.encode("utf-8", "surrogatepass"))
+    return _hash_units([unit])[0]
 
 
 def _mix_one(x: int) -> int:
@@ -198,7 +206,7 @@ class _Agendas:
 
     def add(self, units: list[str | None]) -> None:
         """Units in order, still without ids or offers; None is a literal mark."""
-        self.hashes.extend([0 if unit is None else _hash_unit(unit) for unit in units])
+        self.hashes.extend(_hash_units(units))
         self.length.extend([0 if unit is None else len(unit) for unit in units])
         for pool in (self.id_first, self.id_n, self.offer_first, self.offer_n):
             pool.extend(np.zeros(len(units), dtype=np.int64))
@@ -242,7 +250,7 @@ class Encoder:
         for part, width in _by_width(np.array([len(u) for u, _ in short], dtype=np.int64)):
             part = part.tolist()
             units, draws = [short[i][0] for i in part], np.array([short[i][1] for i in part], dtype=np.uint64)
-            key = self.keys(draws, np.array([_hash_unit(u) for u in units], dtype=np.uint64))
+            key = self.keys(draws, np.array(_hash_units(units), dtype=np.uint64))
             flat, n = self._agendas(units, width, lambda rows, start, middle, end: self.skipped(key[rows], start, middle, end))
             for i, ids in zip(part, np.split(flat, np.cumsum(n)[:-1])):
                 yield *short[i], tuple(ids.tolist())
@@ -310,50 +318,54 @@ class Encoder:
 
     def _agendas(self, units: list[str], width: int, skipped) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all units, and how many each has; `skipped` tells from rows and bounds which candidates are dropped."""
-        n = len(units)
-        length = np.array([len(u) for u in units])
-        points = np.zeros((n, width + 1), dtype=np.uint32)
-        points[np.arange(width + 1) < length[:, None]] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        ids = np.where(np.arange(width + 1) < length[:, None], self.pieces.char_id[points], np.int32(-1))
+        n, row = len(units), width + 1
+        length = np.fromiter(map(len, units), dtype=np.int64, count=n)
+        inside = np.arange(row) < length[:, None]
+        points = np.zeros((n, row), dtype=np.uint32)
+        points[inside] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ids = np.where(inside, self.pieces.char_id[points], np.int32(-1))
         odd = (ids == -2).any(1)
-        place = np.arange(width + 1, dtype=np.int32)
-        after, before = np.tile(place + 1, (n, 1)), np.tile(place - 1, (n, 1))
-        rank = np.full((n, width), SCORELESS, dtype=np.int32)
-        target = np.zeros((n, width), dtype=np.int32)
-
-        def offer(rows, at):
-            second = after[rows, at]
-            ok = second < length[rows]
-            rows, at, second = rows[ok], at[ok], second[ok]
-            merged, score = self.pieces.look(ids[rows, at], ids[rows, second])
-            found = np.nonzero(score < SCORELESS)[0]
-            rows, at, second = rows[found], at[found], second[found]
-            kept = ~skipped(rows, at, second, after[rows, second])
-            rank[rows[kept], at[kept]] = score[found[kept]]
-            target[rows[kept], at[kept]] = merged[found[kept]]
-
-        offer(*np.nonzero((ids[:, :-1] >= 0) & (ids[:, 1:] >= 0)))
+        # places count through all rows; the one after a unit holds -1, as does the one before the next unit
+        here = ids.reshape(-1)
+        after, before = np.arange(1, n * row + 1), np.arange(-1, n * row - 1)
+        ranks = np.full((n, row), SCORELESS, dtype=np.int32)
+        rank = ranks.reshape(-1)
+        target = np.zeros(n * row, dtype=np.int32)
+
+        def offer(at):
+            second = after[at]
+            piece = here[second]
+            ok = np.nonzero(piece >= 0)[0]
+            at, second = at[ok], second[ok]
+            found, merged, score = self.pieces.look(here[at], piece[ok])
+            at, second = at[found], second[found]
+            rows = at // row
+            first = rows * row
+            kept = ~skipped(rows, at - first, second - first, after[second] - first)
+            at = at[kept]
+            rank[at] = score[kept]
+            target[at] = merged[kept]
+
+        offer(np.nonzero(here >= 0)[0])
         rows = np.arange(n)
         while True:
-            best = rank[rows].argmin(1)
-            some = rank[rows, best] < SCORELESS
+            best = ranks[rows].argmin(1) + rows * row
+            some = rank[best] < SCORELESS
             rows, best = rows[some], best[some]
             if not len(rows):
                 break
-            second = after[rows, best]
-            third = after[rows, second]
-            ids[rows, best] = target[rows, best]
-            ids[rows, second] = -3
-            after[rows, best] = third
-            before[rows, third] = best
-            rank[rows, best] = SCORELESS
-            inside = second < width
-            rank[rows[inside], second[inside]] = SCORELESS
-            offer(rows, best)
-            left = before[rows, best]
-            has = left >= 0
-            rank[rows[has], left[has]] = SCORELESS
-            offer(rows[has], left[has])
+            second = after[best]
+            third = after[second]
+            here[best] = target[best]
+            here[second] = -3
+            after[best] = third
+            before[third] = best
+            rank[best] = SCORELESS
+            rank[second] = SCORELESS
+            left = before[best]
+            left = left[here[left] >= 0]
+            rank[left] = SCORELESS
+            offer(np.concatenate([best, left]))
         held = ids[:, :width] >= 0
         n = held.sum(1)
         own = [self._finished(ids[r, :width].tolist(), units[r]) for r in np.nonzero(odd)[0].tolist()]
@@ -456,13 +468,13 @@ class Encoder:
 
 def _by_width(length: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
     """Places of units of similar length, in parts of bounded size, and their width; none of empty or very long units."""
-    low, width = 0, 8
-    while low < LONGEST_KEPT:
-        members = np.nonzero((length > low) & (length <= min(width, LONGEST_KEPT)))[0]
+    low = 0
+    for width in WIDTHS:
+        members = np.nonzero((length > low) & (length <= width))[0]
         step = max(1, (1 << 16) // width)
         for at in range(0, len(members), step):
             yield members[at : at + step], width
-        low, width = width, 2 * width
+        low = width
 
 
 ROWS = 256  # texts handed back at once

@@ -30,7 +30,7 @@ SPACE = "▁"
 KEPT = 600_000  # units a task remembers; the memory changes speed only
 KEPT_IDS = 8_000_000  # and their ids
 LONGEST_KEPT = 64  # longer units are not remembered, and are worked off with a heap
-WIDTHS = (6, 8, 10, 12, 16, 24, 32, LONGEST_KEPT)  # units up to the same width are worked off together
+WIDTHS = (6, 8, 10, 12, 16, 24, 32, 64)  # units up to the same width are worked off together
 CHUNK = 1 << 20  # characters segmented together
 WORD = (1 << 64) - 1
 SCORELESS = np.iinfo(np.int32).max
@@ -470,7 +470,7 @@ def _by_width(length: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
     """Places of units of similar length, in parts of bounded size, and their width; none of empty or very long units."""
     low = 0
     for width in WIDTHS:
-        members = np.nonzero((length > low) & (length <= width))[0]
+        members = np.nonzero((length > low) & (length <= min(width, LONGEST_KEPT)))[0]
         step = max(1, (1 << 16) // width)
         for at in range(0, len(members), step):
             yield members[at : at + step], width

@@ -53,6 +53,35 @@ def test_surge_and_dive_decide_on_unmarked_pages(closing, stays):
     assert main_text(f"<article>{parts}</article>") == "\n".join(["Short line before", LONG, "in it", closing])
 
 
+TEASER, LEAD = "a teaser of a few words", "words of the lead"
+GAPS = "<div></div><div></div>"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        # surges outside the marks are main text, in page order
+        (f"<article><p>{TEASER}</p></article><div><p>{LONG}</p><p>in it</p></div><div>foot</div>", f"{TEASER}\n{LONG}\nin it"),
+        (f"<div><p>{LONG}</p></div><main><p>A</p></main>", f"{LONG}\nA"),
+        (f"<div class=post-date>3 May</div><div class=text><p>{LONG}</p></div>", f"3 May\n{LONG}"),
+        # links and less than the article's densest block are none
+        (f"<article><p>{TEASER}</p></article><div><a href=x>{LONG}</a></div>", TEASER),
+        (f"<article><p>{LONG} {LEAD}</p></article><div><p>{LONG}</p></div>", f"{LONG} {LEAD}"),
+        (f"<article><p>{LONG}</p></article><div><p>{LONG} {LEAD}</p></div>", f"{LONG}\n{LONG} {LEAD}"),
+        # text beside the article's first and last lines doesn't surge with them
+        (f"<table><tr><td>before</td><td class=content>{LONG}</td><td>after</td></tr></table>", LONG),
+        (f"<p>before</p><article><p>{LONG}</p></article><p>after</p>", LONG),
+        # inside the marks a dive ends the text and crumbs don't start it again
+        (f"<article><p>{LONG}</p>{GAPS}<p>7</p>{GAPS}<p>*</p><p>x</p>{GAPS}<p>Yes</p>{GAPS}<p>{LONG}</p></article>", f"{LONG}\nYes\n{LONG}"),
+        (f"<article><p>7</p>{GAPS}<p>{LONG}</p><p>7</p><p><a href=x>y</a></p></article>", f"{LONG}\n7\ny"),
+        # a short article stays whole
+        (f"<article><p>7</p>{GAPS}<p>few words</p>{GAPS}<p>8</p></article>", "7\nfew words\n8"),
+    ],
+)
+def test_surge_and_dive_decide_on_marked_pages(page, text):
+    assert main_text(page) == text
+
+
 @given(st.text(alphabet="<>/!-\"'= abpdivscript&;#\n", max_size=200))
 def test_any_markup_is_read_without_error(page):
     assert isinstance(main_text(page), str)

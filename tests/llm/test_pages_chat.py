@@ -64,10 +64,10 @@ GAPS = "<div></div><div></div>"
         (f"<article><p>{TEASER}</p></article><div><p>{LONG}</p><p>in it</p></div><div>foot</div>", f"{TEASER}\n{LONG}\nin it"),
         (f"<div><p>{LONG}</p></div><main><p>A</p></main>", f"{LONG}\nA"),
         (f"<div class=post-date>3 May</div><div class=text><p>{LONG}</p></div>", f"3 May\n{LONG}"),
-        # links and less than the article's densest block are none
+        # links and less than half of the article's densest block are none
         (f"<article><p>{TEASER}</p></article><div><a href=x>{LONG}</a></div>", TEASER),
-        (f"<article><p>{LONG} {LEAD}</p></article><div><p>{LONG}</p></div>", f"{LONG} {LEAD}"),
-        (f"<article><p>{LONG}</p></article><div><p>{LONG} {LEAD}</p></div>", f"{LONG}\n{LONG} {LEAD}"),
+        (f"<article><p>{LONG} {LONG} {LEAD}</p></article><div><p>{LONG}</p></div>", f"{LONG} {LONG} {LEAD}"),
+        (f"<article><p>{LONG} {LEAD}</p></article><div><p>{LONG}</p></div>", f"{LONG} {LEAD}\n{LONG}"),
         # text beside the article's first and last lines doesn't surge with them
         (f"<table><tr><td>before</td><td class=content>{LONG}</td><td>after</td></tr></table>", LONG),
         (f"<p>before</p><article><p>{LONG}</p></article><p>after</p>", LONG),
